@@ -1,0 +1,5 @@
+"""No operators: the workload is a daily batch, without streams, watermarks or state.
+
+The narrow operators (flatten, names, unpivot, page extraction, error flags) start no job and do not
+shuffle, so they also take a streaming DataFrame as it is.
+"""
