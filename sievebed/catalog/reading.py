@@ -88,8 +88,8 @@ def page_record(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def nonblank_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = text.nonblank_lines(F.col("text")).alias("line")
-    return flatten(table(spark, folder, "documents").select("doc_id", lines))
+    lines = text.nonblank_lines(F.col("text"))
+    return table(spark, folder, "documents").select("doc_id", F.explode(lines).alias("line"))
 
 
 def text_parts(spark: SparkSession, folder: str) -> DataFrame:

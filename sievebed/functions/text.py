@@ -8,15 +8,13 @@ from pyspark.sql import Column, functions as F
 
 from sievebed.fixed_values import INDUSTRY_LABEL
 
-# What Python's ``str.strip`` takes as white space; Java's ``\s`` alone is ASCII only.
-_SPACE = r"[\s\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-# The look-behind starts the tail match at the first blank of a run only: linear in the text.
-_EDGES = rf"\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z"
+# What Python's ``str.strip`` takes as white space, no-break spaces included.
+_WHITE_SPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def strip(text: Column) -> Column:
-    """Remove Unicode white space, no-break spaces included, from both ends."""
-    return F.regexp_replace(text, _EDGES, "")
+    """Remove Unicode white space from both ends."""
+    return F.btrim(text, F.lit(_WHITE_SPACE))
 
 
 def nonblank_lines(text: Column) -> Column:

@@ -19,7 +19,7 @@ from sievebed.functions.text import nonblank_lines, strip
 from sievebed.operators.flatten import quoted
 
 # All quantified groups are possessive: Java matches those in a loop, not by recursion.
-_TAG_REST = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+>"""
+_TAG_REST = r"(?:[^\x22\x27>]++|\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)*+>"
 _RAW_ELEMENT = rf"<(?:script|style)(?=[\s/>]){_TAG_REST}.*?</(?:script|style)\s*+>"
 _COMMENT = r"<!--.*?-->"
 _DECLARATION = r"<[!?][^>]*+>|</[^a-z>][^>]*+>"
@@ -35,6 +35,8 @@ _ATTRIBUTE = r"""[\s/]*+[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>
 _OPEN_SCOPE, _OPEN, _CLOSE, _NONE = 2, 1, -1, 0
 
 
+# Marked non-deterministic below, so that no filter on a result is pushed beneath it: the optimizer
+# would copy the whole extraction into that filter and run it twice.
 @F.pandas_udf(StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
@@ -45,6 +47,10 @@ def _unescape_joined(pieces: pd.Series) -> pd.Series:
     return pieces.map(lambda parts: "".join(map(html.unescape, parts)), na_action="ignore")
 
 
+_unescape = _unescape.asNondeterministic()
+_unescape_joined = _unescape_joined.asNondeterministic()
+
+
 def decode_entities(text: Column) -> Column:
     """Decode HTML entities; texts without an ``&`` never leave the JVM."""
     encoded = F.contains(text, F.lit("&"))
@@ -66,42 +72,36 @@ def _token_kind(token: Column, scope_start: str) -> Column:
     )
 
 
-def _step(state: Column, kind: Column) -> Column:
-    """One token: follow the depth, note where a scope starts, keep the span of one that ends."""
-    inside = state["depth"] > 0
-    depth = F.when(inside, state["depth"] + F.when(kind == _OPEN_SCOPE, _OPEN).otherwise(kind)).when(
-        kind == _OPEN_SCOPE, 1
-    ).otherwise(0)
-    ends = inside & (depth == 0)
-    span = F.struct(state["start"].alias("start"), (state["at"] - state["start"]).alias("size"))
-    return F.struct(
-        (state["at"] + 1).alias("at"),
-        depth.alias("depth"),
-        F.when(inside, state["start"]).otherwise(state["at"] + 1).alias("start"),
-        F.when(ends, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
-    )
-
-
-def _scope_spans(kinds: Column) -> Column:
-    """Token ranges inside the scopes; a scope the page never closes runs to its end."""
-    start = F.struct(
-        F.lit(1).alias("at"),
-        F.lit(0).alias("depth"),
-        F.lit(1).alias("start"),
-        F.array().cast("array<struct<start:int,size:int>>").alias("spans"),
+# The walk over the token kinds: follow the depth, note where a scope starts, keep the token range of
+# one that ends.  A scope the page never closes runs to its end.
+_SPANS = """
+    aggregate(
+        _kinds,
+        named_struct('at', 1, 'depth', 0, 'start', 1, 'spans', cast(array() AS array<struct<start:int,size:int>>)),
+        (walk, kind) -> named_struct(
+            'at', walk.at + 1,
+            'depth', CASE WHEN walk.depth > 0 THEN walk.depth + least(kind, 1) WHEN kind = 2 THEN 1 ELSE 0 END,
+            'start', if(walk.depth > 0, walk.start, walk.at + 1),
+            'spans', if(walk.depth = 1 AND kind = -1,
+                        concat(walk.spans, array(named_struct('start', walk.start, 'size', walk.at - walk.start))),
+                        walk.spans)
+        ),
+        walk -> if(walk.depth > 0,
+                   concat(walk.spans, array(named_struct('start', walk.start, 'size', walk.at - walk.start))),
+                   walk.spans)
     )
+"""
 
-    def finish(state: Column) -> Column:
-        last = F.struct(state["start"].alias("start"), (state["at"] - state["start"]).alias("size"))
-        return F.when(state["depth"] > 0, F.concat(state["spans"], F.array(last))).otherwise(state["spans"])
-
-    return F.aggregate(kinds, start, _step, finish)
-
-
-def _piece(token: Column) -> Column:
-    """Text a token adds: nothing for tags; script and style bodies as they stand, undecoded."""
-    raw = F.replace(F.regexp_extract(token, _RAW_TEXT, 1), F.lit("&"), F.lit("&amp;"))
-    return F.when(~F.startswith(token, F.lit("<")) | (token == "<"), token).otherwise(raw)
+# Text of the tokens in those ranges, a line break after each range.  Tags give no text; script and
+# style bodies stand as they are, so their ``&`` is encoded once to survive the decoding.
+_PIECES = rf"""
+    flatten(transform(_spans, span -> concat(
+        transform(
+            slice(_tokens, span.start, span.size),
+            token -> CASE WHEN token = '<' OR NOT startswith(token, '<') THEN token
+                          ELSE replace(regexp_extract(token, r'{_RAW_TEXT}', 1), '&', '&amp;') END),
+        array('\n'))))
+"""
 
 
 def scoped_lines(
@@ -122,25 +122,13 @@ def scoped_lines(
     scope_start = _scope_start(tag, css_class)
     # Staged, so that every step is evaluated once.
     tokens = df.withColumn("_tokens", F.when(names, F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0))))
-    spans = tokens.withColumn(
-        "_spans", _scope_spans(F.transform("_tokens", lambda token: _token_kind(token, scope_start)))
-    )
-    pieces = spans.withColumn(
-        "_pieces",
-        F.flatten(
-            F.transform(
-                "_spans",
-                lambda span: F.concat(
-                    F.transform(F.slice("_tokens", span["start"], span["size"]), _piece), F.array(F.lit("\n"))
-                ),
-            )
-        ),
-    )
-    encoded = F.exists("_pieces", lambda piece: F.contains(piece, F.lit("&")))
+    kinds = tokens.withColumn("_kinds", F.transform("_tokens", lambda token: _token_kind(token, scope_start)))
+    pieces = kinds.withColumn("_spans", F.expr(_SPANS)).withColumn("_pieces", F.expr(_PIECES))
+    encoded = F.expr("exists(_pieces, piece -> contains(piece, '&'))")
     text = F.when(encoded, _unescape_joined(F.when(encoded, F.col("_pieces")))).otherwise(F.array_join("_pieces", ""))
     lines = pieces.withColumn("_text", text).withColumn(into, nonblank_lines(F.col("_text")))
     none = F.when(source.isNotNull() & ~names, F.array().cast("array<string>"))
-    return lines.withColumn(into, F.coalesce(F.col(into), none)).drop("_tokens", "_spans", "_pieces", "_text")
+    return lines.withColumn(into, F.coalesce(F.col(into), none)).drop("_tokens", "_kinds", "_spans", "_pieces", "_text")
 
 
 def _cell_text(cell: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -11,7 +13,7 @@ from sievebed.fixed_values import GRADE_LABELS, GRADES
 from sievebed.functions.numbers import first_digit, iso_date
 from sievebed.functions.text import at_or_null, grade_before, in_domain, text_after
 from sievebed.operators.markup import scoped_lines
-from sievebed.operators.policies import ERROR, flag
+from sievebed.operators.policies import ERROR
 
 RANK_FIELDS = ("rank", "value_score", "growth_score", "momentum_score", "vgm_score", "industry", "industry_rank_range")
 
@@ -46,12 +48,13 @@ def rank_record(df: DataFrame, lines: str = "lines") -> DataFrame:
             "industry_rank_range": at_or_null(rows, 2),
         }
     )
-    outside = ~F.lit(True)
-    for name in grades:
-        outside = outside | ~in_domain(F.col(name), GRADES)
-    checked = flag(read, rows.isNull(), "no page")
-    checked = flag(checked, F.size(lines).isin(1, 2), "too few lines in the rank block")
-    checked = flag(checked, outside, "grade outside A-F")
+    valid = reduce(and_, (in_domain(F.col(name), GRADES) for name in grades))
+    reason = (
+        F.when(rows.isNull(), "no page")
+        .when(F.size(rows).isin(1, 2), "too few lines in the rank block")
+        .when(~valid, "grade outside A-F")
+    )
+    checked = read.withColumn(ERROR, reason)
     return checked.withColumns({name: F.when(F.col(ERROR).isNull(), F.col(name)) for name in RANK_FIELDS})
 
 
