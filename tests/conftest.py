@@ -48,10 +48,16 @@ def _bag(names, rows):
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
+SQL_TYPES = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN",
+}
+
+
 @pytest.fixture(scope="session")
 def assert_same():
     def check(frame, relation):
-        assert sorted(frame.columns) == sorted(relation.columns)
+        ours = {name: SQL_TYPES[kind] for name, kind in frame.dtypes}
+        assert ours == dict(zip(relation.columns, map(str, relation.types), strict=True))
         ours = _bag(frame.columns, map(tuple, frame.collect()))
         theirs = _bag(relation.columns, relation.fetchall())
         assert sum(ours.values()) == sum(theirs.values())
