@@ -64,7 +64,10 @@ def _peel(df: DataFrame, outer: bool, separator: str) -> DataFrame:
 
 def _generate(arrays: list[str], outer: bool) -> Column:
     if len(arrays) == 1:  # nothing to line up, so no zipped copy
-        return (F.explode_outer if outer else F.explode)(F.col(arrays[0]))
+        array = F.col(arrays[0])
+        # Of a bare column the optimizer would filter the empty arrays first.  Pushed below, that
+        # filter computes the column again: a parsed document would be parsed three times.
+        return (F.explode_outer if outer else F.explode)(F.when(F.size(array) >= 0, array))
     zipped = F.arrays_zip(*[F.col(name) for name in arrays])
     return (F.inline_outer if outer else F.inline)(zipped)
 

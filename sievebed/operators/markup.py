@@ -120,15 +120,18 @@ def scoped_lines(
     source = F.col(quoted(page))
     names = F.contains(source, F.lit(css_class))
     scope_start = _scope_start(tag, css_class)
-    # Staged, so that every step is evaluated once.
-    tokens = df.withColumn("_tokens", F.when(names, F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0))))
+    # Staged, so that every step is evaluated once.  Only the first step reads the page: unless it is
+    # selected later, its text is pruned before the decoding, which would else have to hold it.
+    read = F.when(names, F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0))).when(
+        source.isNotNull(), F.array().cast("array<string>")
+    )
+    tokens = df.withColumn("_tokens", read)
     kinds = tokens.withColumn("_kinds", F.transform("_tokens", lambda token: _token_kind(token, scope_start)))
     pieces = kinds.withColumn("_spans", F.expr(_SPANS)).withColumn("_pieces", F.expr(_PIECES))
     encoded = F.expr("exists(_pieces, piece -> contains(piece, '&'))")
     text = F.when(encoded, _unescape_joined(F.when(encoded, F.col("_pieces")))).otherwise(F.array_join("_pieces", ""))
     lines = pieces.withColumn("_text", text).withColumn(into, nonblank_lines(F.col("_text")))
-    none = F.when(source.isNotNull() & ~names, F.array().cast("array<string>"))
-    return lines.withColumn(into, F.coalesce(F.col(into), none)).drop("_tokens", "_kinds", "_spans", "_pieces", "_text")
+    return lines.drop("_tokens", "_kinds", "_spans", "_pieces", "_text")
 
 
 def _cell_text(cell: Column) -> Column:

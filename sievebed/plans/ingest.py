@@ -13,7 +13,8 @@ def requests(keys: DataFrame, url: str, id_column: str, suffix: str = "", order_
     """Ticker, id and URL per valid key.  With an order column, the last row of a repeated key counts."""
     valid = drop_sentinel(keys)
     if order_by is not None:
-        valid = last_per_key(valid, "ticker", order_by)
+        needed = dict.fromkeys(("ticker", id_column, order_by))
+        valid = last_per_key(valid.select(*needed), "ticker", order_by)
     return add_url(select_id(valid, id_column), url, F.col("id"), suffix)
 
 

@@ -33,20 +33,22 @@ def load_snapshot(
     records: DataFrame,
     table_path: str,
     stage_path: str,
-    day: dt.date | str,
+    day: dt.date | str | None = None,
     export_folder: str | None = None,
+    partition_by: tuple[str, ...] = (),
 ) -> None:
-    """Append the good records of a day and, on request, export good and failed ones.
+    """Append the good records of a day, today by default; on request export good and failed ones.
 
     The records go to ``stage_path`` first: pages are parsed once however many outputs follow.
     """
+    day = str(day or dt.date.today())
     overwrite_table(records, stage_path)
     staged = scan_table(spark, stage_path)
     rows = rank_rows(good_rows(staged), "symbol", day)
-    strict_append(rows, RANK_ROW, table_path)
+    strict_append(rows, RANK_ROW, table_path, partition_by=partition_by)
     if export_folder is not None:
-        export_ranks(rows, export_folder, str(day))
-        export_failures(bad_rows(staged), export_folder, str(day), "symbol")
+        export_ranks(rows, export_folder, day)
+        export_failures(bad_rows(staged), export_folder, day, "symbol")
 
 
 def load_history(spark: SparkSession, csv_path: str, table_path: str, batch_rows: int | None = None) -> None:

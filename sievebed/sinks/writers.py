@@ -51,17 +51,21 @@ def strict_append(
     writer.parquet(path)
 
 
-def write_documents(df: DataFrame, path: str, document: str = "document", key: str | None = None) -> None:
+def write_documents(
+    df: DataFrame, path: str, document: str = "document", key: str | None = None, compression: str = "none"
+) -> None:
     """Write JSON documents, one per line.
 
     Without a key the folder is replaced.  With one, every key gets a sub-folder and only the keys at
-    hand are replaced; that makes a small file per key, so use it for small key sets.
+    hand are replaced; that makes a small file per key, so use it for small key sets.  Of the
+    compressions only ``bzip2`` leaves files that several tasks can read.
     """
+    value = F.col(document).alias("value")
     if key is None:
-        df.select(F.col(document).alias("value")).write.mode("overwrite").text(path)
+        df.select(value).write.mode("overwrite").option("compression", compression).text(path)
         return
-    rows = df.select(F.col(document).alias("value"), F.col(key).alias("document_key"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document_key").text(path)
+    keyed = df.select(value, F.col(key).alias("document_key")).write.mode("overwrite").partitionBy("document_key")
+    keyed.option("partitionOverwriteMode", "dynamic").option("compression", compression).text(path)
 
 
 def write_csv_once(df: DataFrame, path: str) -> None:

@@ -65,6 +65,13 @@ def test_flatten_does_not_shuffle(spark):
     assert "Exchange" not in flatten(df)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_parsed_document_is_parsed_once(spark):
+    df = spark.range(5).select(F.from_json(F.concat(F.lit("["), "id", F.lit("]")), "array<int>").alias("data"))
+    plan = flatten(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert rows(flatten(df)) == [(n,) for n in range(5)]
+
+
 def test_clash_is_found_before_the_write(spark):
     df = spark.sql("SELECT named_struct('b', 1) AS a, 2 AS `a-b`")
     with pytest.raises(ValueError, match="a-b"):
