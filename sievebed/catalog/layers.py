@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -281,12 +282,31 @@ def _labelled(curated: DataFrame, dataset: str) -> DataFrame:
     return curated.withColumns({"dataset": F.lit(dataset), **texts})
 
 
+# What the stored bodies hold; the years of the last dataset are left to inference.
+_YEARLY = "ticker string, data array<struct<amount:double,id:{id},year:int>>"
+_SCHEMAS = {
+    "ticker_prices": "ticker string, data array<struct<created_at:string,price:double>>",
+    "net_income": _YEARLY.format(id="bigint"),
+    "assets_liabilities": _YEARLY.format(id="bigint"),
+    "dividends": _YEARLY.format(id="string"),
+    "dividend_yield": _YEARLY.format(id="string"),
+    "historic_kpis": "ticker string, data struct<`P/L`:array<struct<id:bigint,value:double>>,"
+    "`VALOR (R$)`:array<struct<id:bigint,value:double>>>",
+}
+
+
 def layered_run(spark: SparkSession, folder: str) -> DataFrame:
     """All seven datasets through raw, cleaned and curated; the curated tables side by side."""
-    keys = customer_keys(spark, folder)
-    specs = {spec.folder: spec for spec in standard_specs(SITE)}
+    keys, captured = customer_keys(spark, folder), fresh_path(spark, "captured")
+    specs = [replace(spec, schema=_SCHEMAS.get(spec.folder)) for spec in standard_specs(SITE)]
+    for spec in specs:
+        overwrite_table(_stored(keys, spec), f"{captured}/{spec.folder}")
     curated = run_layers(
-        spark, specs.values(), keys, lambda name: _stored(keys, specs[name]), fresh_path(spark, "layers"),
+        spark,
+        specs,
+        keys,
+        lambda dataset: readers.scan_table(spark, f"{captured}/{dataset}"),
+        fresh_path(spark, "layers"),
         order_by="version",
     )
     frames = [_labelled(readers.scan_table(spark, path), name) for name, path in curated.items()]

@@ -25,8 +25,9 @@ def is_json(payload: Column) -> Column:
     """
     in_array = F.json_array_length(F.concat(F.lit("["), payload, F.lit("]")))
     in_object = F.json_object_keys(F.concat(F.lit('{"v":'), payload, F.lit("}")))
+    suspect = F.contains(payload, F.lit("'")) | F.regexp_like(payload, F.lit(r"[\x00-\x1f]"))
     stray_quote = F.regexp_like(F.regexp_replace(payload, _STRING, ""), F.lit("[\"']"))
-    return F.coalesce((in_array == 1) & (F.size(in_object) == 1) & ~stray_quote, F.lit(False))
+    return F.coalesce((in_array == 1) & (F.size(in_object) == 1) & ~(suspect & stray_quote), F.lit(False))
 
 
 def envelope(key: Column, payload: Column) -> Column:
@@ -36,7 +37,7 @@ def envelope(key: Column, payload: Column) -> Column:
     in JSON can only stand between tokens, so a blank takes its place.
     """
     head = F.to_json(F.struct(key.cast("string").alias(DOCUMENT_KEY)), {"ignoreNullFields": "false"})
-    body = F.regexp_replace(payload, r"[\r\n]+", " ")
+    body = F.replace(F.replace(payload, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     return F.concat(
         F.substring(head, F.lit(1), F.length(head) - 1), F.lit(f',"{DOCUMENT_DATA}":'), body, F.lit("}")
     )

@@ -32,6 +32,11 @@ _NEUTRAL = rf"(?is)\A(?:[^<]|<\z|<[!?]|</?(?:{_VOID})(?=[\s/>])|</[^a-z]|<(?:scr
 _RAW_TEXT = rf"(?is)\A<(?:script|style)(?=[\s/>]){_TAG_REST}(.*)</(?:script|style)\s*+>\z"
 _ATTRIBUTE = r"""[\s/]*+[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+"""
 
+# A table, its rows and their cells; end tags of rows and cells may be missing.
+_TABLE = r"(?is)<table(?=[\s>])[^>]*+>((?:[^<]++|<(?!/table\s*+>))*+)</table\s*+>"
+_ROW = r"(?is)<tr(?=[\s>])[^>]*+>((?:[^<]++|<(?!tr[\s>]|/tr))*+)"
+_CELL = r"(?is)<t[dh](?=[\s>])[^>]*+>((?:[^<]++|<(?!t[dh][\s>]|/t[dhr]))*+)"
+
 _OPEN_SCOPE, _OPEN, _CLOSE, _NONE = 2, 1, -1, 0
 
 
@@ -150,14 +155,9 @@ def table_column(
         raise ValueError(f"on_missing must be 'raise' or 'skip', not {on_missing!r}")
     source = F.col(quoted(page))
     kept = [quoted(name) for name in df.columns]
-    table = F.regexp_extract(source, r"(?is)<table(?=[\s>])[^>]*+>(.*?)</table\s*+>", 1)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr(?=[\s>])[^>]*+>(.*?)(?=<tr[\s>]|</tr|\z)"), F.lit(1))
-    cells = F.transform(
-        rows,
-        lambda row: F.regexp_extract_all(
-            row, F.lit(r"(?is)<t[dh](?=[\s>])[^>]*+>(.*?)(?=<t[dh][\s>]|</t[dhr]|\z)"), F.lit(1)
-        ),
-    )
+    table = F.regexp_extract(source, _TABLE, 1)
+    rows = F.regexp_extract_all(table, F.lit(_ROW), F.lit(1))
+    cells = F.transform(rows, lambda row: F.regexp_extract_all(row, F.lit(_CELL), F.lit(1)))
     parsed = df.withColumn("_cells", cells)
     # Decoding needs Python only for headers with an entity, and they are few.
     heads = parsed.withColumn("_head", F.array_join(F.get("_cells", F.lit(0)), "\x00"))
