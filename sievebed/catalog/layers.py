@@ -299,13 +299,13 @@ def layered_run(spark: SparkSession, folder: str) -> DataFrame:
     """All seven datasets through raw, cleaned and curated; the curated tables side by side."""
     keys, captured = customer_keys(spark, folder), fresh_path(spark, "captured")
     specs = [replace(spec, schema=_SCHEMAS.get(spec.folder)) for spec in standard_specs(SITE)]
-    for spec in specs:
-        overwrite_table(_stored(keys, spec), f"{captured}/{spec.folder}")
+    stored = [_stored(keys, spec).withColumn("dataset", F.lit(spec.folder)) for spec in specs]
+    overwrite_table(reduce(DataFrame.unionByName, stored), captured, partition_by=("dataset",))
     curated = run_layers(
         spark,
         specs,
         keys,
-        lambda dataset: readers.scan_table(spark, f"{captured}/{dataset}"),
+        lambda dataset: readers.scan_table(spark, captured).where(F.col("dataset") == dataset),
         fresh_path(spark, "layers"),
         order_by="version",
     )

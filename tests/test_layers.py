@@ -230,3 +230,22 @@ def test_a_failing_dataset_fails_the_run(spark, tmp_path):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert workspace.fresh_path(spark, "x") != workspace.fresh_path(spark, "x")
+
+
+class Session:
+    """A session without a shared folder."""
+
+    def __init__(self, master):
+        self.settings = {"spark.master": master}
+        self.conf = self
+        self.sparkContext = type("Context", (), {"applicationId": "app-1"})
+
+    def get(self, name, default):
+        return self.settings.get(name, default)
+
+
+def test_only_a_local_session_gets_a_temporary_folder():
+    local = Session("local[2]")
+    assert workspace.shared_folder(local) == workspace.shared_folder(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(Session("spark://host:7077"))
