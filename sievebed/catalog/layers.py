@@ -11,10 +11,11 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from sievebed.catalog.base import Query, table
 from sievebed.catalog.keyed import page_keys
 from sievebed.catalog.reading import RANK_RECORD_SQL, rank_pages
-from sievebed.fixed_values import HISTORY_COLUMNS
+from sievebed.fixed_values import EXPORT_COLUMNS, HISTORY_COLUMNS
 from sievebed.functions.documents import envelope
 from sievebed.functions.text import url_join
 from sievebed.operators.flatten import flatten
+from sievebed.operators.names import project
 from sievebed.operators.policies import limit_rows
 from sievebed.plans import ranks
 from sievebed.plans.cleaning import clean_layer, curate_layer
@@ -192,7 +193,8 @@ def snapshot_load(spark: SparkSession, folder: str) -> DataFrame:
 def rank_export(spark: SparkSession, folder: str) -> DataFrame:
     exports = fresh_path(spark, "exports")
     _snapshot(spark, folder, exports)
-    return spark.read.options(sep="\t", header=True, quote="").csv(f"{exports}/{DAY}_rank_data")
+    exported = spark.read.options(sep="\t", header=True, quote="").csv(f"{exports}/{DAY}_rank_data")
+    return project(exported, {header: column for column, header in EXPORT_COLUMNS})
 
 
 def failure_export(spark: SparkSession, folder: str) -> DataFrame:
@@ -412,9 +414,10 @@ QUERIES = {
     "rank_export": Query(
         rank_export,
         f"""
-        SELECT symbol, coalesce(rank::varchar, 'None') AS zacks, coalesce(value_score, 'None') AS value,
-               coalesce(growth_score, 'None') AS growth, coalesce(momentum_score, 'None') AS momtum,
-               coalesce(vgm_score, 'None') AS vgm, coalesce(industry, 'None') AS industry, '{DAY}' AS date
+        SELECT symbol AS ticker, coalesce(rank::varchar, 'None') AS rank,
+               coalesce(value_score, 'None') AS value_score, coalesce(growth_score, 'None') AS growth_score,
+               coalesce(momentum_score, 'None') AS momentum_score, coalesce(vgm_score, 'None') AS vgm_score,
+               coalesce(industry, 'None') AS industry, '{DAY}' AS reference_date
         FROM ({_GOOD_RANKS})
         """,
     ),

@@ -40,7 +40,7 @@ def url_join(*segments: Column | str) -> Column:
 
 def grade_before(text: Column, label: str) -> Column:
     """Letter A-F joined by a no-break space to a label, any case; null when there is none."""
-    pattern = rf"(?iu)([A-F])\x{{A0}}\Q{label}\E"
+    pattern = rf"([A-Fa-f])\x{{A0}}(?iu:\Q{label}\E)"
     return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
 

@@ -134,7 +134,8 @@ def scoped_lines(
     kinds = tokens.withColumn("_kinds", F.transform("_tokens", lambda token: _token_kind(token, scope_start)))
     pieces = kinds.withColumn("_spans", F.expr(_SPANS)).withColumn("_pieces", F.expr(_PIECES))
     encoded = F.expr("exists(_pieces, piece -> contains(piece, '&'))")
-    text = F.when(encoded, _unescape_joined(F.when(encoded, F.col("_pieces")))).otherwise(F.array_join("_pieces", ""))
+    decoded = _unescape_joined(F.when(encoded, F.col("_pieces")))
+    text = F.when(encoded, decoded).otherwise(F.array_join("_pieces", ""))
     lines = pieces.withColumn("_text", text).withColumn(into, nonblank_lines(F.col("_text")))
     return lines.drop("_tokens", "_kinds", "_spans", "_pieces", "_text")
 
@@ -166,7 +167,6 @@ def table_column(
     found = F.coalesce(F.col("_place") > 0, F.lit(False))
     if on_missing == "raise":
         found = pass_or_raise(found, F.lit(f"no table with the column {header}"))
-    body = placed.where(found).select(
-        *kept, "_place", F.explode(F.slice("_cells", F.lit(2), F.greatest(F.size("_cells") - 1, F.lit(0)))).alias("_row")
-    )
+    body_rows = F.slice("_cells", F.lit(2), F.greatest(F.size("_cells") - 1, F.lit(0)))
+    body = placed.where(found).select(*kept, "_place", F.explode(body_rows).alias("_row"))
     return body.select(*kept, _cell_text(F.get("_row", F.col("_place") - 1)).alias(into))

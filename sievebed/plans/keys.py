@@ -20,7 +20,8 @@ def listed_keys(listing: DataFrame, page: str, base_url: str, header: str = LIST
 
 def page_ids(pages: DataFrame, page: str) -> DataFrame:
     """Both ids of each key page, -1 where a page does not hold one."""
-    return pages.select("ticker", ticker_id(F.col(page)).alias("ticker_id"), company_id(F.col(page)).alias("company_id"))
+    html = F.col(page)
+    return pages.select("ticker", ticker_id(html).alias("ticker_id"), company_id(html).alias("company_id"))
 
 
 def discover_keys(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from sievebed.fixed_values import EXPORT_COLUMNS, EXPORT_NULL
@@ -69,8 +69,21 @@ def write_documents(
 
 
 def write_csv_once(df: DataFrame, path: str) -> None:
-    """Write a CSV file with a header unless the target exists; then the plan does not even run."""
-    df.write.mode("ignore").option("header", True).csv(path)
+    """Write a CSV file with a header unless the target exists; then the plan does not even run.
+
+    What a failed write leaves behind, an empty folder, does not count as existing, so a second try
+    writes.  Spark's own ``ignore`` mode would skip it for good.
+    """
+    if not _holds_files(df.sparkSession, path):
+        df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return False
+    return any(entry.getPath().getName() != "_temporary" for entry in files.listStatus(target))
 
 
 def export_ranks(rows: DataFrame, folder: str, day: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from sievebed import workspace
-from sievebed.fixed_values import DATASETS
+from sievebed.fixed_values import DATASETS, EXPORT_COLUMNS, HISTORY_COLUMNS
 from sievebed.plans import ranks
 from sievebed.plans.cleaning import clean_layer
 from sievebed.plans.ingest import raw_documents, requests
@@ -83,7 +83,9 @@ def test_lines_keep_blanks(spark, tmp_path):
     assert rows(readers.scan_lines(spark, path)) == [("",), ("a",), ("b",)]
 
 
-ROW = StructType([StructField("k", StringType(), False), StructField("n", IntegerType()), StructField("note", StringType())])
+ROW = StructType(
+    [StructField("k", StringType(), False), StructField("n", IntegerType()), StructField("note", StringType())]
+)
 
 
 def test_strict_append(spark, tmp_path):
@@ -134,6 +136,14 @@ def test_write_once_does_not_run_the_plan(spark, tmp_path):
     assert rows(readers.scan_named_csv(spark, path, ("a",))) == [("1",)]
 
 
+def test_a_failed_first_write_is_made_up_for(spark, tmp_path):
+    path = f"{tmp_path}/once"
+    with pytest.raises(PySparkException, match="lost"):
+        writers.write_csv_once(spark.sql("SELECT string(raise_error('lost')) AS a"), path)
+    writers.write_csv_once(spark.sql("SELECT 1 AS a"), path)
+    assert rows(readers.scan_named_csv(spark, path, ("a",))) == [("1",)]
+
+
 def test_export_has_no_quotes_and_says_none(spark, tmp_path):
     good = spark.createDataFrame(
         [("S", 3, "A", None, "C", "D", ' say "x" ', "2024-01-31")],
@@ -144,12 +154,13 @@ def test_export_has_no_quotes_and_says_none(spark, tmp_path):
     (name,) = [n for n in os.listdir(path) if n.startswith("part-")]
     with open(f"{path}/{name}", encoding="utf-8") as lines:
         assert lines.read() == (
-            "symbol\tzacks\tvalue\tgrowth\tmomtum\tvgm\tindustry\tdate\n"
+            "\t".join(header for _, header in EXPORT_COLUMNS) + "\n"
             'S\t3\tA\tNone\tC\tD\t say "x" \t2024-01-31\n'
         )
 
 
-HISTORY = "reference_date,Symbol,ZacksRank,ValueScore,GrowthScore,MomentumScore,VGMScore,Industry\n"
+# The file's columns in another order than the table's: the date first.
+HISTORY = ",".join(["reference_date", *(header for header, _ in HISTORY_COLUMNS[:-1])]) + "\n"
 
 
 def test_history_load(spark, tmp_path):
