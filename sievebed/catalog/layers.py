@@ -19,7 +19,7 @@ from sievebed.operators.names import project
 from sievebed.operators.policies import limit_rows
 from sievebed.plans import ranks
 from sievebed.plans.cleaning import clean_layer, curate_layer
-from sievebed.plans.ingest import raw_documents, requests
+from sievebed.plans.ingest import ingest_layer
 from sievebed.plans.keys import discover_keys, write_key_table
 from sievebed.plans.layered import DatasetSpec, run_layers, standard_specs
 from sievebed.sinks.writers import overwrite_table, strict_append, write_csv_once, write_documents
@@ -181,8 +181,7 @@ def _snapshot(spark: SparkSession, folder: str, export_folder: str | None) -> st
     pages = rank_pages(spark, folder)
     listed = pages.select("symbol").union(pages.select(F.concat(F.lit("un"), F.col("symbol"))))
     listed.write.csv(symbols_path)
-    records = ranks.symbol_records(readers.scan_symbols(spark, symbols_path), pages)
-    ranks.load_snapshot(spark, records, loaded, fresh_path(spark, "records"), DAY, export_folder)
+    ranks.run_snapshot(spark, symbols_path, pages, loaded, fresh_path(spark, "records"), DAY, export_folder=export_folder)
     return loaded
 
 
@@ -273,8 +272,7 @@ def raw_ingest(spark: SparkSession, folder: str) -> DataFrame:
     keys = customer_keys(spark, folder)
     spec = next(s for s in standard_specs(SITE) if s.folder == "net_income")
     responses = _stored(keys, spec).withColumn("body", F.concat(F.lit('{"url":\n"'), F.col("url"), F.lit('"}')))
-    wanted = requests(keys, spec.url, spec.id_column, spec.suffix, order_by="version")
-    write_documents(raw_documents(wanted, responses), path)
+    ingest_layer(keys, responses, path, spec.url, spec.id_column, spec.suffix, order_by="version")
     return spark.read.text(path).withColumnRenamed("value", "document")
 
 

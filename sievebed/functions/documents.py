@@ -38,9 +38,8 @@ def envelope(key: Column, payload: Column) -> Column:
     """
     head = F.to_json(F.struct(key.cast("string").alias(DOCUMENT_KEY)), {"ignoreNullFields": "false"})
     body = F.replace(F.replace(payload, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
-    return F.concat(
-        F.substring(head, F.lit(1), F.length(head) - 1), F.lit(f',"{DOCUMENT_DATA}":'), body, F.lit("}")
-    )
+    # The value is a text or null, so exactly one brace stands at the end.
+    return F.concat(F.rtrim(head, F.lit("}")), F.lit(f',"{DOCUMENT_DATA}":'), body, F.lit("}"))
 
 
 def parsed(payload: Column, schema: DataType | str) -> Column:

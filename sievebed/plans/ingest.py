@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sievebed.functions.documents import envelope, is_json
 from sievebed.operators.keys import add_url, attach_responses, drop_sentinel, last_per_key, select_id
 from sievebed.operators.policies import flag, flag_html, settle
+from sievebed.sinks.writers import write_documents
 
 
 def requests(keys: DataFrame, url: str, id_column: str, suffix: str = "", order_by: str | None = None) -> DataFrame:
@@ -29,3 +30,18 @@ def raw_documents(wanted: DataFrame, responses: DataFrame, on_error: str = "rais
     flagged = flag(flagged, ~is_json(F.col("body")), "payload is not JSON")
     good = settle(flagged, "ticker", on_error)
     return good.select("ticker", envelope(F.col("ticker"), F.col("body")).alias("document"))
+
+
+def ingest_layer(
+    keys: DataFrame,
+    responses: DataFrame,
+    raw_path: str,
+    url: str,
+    id_column: str,
+    suffix: str = "",
+    order_by: str | None = None,
+    on_error: str = "raise",
+) -> None:
+    """Key table and stored responses of one dataset to its raw layer."""
+    wanted = requests(keys, url, id_column, suffix, order_by)
+    write_documents(raw_documents(wanted, responses, on_error), raw_path)

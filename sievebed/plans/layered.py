@@ -12,8 +12,7 @@ from pyspark.sql.types import StructType
 
 from sievebed.fixed_values import DATASETS, DATASETS_AT_ONCE
 from sievebed.plans.cleaning import clean_layer, curate_layer
-from sievebed.plans.ingest import raw_documents, requests
-from sievebed.sinks.writers import write_documents
+from sievebed.plans.ingest import ingest_layer
 
 
 @dataclass(frozen=True)
@@ -51,8 +50,7 @@ def run_dataset(
     """Raw, cleaned and curated layer of one dataset, each read back from the one before."""
     raw, cleaned = f"{root}/raw/{spec.folder}", f"{root}/cleaned/{spec.folder}"
     options = curated_options(spec.folder) if curated_options else {"path": f"{root}/curated/{spec.folder}"}
-    wanted = requests(keys, spec.url, spec.id_column, spec.suffix, order_by)
-    write_documents(raw_documents(wanted, responses, on_error), raw)
+    ingest_layer(keys, responses, raw, spec.url, spec.id_column, spec.suffix, order_by, on_error)
     clean_layer(spark, raw, cleaned, spec.cleaning, spec.schema)
     curate_layer(spark, cleaned, options, curated_format)
     return options.get("path", spec.folder)

@@ -13,7 +13,7 @@ from sievebed.operators.names import project
 from sievebed.operators.policies import bad_rows, good_rows, limit_rows
 from sievebed.operators.records import RANK_FIELDS, RANK_ROW, page_records, rank_rows
 from sievebed.sinks.writers import export_failures, export_ranks, overwrite_table, strict_append
-from sievebed.sources.readers import scan_history, scan_table
+from sievebed.sources.readers import scan_history, scan_symbols, scan_table
 
 HISTORY_ROW = StructType([field for field in RANK_ROW if field.name in {name for _, name in HISTORY_COLUMNS}])
 
@@ -51,7 +51,36 @@ def load_snapshot(
         export_failures(bad_rows(staged), export_folder, day, "symbol")
 
 
-def load_history(spark: SparkSession, csv_path: str, table_path: str, batch_rows: int | None = None) -> None:
-    """Append the whole history file to the rank table in one plan."""
+def run_snapshot(
+    spark: SparkSession,
+    symbols_path: str,
+    pages: DataFrame,
+    table_path: str,
+    stage_path: str,
+    day: dt.date | str | None = None,
+    limit: int = -1,
+    export_folder: str | None = None,
+    partition_by: tuple[str, ...] = (),
+) -> None:
+    """Symbol file and stored pages to the day's rows of the rank table; ``limit`` takes first lines."""
+    symbols = scan_symbols(spark, symbols_path, order_into="line_order")
+    records = symbol_records(symbols, pages, limit, "line_order")
+    load_snapshot(spark, records, table_path, stage_path, day, export_folder, partition_by)
+
+
+def load_history(
+    spark: SparkSession,
+    csv_path: str,
+    table_path: str,
+    batch_rows: int | None = None,
+    partition_by: tuple[str, ...] = (),
+) -> None:
+    """Append the whole history file to the rank table in one plan.
+
+    Loaded by day (``partition_by``), the rows of a day are first brought together; the rebalance
+    splits a day that is too large for one task and joins small ones.
+    """
     rows = project(scan_history(spark, csv_path), dict(HISTORY_COLUMNS))
-    strict_append(rows, HISTORY_ROW, table_path, batch_rows)
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    strict_append(rows, HISTORY_ROW, table_path, batch_rows, partition_by)

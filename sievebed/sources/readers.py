@@ -90,6 +90,11 @@ def scan_history(spark: SparkSession, path: str) -> DataFrame:
     return valued.withColumn(rank, whole_number(F.col(rank)).cast(IntegerType()))
 
 
-def scan_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table of the cleaned layer."""
-    return spark.read.parquet(path)
+def scan_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """Parquet table of the cleaned layer.
+
+    Give the schema of a table partitioned by a text column that looks like a date or a number: Spark
+    would guess that type from the folder names.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)

@@ -175,6 +175,25 @@ def test_history_load(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 2
 
 
+def test_history_by_day(spark, tmp_path):
+    lines = "".join(f"2022-01-0{n % 3 + 1},S{n},3,A,A,A,A,x\n" for n in range(300))
+    csv = put(tmp_path / "csv", h__csv=HISTORY + lines)
+    ranks.load_history(spark, csv, f"{tmp_path}/t", partition_by=("reference_date",))
+    folders = [n for n in os.listdir(f"{tmp_path}/t") if n.startswith("reference_date=")]
+    assert len(folders) == 3
+    assert all(len([n for n in os.listdir(f"{tmp_path}/t/{f}") if n.endswith(".parquet")]) == 1 for f in folders)
+    loaded = readers.scan_table(spark, f"{tmp_path}/t", ranks.HISTORY_ROW)
+    assert loaded.schema == ranks.HISTORY_ROW
+    assert loaded.where("reference_date = '2022-01-02'").count() == 100
+
+
+def test_snapshot_takes_the_first_lines(spark, tmp_path):
+    symbols = put(tmp_path / "symbols", s__csv="C\nA\nB\n")
+    pages = spark.createDataFrame([(s, "<p>no block</p>") for s in "ABC"], "symbol string, body string")
+    ranks.run_snapshot(spark, symbols, pages, f"{tmp_path}/t", f"{tmp_path}/s", "2024-01-31", limit=2)
+    assert sorted(r.ticker for r in spark.read.parquet(f"{tmp_path}/t").collect()) == ["A", "C"]
+
+
 KEYS = "ticker string, ticker_id long, company_id long, line int"
 
 

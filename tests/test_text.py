@@ -130,6 +130,9 @@ def test_envelope_is_the_payload_with_its_key(spark):
         document = df.select(documents.envelope(F.col("k"), F.col("p"))).first()[0]
         assert json.loads(document) == {"ticker": 'k"1', "data": json.loads(payload)}
         assert "\n" not in document
+    for key in ("a}", "}", "", None, "é\\"):
+        df = spark.createDataFrame([(key, "{}")], "k string, p string")
+        assert json.loads(df.select(documents.envelope(F.col("k"), F.col("p"))).first()[0]) == {"ticker": key, "data": {}}
 
 
 def test_holds_html(spark):
