@@ -66,10 +66,10 @@ EXPORT_COLUMNS = (
 )
 EXPORT_NULL = "None"
 
-# Fixed values -- texts the pandas CSV reader takes as "not a number" (its documented defaults).
+# Fixed values -- texts the pandas CSV reader takes as "not a number" (documented defaults of 1.5).
 NOT_A_VALUE = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 )
 
 # Fixed values -- HTML elements that never have an end tag (HTML standard, void elements).

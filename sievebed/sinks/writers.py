@@ -75,7 +75,7 @@ def write_csv_once(df: DataFrame, path: str) -> None:
     writes.  Spark's own ``ignore`` mode would skip it for good.
     """
     if not _holds_files(df.sparkSession, path):
-        df.write.mode("overwrite").option("header", True).csv(path)
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def _holds_files(spark: SparkSession, path: str) -> bool:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from sievebed.fixed_values import HISTORY_COLUMNS
@@ -55,11 +55,16 @@ def _line_order(into: str | None) -> list[Column]:
     return [place.alias(into)]
 
 
+def _csv(spark: SparkSession) -> DataFrameReader:
+    """Quotes inside quotes are doubled, as most programs write them."""
+    return spark.read.option("escape", '"')
+
+
 def scan_named_csv(
     spark: SparkSession, path: str, names: tuple[str, ...], order_into: str | None = None
 ) -> DataFrame:
     """Text columns of a CSV file picked by their header names, in the order asked for."""
-    return spark.read.option("header", True).csv(path).select(*map(quoted, names), *_line_order(order_into))
+    return _csv(spark).option("header", True).csv(path).select(*map(quoted, names), *_line_order(order_into))
 
 
 def scan_key_table(spark: SparkSession, path: str, order_into: str | None = None) -> DataFrame:
@@ -70,7 +75,7 @@ def scan_key_table(spark: SparkSession, path: str, order_into: str | None = None
 
 def scan_symbols(spark: SparkSession, path: str, order_into: str | None = None) -> DataFrame:
     """First column of a CSV file without a header; on request with the order of the lines."""
-    return spark.read.schema("symbol string").csv(path).select("symbol", *_line_order(order_into))
+    return _csv(spark).schema("symbol string").csv(path).select("symbol", *_line_order(order_into))
 
 
 def scan_lines(spark: SparkSession, path: str, into: str = "symbol") -> DataFrame:

@@ -136,6 +136,12 @@ def test_write_once_does_not_run_the_plan(spark, tmp_path):
     assert rows(readers.scan_named_csv(spark, path, ("a",))) == [("1",)]
 
 
+def test_quotes_survive_a_csv_file(spark, tmp_path):
+    value = 'a "b", c\\'
+    writers.write_csv_once(spark.createDataFrame([(value,)], "v string"), f"{tmp_path}/q")
+    assert rows(readers.scan_named_csv(spark, f"{tmp_path}/q", ("v",))) == [(value,)]
+
+
 def test_a_failed_first_write_is_made_up_for(spark, tmp_path):
     path = f"{tmp_path}/once"
     with pytest.raises(PySparkException, match="lost"):
@@ -164,10 +170,10 @@ HISTORY = ",".join(["reference_date", *(header for header, _ in HISTORY_COLUMNS[
 
 
 def test_history_load(spark, tmp_path):
-    csv = put(tmp_path / "csv", h__csv=HISTORY + '2022-01-01,NA,3.0,A,NA,,D,"Oil, Gas"\n2022-01-02,X,,B,C,nan,F,None\n')
+    csv = put(tmp_path / "csv", h__csv=HISTORY + '2022-01-01,NA,3.0,A,NA,,D,"Oil, ""Gas"""\n2022-01-02,X,,B,C,nan,F,n/a\n')
     ranks.load_history(spark, csv, f"{tmp_path}/t")
     assert rows(spark.read.parquet(f"{tmp_path}/t")) == [
-        ("NA", 3, "A", None, None, "D", "Oil, Gas", "2022-01-01"), ("X", None, "B", "C", None, "F", None, "2022-01-02"),
+        ("NA", 3, "A", None, None, "D", 'Oil, "Gas"', "2022-01-01"), ("X", None, "B", "C", None, "F", None, "2022-01-02"),
     ]
     bad = put(tmp_path / "bad", h__csv=HISTORY + "2022-01-01,X,high,A,A,A,A,x\n")
     with pytest.raises(PySparkException, match="not a whole number"):
