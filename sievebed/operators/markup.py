@@ -140,8 +140,8 @@ def scoped_lines(
     return lines.drop("_tokens", "_kinds", "_spans", "_pieces", "_text")
 
 
-def _cell_text(cell: Column) -> Column:
-    return strip(decode_entities(F.regexp_replace(cell, r"(?s)<!--.*?-->|<[^>]*+>", "")))
+def _without_tags(cell: Column) -> Column:
+    return F.regexp_replace(cell, r"(?s)<!--.*?-->|<[^>]*+>", "")
 
 
 def table_column(
@@ -160,13 +160,15 @@ def table_column(
     rows = F.regexp_extract_all(table, F.lit(_ROW), F.lit(1))
     cells = F.transform(rows, lambda row: F.regexp_extract_all(row, F.lit(_CELL), F.lit(1)))
     parsed = df.withColumn("_cells", cells)
-    # Decoding needs Python only for headers with an entity, and they are few.
-    heads = parsed.withColumn("_head", F.array_join(F.get("_cells", F.lit(0)), "\x00"))
-    plain_heads = F.transform(F.split(_cell_text(F.col("_head")), "\x00"), strip)
-    placed = heads.withColumn("_place", F.array_position(plain_heads, F.lit(header)).cast("int"))
+    # The header cells are decoded in one go; as above, each step is a column of its own.
+    head = F.array_join(F.transform(F.get("_cells", F.lit(0)), _without_tags), "\x00", "")
+    heads = parsed.withColumn("_head", head)
+    names = F.transform(F.split(decode_entities(F.col("_head")), "\x00"), strip)
+    placed = heads.withColumn("_place", F.array_position(names, F.lit(header)).cast("int"))
     found = F.coalesce(F.col("_place") > 0, F.lit(False))
     if on_missing == "raise":
         found = pass_or_raise(found, F.lit(f"no table with the column {header}"))
     body_rows = F.slice("_cells", F.lit(2), F.greatest(F.size("_cells") - 1, F.lit(0)))
     body = placed.where(found).select(*kept, "_place", F.explode(body_rows).alias("_row"))
-    return body.select(*kept, _cell_text(F.get("_row", F.col("_place") - 1)).alias(into))
+    cell = body.withColumn("_cell", _without_tags(F.get("_row", F.col("_place") - 1)))
+    return cell.select(*kept, strip(decode_entities(F.col("_cell"))).alias(into))
