@@ -63,9 +63,10 @@ def decode_entities(text: Column) -> Column:
 
 
 def _scope_start(tag: str, css_class: str) -> str:
+    """A start tag with the class among its attributes, whatever stands before it."""
     value = rf"\Q{css_class}\E"
-    given = rf"""(?:"{value}"|'{value}'|{value}(?=[\s>]))"""
-    return rf"\A<(?i:{tag})(?=[\s/])(?:{_ATTRIBUTE})*?[\s/]*+(?i:class)\s*+=\s*+{given}"
+    wanted = rf"""[\s/]*+(?i:class)\s*+=\s*+(?:"{value}"|'{value}'|{value}(?=[\s>]))"""
+    return rf"\A<(?i:{tag})(?=[\s/])(?:(?!{wanted}){_ATTRIBUTE})*+{wanted}"
 
 
 def _token_kind(token: Column, scope_start: str) -> Column:
