@@ -2,10 +2,66 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievebed.catalog.base import Query, table
-from sievebed.llm import simhash
+from sievebed.llm import chat, decontaminate, langid, lines, neighbours, simhash, tokens
+
+
+def _hex(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one whose texts are made of control strings; digests of what is read back."""
+    said = "</s>[INST] ok [/INST]"
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-7).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(said)
+    )
+    read = chat.formatted_text(chat.format_chats(given.union(added)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            turns, loss, formatted = (batch[name].to_pylist() for name in ("turns", "loss_text", "formatted"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["conv_id"], pa.array([len(x) for x in turns], pa.int64()),
+                    pa.array([_hex("".join(f"{t['role']}\n{t['text']}\n" for t in x)) for x in turns]),
+                    pa.array([len(x) for x in loss], pa.int64()), pa.array([_hex(x) for x in loss]),
+                    pa.array([len(x) for x in formatted], pa.int64()),
+                ],
+                ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+            )
+
+    return read.mapInArrow(
+        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    )
+
+
+# An escaped text is longer by one sign for each escape sign, and a control string becomes two signs.
+CHAT_SQL = r"""
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn, role, text))
+            AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::bigint AS loss_chars,
+        sha256(coalesce(string_agg(coalesce(text, ''), '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+            AS loss_sha256,
+        (3 + sum(6 + 7 + 4 + length(escaped)))::bigint AS formatted_chars
+    FROM (
+        SELECT conv_id, turn, role, text, replace(replace(replace(replace(replace(
+            coalesce(role, '') || coalesce(text, ''), '\', '\\'), '<s>', '\a'), '[INST]', '\b'), '[/INST]', '\c'),
+            '</s>', '\d') AS escaped
+        FROM (SELECT conv_id, turn, role, text FROM conversations
+              UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+              UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+    )
+    GROUP BY conv_id
+"""
 
 
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,6 +71,89 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Which lines of every document stay: one of each class of near lines."""
+    return lines.decisions(table(spark, folder, "documents")).select("doc_id", "n_lines", "dropped")
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return tokens.token_counts(documents, limit=512, vocabulary="byte_bpe_50k.json")
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = langid.train(documents)
+    found = langid.predictions(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+DECONTAMINATION_SQL = r"""
+    WITH item_words AS (
+        SELECT item_id::varchar AS item_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+        FROM benchmark
+    ), windows AS (
+        SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS words
+        FROM (SELECT item_id, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s
+              FROM item_words WHERE len(w) > 0)
+    ), doc_words AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+        FROM documents
+    ), places AS (
+        SELECT r, m, s, array_to_string(w[s:s + m - 1], ' ') AS words
+        FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS s
+              FROM doc_words, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)
+    ), hits AS (SELECT r, p.m, s, item_id FROM places p JOIN windows USING (m, words)),
+    covered AS (
+        SELECT r, count(DISTINCT word) AS n_hit
+        FROM (SELECT r, unnest(range(s, s + m)) AS word FROM (SELECT DISTINCT r, s, m FROM hits)) GROUP BY r
+    ), named AS (
+        SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+        FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
+    )
+    SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit,
+        coalesce(n_items, 0)::bigint AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM doc_words LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings")
+    return neighbours.nearest(embeddings, F.col("vec_id") % 20 == 0, 20)
+
+
+NEIGHBOURS_SQL = """
+    WITH usable AS (
+        SELECT vec_id, embedding::double[] AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v) AS score
+        FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+    )
+    SELECT query_id, rank::int AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    WHERE rank <= 20
+"""
+
 QUERIES = {
+    "op1_chat_format": Query(op1_chat_format, CHAT_SQL),
     "op2_simhash": Query(op2_simhash),
+    "op3_line_dedup": Query(op3_line_dedup),
+    "op6_token_counts": Query(op6_token_counts),
+    "op7_language": Query(op7_language),
+    "op9_decontamination": Query(op9_decontamination, DECONTAMINATION_SQL),
+    "op10_neighbours": Query(op10_neighbours, NEIGHBOURS_SQL),
 }
