@@ -7,20 +7,51 @@ the stage at hand.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievebed.catalog.base import table
-from sievebed.llm import simhash
+from sievebed.llm import decontaminate, langid, lines, pieces, simhash
 from sievebed.llm.tables import written
 
+#: A document whose language is less sure than this is rejected.
+LEAST_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages learned; those without letters or without a likely language go."""
+    model = langid.train(docs)
+    marked = docs.withColumn("__text", F.col("text"))
+    found = langid.predictions(marked, model, "__text", prediction="__lang", score="__score")
+    kept = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)
+    return found.where(kept).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near lines the first stays; all documents stay."""
+    return lines.drop_lines(docs)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: that of the smallest doc_id."""
     return simhash.one_of_each_class(docs, words=3, distance=2)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more lies in windows of benchmark items go."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``lang``, ``source`` and the ids of each text."""
+    return pieces.encoded(docs.select("doc_id", "lang", "source", "text"))
+
+
 STAGES = [
+    ("language", language),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", near_duplicates),
+    ("decontamination", decontamination),
+    ("sentencepiece", encoding),
 ]
 
 #: The stages learn models and follow links, which SQL cannot say; tests hold them against brute force.

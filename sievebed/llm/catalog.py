@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievebed.catalog.base import Query, table
-from sievebed.llm import chat, decontaminate, langid, lines, neighbours, simhash, tokens
+from sievebed.llm import chat, decontaminate, langid, lines, neighbours, passages, pieces, sharding, simhash, tokens
 
 
 def _hex(text: str) -> str:
@@ -76,6 +76,21 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.decisions(table(spark, folder, "documents")).select("doc_id", "n_lines", "dropped")
 
 
+def op4_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.shared_passages(table(spark, folder, "documents"))
+
+
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select(
+        "doc_id", "text", F.crc32(F.col("text").cast("binary")).alias("text_crc32")
+    )
+    placed = sharding.byte_shards(documents, 8, keep_text=False)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return tokens.token_counts(documents, limit=512, vocabulary="byte_bpe_50k.json")
@@ -88,6 +103,18 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text, and whether the text that comes back from them is the same."""
+    documents = table(spark, folder, "documents").select(
+        "doc_id", F.crc32(F.col("text").cast("binary")).alias("text_crc32"), "text"
+    )
+    back = pieces.decoded(pieces.encoded(documents).withColumn("kept_ids", F.col("ids")))
+    return back.select(
+        "doc_id", F.size("kept_ids").cast("long").alias("n_pieces"), F.col("kept_ids").alias("ids"),
+        F.crc32(F.col("text").cast("binary")).eqNullSafe(F.col("text_crc32")).alias("round_trip"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -152,8 +179,11 @@ QUERIES = {
     "op1_chat_format": Query(op1_chat_format, CHAT_SQL),
     "op2_simhash": Query(op2_simhash),
     "op3_line_dedup": Query(op3_line_dedup),
+    "op4_passages": Query(op4_passages),
+    "op5_sharding": Query(op5_sharding),
     "op6_token_counts": Query(op6_token_counts),
     "op7_language": Query(op7_language),
+    "op8_pieces": Query(op8_pieces),
     "op9_decontamination": Query(op9_decontamination, DECONTAMINATION_SQL),
     "op10_neighbours": Query(op10_neighbours, NEIGHBOURS_SQL),
 }

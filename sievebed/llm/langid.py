@@ -24,6 +24,8 @@ from sievebed.llm.tables import without, written
 LEARN_FROM = 40_000
 #: Words and n-grams the model keeps per language (the most frequent): bounds what is broadcast.
 WORDS, GRAMS = 30_000, 30_000
+#: Words seen less often are left to their n-grams.
+LEAST_SEEN = 2
 #: Longest n-gram, and the longest word read; of longer ones each stretch of this length is a word.
 LONGEST_GRAM, LONGEST_WORD = 5, 40
 #: What counts are raised by, so that no language is ruled out by one word.
@@ -132,8 +134,9 @@ def train(
     counted = written(
         _counted(sampled).groupBy("language", "kind", "item").agg(F.sum("n").alias("n")), "language_counts"
     )
+    counted = counted.where((F.col("kind") == 1) | (F.col("n") >= LEAST_SEEN))
     kinds = [_top(counted.where(F.col("kind") == kind), kept) for kind, kept in ((0, WORDS), (1, GRAMS))]
-    languages = sorted({row[0] for row in kinds[0]})
+    languages = sorted({row[0] for kind in kinds for row in kind})
     total_words = np.ones(len(languages))
     for language, _, n in kinds[0]:
         total_words[languages.index(language)] += n
@@ -187,15 +190,17 @@ class Scorer:
         return model.languages[best], float(1.0 / share.sum())
 
 
-def predictions(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``documents`` with ``lang_pred`` and ``score`` instead of the text.
+def predictions(
+    documents: DataFrame, model: Model, text: str = "text", *, prediction: str = "lang_pred", score: str = "score",
+) -> DataFrame:
+    """``documents`` with ``lang_pred`` and ``score`` (or other names) instead of the text.
 
     ``lang_pred`` is a language of the model; ``und``, with score zero, if the text is null or has no
     letter, or if the model has learned nothing.  ``score`` is the probability of the language given that
     the text is of one of the model's; ties go to the first by name.  Columns of those names are replaced.
     """
-    kept = without(documents, [text, "lang_pred", "score"]).columns
-    schema = documents.select(*kept, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    kept = without(documents, [text, prediction, score]).columns
+    schema = documents.select(*kept, F.lit("").alias(prediction), F.lit(0.0).alias(score)).schema
     shared: Broadcast = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
