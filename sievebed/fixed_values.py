@@ -89,7 +89,9 @@ DATASETS = (
     ("prices_profit", "api/cotacao-lucro/", "ticker", "adjusted/", "price_profit"),
 )
 
-# Fixed values -- tries of a callback, rows of one load batch, datasets run at once.
+# Fixed values -- tries of a callback, datasets run at once.
 CALLBACK_TRIES = 5
-LOAD_BATCH_ROWS = 10_000
 DATASETS_AT_ONCE = 4
+
+# Fixed values -- option names of the warehouse connector: data set, table, bucket for the load.
+WAREHOUSE_OPTIONS = ("dataset", "table", "temporaryGcsBucket")

@@ -16,3 +16,11 @@ def pass_or_raise(ok: Column, message: Column) -> Column:
         .when(F.spark_partition_id() < 0, F.lit(True))
         .otherwise(F.raise_error(message).cast("boolean"))
     )
+
+
+def keep_here(wanted: Column) -> Column:
+    """``wanted`` as a filter that stays where it stands.
+
+    Pushed below the projection that computes its column, the filter would compute it once more.
+    """
+    return wanted & (F.spark_partition_id() >= 0)

@@ -22,6 +22,7 @@ def is_json(payload: Column) -> Column:
     Spark's JSON functions stop at the end of the first value, so ``{"a": 1} tail`` would pass.  Put
     inside both an array and an object, a payload with a tail breaks at least one of the two.  They
     also take single quotes and raw control characters; those show up once the strings are removed.
+    ``NaN`` and ``Infinity`` are no JSON, though some writers and readers pass them.
     """
     in_array = F.json_array_length(F.concat(F.lit("["), payload, F.lit("]")))
     in_object = F.json_object_keys(F.concat(F.lit('{"v":'), payload, F.lit("}")))

@@ -15,8 +15,13 @@ def first_digit(text: Column) -> Column:
 
 
 def id_from(text: Column, pattern: str, missing: int = MISSING_ID) -> Column:
-    """First capture of a pattern as a long, ``missing`` when nothing matches; ``.`` spans lines."""
-    return F.coalesce(F.regexp_extract(text, f"(?s){pattern}", 1).try_cast("bigint"), F.lit(missing).cast("bigint"))
+    """First capture of a pattern as a long, ``missing`` when nothing matches; ``.`` spans lines.
+
+    A number too large for a long gives null: the id is there, but cannot be kept.
+    """
+    found = F.regexp_extract(text, f"(?s){pattern}", 1)
+    nothing = F.coalesce(found, F.lit("")) == ""
+    return F.when(nothing, F.lit(missing).cast("bigint")).otherwise(found.try_cast("bigint"))
 
 
 def ticker_id(html: Column) -> Column:

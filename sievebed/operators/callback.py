@@ -4,34 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from sievebed.fixed_values import CALLBACK_TRIES
 
-RESULT = "key string, value string, error string"
-
 
 def map_payloads(
     df: DataFrame,
     key: str,
     payload: str,
-    function: Callable[[str, str], tuple[str, str]],
+    function: Callable[[str, str], tuple[str, object]],
     tries: int = CALLBACK_TRIES,
     on_error: str = "raise",
+    value_type: DataType | str = "string",
 ) -> DataFrame:
     """Apply ``function(key, payload) -> (key, value)`` to every row, in Arrow batches.
 
-    A failing call is tried again, ``tries`` calls in all.  Then the error fails the query
-    (``raise``) or becomes the row's ``error`` (``quarantine``).
+    A failing call is tried again, ``tries`` calls in all, and so is one whose value is not of
+    ``value_type``.  Then the error fails the query (``raise``) or becomes the row's ``error``
+    (``quarantine``).
     """
+    kind = StructType.fromDDL(f"value {value_type}")["value"].dataType if isinstance(value_type, str) else value_type
+    fields = [("key", StringType()), ("value", kind), ("error", StringType())]
+    result = StructType([StructField(name, each) for name, each in fields])
+    arrow_kind = to_arrow_type(kind)
+
     if on_error not in ("raise", "quarantine") or tries < 1:
         raise ValueError("on_error must be 'raise' or 'quarantine', and tries at least 1")
 
-    def call(row_key: str, body: str) -> tuple[str, str | None, str | None]:
+    def call(row_key: str, body: str) -> tuple[str, object, str | None]:
         for attempt in range(1, tries + 1):
             try:
-                return (*function(row_key, body), None)
+                new_key, value = function(row_key, body)
+                pa.array([new_key], pa.string()), pa.array([value], arrow_kind)  # raises for another type
+                return new_key, value, None
             except Exception as error:
                 if attempt == tries:
                     if on_error == "raise":
@@ -39,10 +48,13 @@ def map_payloads(
                     return row_key, None, repr(error)
         raise AssertionError("not reached")
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            rows = [call(k, body) for k, body in zip(frame["key"], frame["payload"], strict=True)]
-            yield pd.DataFrame(rows, columns=["key", "value", "error"], dtype="object")
+            rows = [call(k, body) for k, body in zip(*(column.to_pylist() for column in frame.columns), strict=True)]
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            types = (pa.string(), arrow_kind, pa.string())
+            arrays = [pa.array(values, each) for values, each in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "value", "error"])
 
     pairs = df.select(F.col(key).cast("string").alias("key"), F.col(payload).cast("string").alias("payload"))
-    return pairs.mapInPandas(batches, RESULT)
+    return pairs.mapInArrow(batches, result)

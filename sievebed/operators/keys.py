@@ -32,14 +32,15 @@ def last_per_key(df: DataFrame, key: str | list[str], order_by: str | list[str])
     """The row with the highest order value of each key.
 
     One aggregation with a combine before the shuffle: of a key that holds a third of the table, at
-    most one row per task is sent on.  The order must tell the rows of a key apart.
+    most one row per task is sent on.  Of rows that the order does not tell apart, the greatest counts.
     """
     keys = [key] if isinstance(key, str) else key
     order = [order_by] if isinstance(order_by, str) else order_by
     rest = [name for name in df.columns if name not in keys]
     if not rest:
         return df.distinct()
-    last = F.max_by(F.struct(*map(quoted, rest)), F.struct(*map(quoted, order))).alias("last_row")
+    row = F.struct(*map(quoted, rest))
+    last = F.max_by(row, F.struct(F.struct(*map(quoted, order)), row)).alias("last_row")
     return (
         df.groupBy(*map(quoted, keys))
         .agg(last)
@@ -47,10 +48,19 @@ def last_per_key(df: DataFrame, key: str | list[str], order_by: str | list[str])
     )
 
 
-def attach_responses(requests: DataFrame, responses: DataFrame, on: list[str], body: str = "body") -> DataFrame:
+def attach_responses(
+    requests: DataFrame, responses: DataFrame, on: list[str], body: str = "body", order_by: str | list[str] | None = None
+) -> DataFrame:
     """Each request with its stored response; requests without one get a null body.
 
-    Both sides must be unique in ``on`` (see ``last_per_key``), so no key is hot: one join, in which
-    every body moves once at most.
+    The requests must be unique in ``on`` (see ``last_per_key``).  Of several responses to one, the last
+    by ``order_by`` counts, without it the greatest body.  An inner join finds the answered requests, so a
+    small set of requests is sent to the responses and no other body moves; those without an answer are
+    found by keys alone.
     """
-    return requests.join(responses.select(*on, body), on, "left")
+    order = [] if order_by is None else [order_by] if isinstance(order_by, str) else list(order_by)
+    stored = responses.select(*dict.fromkeys([*on, body, *order]))
+    answered = last_per_key(requests.join(stored, on), on, order or body).drop(*[n for n in order if n not in on])
+    missing = requests.join(responses.select(*on), on, "left_anti")
+    nothing = missing.withColumn(body, F.lit(None).cast(responses.schema[body].dataType))
+    return answered.unionByName(nothing)

@@ -1,26 +1,28 @@
 """Text out of stored web pages.
 
-A page is cut into tokens by one regular expression and walked once with array functions, so whole
-pages stay inside the JVM.  Only the short texts found, and of those only the ones with an ``&``, go
-through Python, to decode HTML entities.
+A page is cut into tokens by one regular expression in the JVM.  To Python go, in Arrow batches, the kinds
+of the tokens of pages that name a scope, to be walked once; the texts found that hold an ``&``, to be
+decoded; and the tokens of pages whose table is read.
 """
 
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from sievebed.fixed_values import LISTING_HEADER, RANK_SCOPE_CLASS, RANK_SCOPE_TAG, VOID_ELEMENTS
 from sievebed.functions.checks import pass_or_raise
-from sievebed.functions.text import nonblank_lines, strip
+from sievebed.functions.text import nonblank_lines
 from sievebed.operators.flatten import quoted
 
 # All quantified groups are possessive: Java matches those in a loop, not by recursion.
-_TAG_REST = r"(?:[^\x22\x27>]++|\x22[^\x22]*+\x22|\x27[^\x27]*+\x27)*+>"
-_RAW_ELEMENT = rf"<(?:script|style)(?=[\s/>]){_TAG_REST}.*?</(?:script|style)\s*+>"
+# Behind a tag's name come names, each with a value or not: quotes open a value only right behind "=".
+_TAG_REST = r"[^\s/>]*+(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27|[^\s\x22\x27>][^\s>]*+))?+|=)*+>"
+_RAW_ELEMENT = rf"<(?:script|style)(?=[\s/>]){_TAG_REST}.*?(?:</(?:script|style)\s*+>|\z)"
 _COMMENT = r"<!--.*?-->"
 _DECLARATION = r"<[!?][^>]*+>|</[^a-z>][^>]*+>"
 _END_TAG = r"</[a-z][^>]*+>"
@@ -29,14 +31,9 @@ _TOKEN = rf"(?is){_COMMENT}|{_RAW_ELEMENT}|<[a-z]{_TAG_REST}|{_END_TAG}|{_DECLAR
 _VOID = "|".join(VOID_ELEMENTS)
 # Tokens that neither open nor close an element.
 _NEUTRAL = rf"(?is)\A(?:[^<]|<\z|<[!?]|</?(?:{_VOID})(?=[\s/>])|</[^a-z]|<(?:script|style)(?=[\s/>])|<.*/>\z)"
-_RAW_TEXT = rf"(?is)\A<(?:script|style)(?=[\s/>]){_TAG_REST}(.*)</(?:script|style)\s*+>\z"
+_RAW_TEXT = rf"(?is)\A<(?:script|style)(?=[\s/>]){_TAG_REST}(.*?)(?:</(?:script|style)\s*+>)?\z"
 _ATTRIBUTE = r"""[\s/]*+[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+"""
 
-# A table, its rows and their cells; end tags of rows and cells may be missing.
-_TABLE = r"(?is)<table(?=[\s>])[^>]*+>((?:[^<]++|<(?!/table\s*+>))*+)</table\s*+>"
-_ROW = r"(?is)<tr(?=[\s>])[^>]*+>((?:[^<]++|<(?!tr[\s>]|/tr))*+)"
-_CELL = r"(?is)<t[dh](?=[\s>])[^>]*+>((?:[^<]++|<(?!t[dh][\s>]|/t[dhr]))*+)"
-
 _OPEN_SCOPE, _OPEN, _CLOSE, _NONE = 2, 1, -1, 0
 
 
@@ -78,32 +75,36 @@ def _token_kind(token: Column, scope_start: str) -> Column:
     )
 
 
-# The walk over the token kinds: follow the depth, note where a scope starts, keep the token range of
-# one that ends.  A scope the page never closes runs to its end.
-_SPANS = """
-    aggregate(
-        _kinds,
-        named_struct('at', 1, 'depth', 0, 'start', 1, 'spans', cast(array() AS array<struct<start:int,size:int>>)),
-        (walk, kind) -> named_struct(
-            'at', walk.at + 1,
-            'depth', CASE WHEN walk.depth > 0 THEN walk.depth + least(kind, 1) WHEN kind = 2 THEN 1 ELSE 0 END,
-            'start', if(walk.depth > 0, walk.start, walk.at + 1),
-            'spans', if(walk.depth = 1 AND kind = -1,
-                        concat(walk.spans, array(named_struct('start', walk.start, 'size', walk.at - walk.start))),
-                        walk.spans)
-        ),
-        walk -> if(walk.depth > 0,
-                   concat(walk.spans, array(named_struct('start', walk.start, 'size', walk.at - walk.start))),
-                   walk.spans)
-    )
-"""
+# A scope the page never closes runs to its end.
+@F.pandas_udf(ArrayType(ArrayType(IntegerType())))
+def _spans_of(kinds: pd.Series) -> pd.Series:
+    """Place (from 1) and size of each token range inside a scope: one walk, following the depth."""
+
+    def walk(page) -> list[list[int]]:
+        spans, depth, start = [], 0, 0
+        for at, kind in enumerate(page.tolist(), start=1):
+            if depth:
+                depth += min(kind, _OPEN)
+                if not depth:
+                    spans.append([start, at - start])
+            elif kind == _OPEN_SCOPE:
+                depth, start = 1, at + 1
+        if depth:
+            spans.append([start, len(page) + 1 - start])
+        return spans
+
+    return kinds.map(walk, na_action="ignore")
+
+
+_spans_of = _spans_of.asNondeterministic()
+
 
 # Text of the tokens in those ranges, a line break after each range.  Tags give no text; script and
 # style bodies stand as they are, so their ``&`` is encoded once to survive the decoding.
 _PIECES = rf"""
     flatten(transform(_spans, span -> concat(
         transform(
-            slice(_tokens, span.start, span.size),
+            slice(_tokens, span[0], span[1]),
             token -> CASE WHEN token = '<' OR NOT startswith(token, '<') THEN token
                           ELSE replace(regexp_extract(token, r'{_RAW_TEXT}', 1), '&', '&amp;') END),
         array('\n'))))
@@ -133,7 +134,9 @@ def scoped_lines(
     )
     tokens = df.withColumn("_tokens", read)
     kinds = tokens.withColumn("_kinds", F.transform("_tokens", lambda token: _token_kind(token, scope_start)))
-    pieces = kinds.withColumn("_spans", F.expr(_SPANS)).withColumn("_pieces", F.expr(_PIECES))
+    spans = _spans_of(F.when(names, F.col("_kinds")))
+    found = F.coalesce(spans, F.when(source.isNotNull(), F.array().cast("array<array<int>>")))
+    pieces = kinds.withColumn("_spans", found).withColumn("_pieces", F.expr(_PIECES))
     encoded = F.expr("exists(_pieces, piece -> contains(piece, '&'))")
     decoded = _unescape_joined(F.when(encoded, F.col("_pieces")))
     text = F.when(encoded, decoded).otherwise(F.array_join("_pieces", ""))
@@ -141,8 +144,53 @@ def scoped_lines(
     return lines.drop("_tokens", "_kinds", "_spans", "_pieces", "_text")
 
 
-def _without_tags(cell: Column) -> Column:
-    return F.regexp_replace(cell, r"(?s)<!--.*?-->|<[^>]*+>", "")
+# Rows and cells of a table; whatever else a page holds is text or passes.
+_TABLE_TAG = re.compile(r"</?(table|tr|td|th)(?=[\s/>])", re.IGNORECASE)
+
+
+def first_table(tokens: list[str]) -> list[list[str]] | None:
+    """Rows of decoded, stripped cell texts of the first table; null without one.
+
+    End tags of rows and cells may be missing.  Comments and scripts give nothing.  A table inside a cell
+    is text of that cell.
+    """
+    rows: list[list[list[str]]] = []
+    depth, in_cell = 0, False
+    for token in tokens:
+        if not token.startswith("<") or token == "<":
+            if in_cell:
+                rows[-1][-1].append(token)
+            continue
+        found = _TABLE_TAG.match(token)
+        if found is None:
+            continue
+        name, ends = found[1].lower(), token[1] == "/"
+        if name == "table":
+            depth += -1 if ends else 1
+            if depth <= 0:
+                break
+        elif depth == 1:
+            if name == "tr":
+                in_cell = False
+                if not ends:
+                    rows.append([])
+            else:
+                in_cell = not ends
+                if not ends:
+                    rows = rows or [[]]
+                    rows[-1].append([])
+    else:
+        if not depth:
+            return None
+    return [[html.unescape("".join(cell)).strip() for cell in row] for row in rows]
+
+
+@F.pandas_udf(ArrayType(ArrayType(StringType())))
+def _first_tables(pages: pd.Series) -> pd.Series:
+    return pages.map(lambda tokens: first_table(tokens.tolist()), na_action="ignore")
+
+
+_first_tables = _first_tables.asNondeterministic()
 
 
 def table_column(
@@ -151,25 +199,18 @@ def table_column(
     """One row per body row of the page's first HTML table: the text under one header.
 
     Without the table or the header the query fails (``raise``) or the page gives no rows (``skip``).
-    Header texts are compared after decoding.  Cells that span rows or columns are not resolved.
+    Texts are compared after decoding.  Cells that span rows or columns are not resolved.
     """
     if on_missing not in ("raise", "skip"):
         raise ValueError(f"on_missing must be 'raise' or 'skip', not {on_missing!r}")
     source = F.col(quoted(page))
     kept = [quoted(name) for name in df.columns]
-    table = F.regexp_extract(source, _TABLE, 1)
-    rows = F.regexp_extract_all(table, F.lit(_ROW), F.lit(1))
-    cells = F.transform(rows, lambda row: F.regexp_extract_all(row, F.lit(_CELL), F.lit(1)))
-    parsed = df.withColumn("_cells", cells)
-    # The header cells are decoded in one go; as above, each step is a column of its own.
-    head = F.array_join(F.transform(F.get("_cells", F.lit(0)), _without_tags), "\x00", "")
-    heads = parsed.withColumn("_head", head)
-    names = F.transform(F.split(decode_entities(F.col("_head")), "\x00"), strip)
-    placed = heads.withColumn("_place", F.array_position(names, F.lit(header)).cast("int"))
+    tokens = df.withColumn("_tokens", F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0)))
+    parsed = tokens.withColumn("_rows", _first_tables("_tokens"))
+    placed = parsed.withColumn("_place", F.array_position(F.get("_rows", F.lit(0)), F.lit(header)).cast("int"))
     found = F.coalesce(F.col("_place") > 0, F.lit(False))
     if on_missing == "raise":
         found = pass_or_raise(found, F.lit(f"no table with the column {header}"))
-    body_rows = F.slice("_cells", F.lit(2), F.greatest(F.size("_cells") - 1, F.lit(0)))
+    body_rows = F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
     body = placed.where(found).select(*kept, "_place", F.explode(body_rows).alias("_row"))
-    cell = body.withColumn("_cell", _without_tags(F.get("_row", F.col("_place") - 1)))
-    return cell.select(*kept, strip(decode_entities(F.col("_cell"))).alias(into))
+    return body.select(*kept, F.get("_row", F.col("_place") - 1).alias(into))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sievebed.functions.checks import pass_or_raise
+from sievebed.functions.checks import keep_here, pass_or_raise
 from sievebed.functions.documents import holds_html
 
 ERROR = "error"
@@ -28,11 +28,11 @@ def fail_fast(df: DataFrame, key: str, error: str = ERROR) -> DataFrame:
 
 
 def good_rows(df: DataFrame, error: str = ERROR) -> DataFrame:
-    return df.where(F.col(error).isNull()).drop(error)
+    return df.where(keep_here(F.col(error).isNull())).drop(error)
 
 
 def bad_rows(df: DataFrame, error: str = ERROR) -> DataFrame:
-    return df.where(F.col(error).isNotNull())
+    return df.where(keep_here(F.col(error).isNotNull()))
 
 
 def settle(df: DataFrame, key: str, on_error: str, error: str = ERROR) -> DataFrame:
@@ -45,15 +45,21 @@ def settle(df: DataFrame, key: str, on_error: str, error: str = ERROR) -> DataFr
 
 
 def hash_sample(df: DataFrame, key: str, numerator: int = 1, denominator: int = 1) -> DataFrame:
-    """Keep about ``numerator / denominator`` of the keys, the same ones in every run and layout."""
+    """Keep about ``numerator / denominator`` of the keys, the same ones in every run and layout.
+
+    A null key is a key like any other.
+    """
     if numerator >= denominator:
         return df
-    bucket = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    bucket = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null")).cast("binary")), 1, 8), 16, 10).cast("bigint")
     return df.where(bucket % denominator < numerator)
 
 
 def limit_rows(df: DataFrame, limit: int = -1, order_by: str | list[str] | None = None) -> DataFrame:
-    """At most ``limit`` rows, the first ones in the given order; -1 keeps all."""
+    """At most ``limit`` rows, the first ones in the given order; -1 keeps all.
+
+    Every task sends at most ``limit`` rows to one last task, so the limit must suit one task.
+    """
     if limit < 0:
         return df
     return (df.orderBy(order_by) if order_by else df).limit(limit)

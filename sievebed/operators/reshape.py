@@ -30,10 +30,15 @@ def unpivot(
     """Columns ``<k>-<measure>`` to rows ``(key, k, measures...)``, in one pass without a shuffle.
 
     The result is the full grid: every row gets every ``k``, with nulls where a value or a whole
-    column is absent.  Measures become doubles; unreadable ones become null.
+    column is absent.  Measures become doubles; unreadable ones become null.  A column that is neither
+    the key nor one of the measures under a ``k`` is an error, as its values would be lost.
     """
     present = set(df.columns)
-    prefixes = name_prefixes([name for name in df.columns if name != key], separator)
+    split = {name: name.rsplit(separator, 1) for name in df.columns if name != key}
+    unknown = [name for name, parts in split.items() if len(parts) < 2 or parts[1] not in measures]
+    if unknown:
+        raise ValueError(f"columns that are no measure of {measures}: {unknown}")
+    prefixes = sorted({label for label, _ in split.values()})
     if not prefixes:
         raise ValueError("no column to unpivot")
 
@@ -44,3 +49,30 @@ def unpivot(
     cells = [c for label in prefixes for c in (F.lit(label), *(cell(label, m) for m in measures))]
     rows = F.stack(F.lit(len(prefixes)), *cells).alias(into, *measures)
     return df.select(quoted(key), rows)
+
+
+def unpivot_map(
+    df: DataFrame,
+    column: str,
+    labels: list[str],
+    key: str = DOCUMENT_KEY,
+    measures: tuple[str, ...] = YEAR_MEASURES,
+    into: str = YEAR_COLUMN,
+) -> DataFrame:
+    """Map ``label -> struct of measures`` to the same rows as ``unpivot``, for the labels given.
+
+    One narrow pass whatever labels the maps hold.  A null or empty map gives nulls under every label;
+    other labels in the maps are left out.  ``map_labels`` finds them, in a pass of its own.
+    """
+    if not labels:
+        raise ValueError("no label to unpivot")
+    label = F.explode(F.array(*map(F.lit, labels))).alias(into)
+    placed = df.select(F.col(quoted(key)), F.col(quoted(column)).alias("_map"), label)
+    cells = [to_double(F.try_element_at("_map", F.col(into)).getField(m)).alias(m) for m in measures]
+    return placed.select(quoted(key), into, *cells)
+
+
+def map_labels(df: DataFrame, column: str) -> list[str]:
+    """The distinct keys of a map column, ascending; they become column values, so they must be few."""
+    labels = df.select(F.explode(F.map_keys(quoted(column))).alias("label")).distinct().orderBy("label")
+    return [row.label for row in labels.collect()]

@@ -4,33 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import MapType, StringType, StructType
 
-from sievebed.fixed_values import DATA_PREFIX
+from sievebed.fixed_values import DATA_PREFIX, DOCUMENT_DATA, DOCUMENT_KEY, YEAR_MEASURES
+from sievebed.functions.documents import parsed
 from sievebed.operators.flatten import expand_struct, flatten
 from sievebed.operators.names import clean_names, strip_names
-from sievebed.operators.reshape import unpivot
+from sievebed.operators.policies import ERROR, bad_rows, flag, settle
+from sievebed.operators.reshape import map_labels, unpivot, unpivot_map
 from sievebed.sinks.writers import load_table, overwrite_table
 from sievebed.sources.readers import scan_documents, scan_table
 
+#: Measures are read as texts: numbers and texts alike become doubles or null later.
+YEAR_MAP = f"map<string,struct<{','.join(f'{measure}:string' for measure in YEAR_MEASURES)}>>"
 
-def clean_default(raw: DataFrame) -> DataFrame:
+
+def clean_default(raw: DataFrame, outer: bool = False) -> DataFrame:
     """Flatten; take the payload's prefix off the names."""
-    return strip_names(flatten(raw), DATA_PREFIX)
+    return strip_names(flatten(raw, outer), DATA_PREFIX)
+
+
+def clean_kpis(raw: DataFrame, outer: bool = False) -> DataFrame:
+    """One array of values per indicator.  Names are cleaned at both levels.
+
+    Without ``outer`` a document that lacks an indicator is left out with all its others.
+    """
+    return clean_names(flatten(clean_names(expand_struct(raw)), outer))
+
 
+def clean_price_profit(raw: DataFrame, outer: bool = False, years: list[str] | None = None) -> DataFrame:
+    """One object per year, to rows of ticker, year and the two measures.
 
-def clean_kpis(raw: DataFrame) -> DataFrame:
-    """One array of values per indicator.  Names are cleaned at both levels."""
-    return clean_names(flatten(clean_names(expand_struct(raw))))
+    The payload is a struct of years, or a map ``year -> struct``, which needs no list of years in its
+    schema and takes documents without any (an empty array among them, if the payload was read as text and
+    parsed by ``year_map``).  For a map the years of the result are those given, else those found in an
+    extra pass.
+    """
+    if isinstance(raw.schema[DOCUMENT_DATA].dataType, MapType):
+        return unpivot_map(raw, DOCUMENT_DATA, years or map_labels(raw, DOCUMENT_DATA))
+    return unpivot(flatten(clean_names(expand_struct(raw)), outer))
 
 
-def clean_price_profit(raw: DataFrame) -> DataFrame:
-    """One object per year, to rows of ticker, year and the two measures."""
-    return unpivot(flatten(clean_names(expand_struct(raw))))
+def year_map(raw: DataFrame, error: str = ERROR) -> DataFrame:
+    """Payload text to a map of years; ``[]`` is a map without any.  Other texts are flagged as errors."""
+    text = F.trim(DOCUMENT_DATA)
+    value = F.when(text == "[]", F.create_map().cast(YEAR_MAP)).when(
+        F.startswith(text, F.lit("{")), parsed(text, YEAR_MAP)
+    )
+    read = raw.withColumn("_years", value)
+    bad = F.col(DOCUMENT_DATA).isNotNull() & F.col("_years").isNull()
+    flagged = flag(read, bad, "payload is no object of years", error)
+    return flagged.withColumn(DOCUMENT_DATA, F.col("_years")).drop("_years")
 
 
-CLEANINGS: dict[str, Callable[[DataFrame], DataFrame]] = {
+CLEANINGS: dict[str, Callable[..., DataFrame]] = {
     "default": clean_default,
     "kpi": clean_kpis,
     "price_profit": clean_price_profit,
@@ -44,9 +72,24 @@ def clean_layer(
     cleaning: str = "default",
     schema: StructType | str | None = None,
     layout: str = "lines",
+    on_error: str = "raise",
+    bad_path: str | None = None,
+    outer: bool = False,
+    years: list[str] | None = None,
 ) -> None:
-    """Read a dataset's raw documents, clean them and replace its cleaned table."""
-    overwrite_table(CLEANINGS[cleaning](scan_documents(spark, raw_path, schema, layout)), cleaned_path)
+    """Read a dataset's raw documents, clean them and replace its cleaned table.
+
+    A document that cannot be read under the schema fails the job (``raise``) or is set aside
+    (``quarantine``): ``bad_path`` then gets the tickers and errors of all such documents.
+    """
+    documents = scan_documents(spark, raw_path, schema, layout, error=ERROR)
+    if cleaning == "price_profit" and isinstance(documents.schema[DOCUMENT_DATA].dataType, StringType):
+        documents = year_map(documents)
+    if bad_path is not None:
+        overwrite_table(bad_rows(documents).select(DOCUMENT_KEY, ERROR), bad_path)
+    good = settle(documents, DOCUMENT_KEY, on_error)
+    settings = {"outer": outer} | ({"years": years} if cleaning == "price_profit" else {})
+    overwrite_table(CLEANINGS[cleaning](good, **settings), cleaned_path)
 
 
 def curate_layer(spark: SparkSession, cleaned_path: str, options: dict[str, str], fmt: str = "parquet") -> None:

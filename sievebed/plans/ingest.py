@@ -11,20 +11,25 @@ from sievebed.sinks.writers import write_documents
 
 
 def requests(keys: DataFrame, url: str, id_column: str, suffix: str = "", order_by: str | None = None) -> DataFrame:
-    """Ticker, id and URL per valid key.  With an order column, the last row of a repeated key counts."""
-    valid = drop_sentinel(keys)
-    if order_by is not None:
-        needed = dict.fromkeys(("ticker", id_column, order_by))
-        valid = last_per_key(valid.select(*needed), "ticker", order_by)
+    """Ticker, id and URL of each valid key, one row per ticker.
+
+    Of a repeated ticker the last row by ``order_by`` counts, without it the one of the greatest id.
+    """
+    order = order_by or id_column
+    needed = dict.fromkeys(("ticker", id_column, order))
+    valid = last_per_key(drop_sentinel(keys).select(*needed), "ticker", order)
     return add_url(select_id(valid, id_column), url, F.col("id"), suffix)
 
 
-def raw_documents(wanted: DataFrame, responses: DataFrame, on_error: str = "raise") -> DataFrame:
-    """Document per request from the stored responses (``ticker``, ``url``, ``body``; one per request).
+def raw_documents(
+    wanted: DataFrame, responses: DataFrame, on_error: str = "raise", latest_by: str | None = None
+) -> DataFrame:
+    """Document per request from the stored responses (``ticker``, ``url``, ``body``).
 
-    A response that is missing, is a web page or is not JSON is a bad row.
+    Of repeated responses the last by ``latest_by`` counts, without it the greatest.  A response that is
+    missing, is a web page or is not JSON is a bad row.
     """
-    answered = attach_responses(wanted, responses, ["ticker", "url"])
+    answered = attach_responses(wanted, responses, ["ticker", "url"], order_by=latest_by)
     flagged = flag(answered, F.col("body").isNull(), "no stored response")
     flagged = flag_html(flagged, "body")
     flagged = flag(flagged, ~is_json(F.col("body")), "payload is not JSON")
@@ -41,7 +46,8 @@ def ingest_layer(
     suffix: str = "",
     order_by: str | None = None,
     on_error: str = "raise",
+    latest_by: str | None = None,
 ) -> None:
-    """Key table and stored responses of one dataset to its raw layer."""
+    """Key table and stored responses of one dataset to its raw layer, one document per ticker."""
     wanted = requests(keys, url, id_column, suffix, order_by)
-    write_documents(raw_documents(wanted, responses, on_error), raw_path)
+    write_documents(raw_documents(wanted, responses, on_error, latest_by), raw_path)

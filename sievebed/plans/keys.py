@@ -32,7 +32,8 @@ def discover_keys(
     header: str = LISTING_HEADER,
     on_error: str = "raise",
 ) -> DataFrame:
-    """Key table from a listing page and the stored key pages (``url``, ``body``; one per URL)."""
+    """Key table from a listing page and the stored key pages (``url``, ``body``; of several to a URL the
+    greatest counts)."""
     pages = attach_responses(listed_keys(listing, page, base_url, header), responses, ["url"])
     flagged = flag(pages, F.col("body").isNull(), "no stored response")
     return page_ids(settle(flagged, "ticker", on_error), "body")

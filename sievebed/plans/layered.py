@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,13 +25,19 @@ class DatasetSpec:
     suffix: str = ""
     cleaning: str = "default"
     schema: StructType | str | None = None
+    outer: bool = False
+    years: tuple[str, ...] = ()
 
 
-def standard_specs(site: str) -> list[DatasetSpec]:
-    """The seven datasets, under the given site."""
-    base = site.rstrip("/")
+def standard_specs(site: str, schemas: Mapping[str, StructType | str] | None = None) -> list[DatasetSpec]:
+    """The seven datasets, under the given site.
+
+    ``schemas`` has document schemas by folder.  The sites do not publish theirs; a dataset without one
+    is inferred, which reads its raw layer twice.
+    """
+    base, known = site.rstrip("/"), schemas or {}
     return [
-        DatasetSpec(folder, f"{base}/{endpoint}", id_column, suffix, cleaning)
+        DatasetSpec(folder, f"{base}/{endpoint}", id_column, suffix, cleaning, known.get(folder))
         for folder, endpoint, id_column, suffix, cleaning in DATASETS
     ]
 
@@ -46,12 +52,20 @@ def run_dataset(
     curated_format: str = "parquet",
     order_by: str | None = None,
     on_error: str = "raise",
+    latest_by: str | None = None,
 ) -> str:
-    """Raw, cleaned and curated layer of one dataset, each read back from the one before."""
+    """Raw, cleaned and curated layer of one dataset, each read back from the one before.
+
+    ``on_error`` holds for responses and documents alike; documents set aside go to ``bad``.
+    """
     raw, cleaned = f"{root}/raw/{spec.folder}", f"{root}/cleaned/{spec.folder}"
     options = curated_options(spec.folder) if curated_options else {"path": f"{root}/curated/{spec.folder}"}
-    ingest_layer(keys, responses, raw, spec.url, spec.id_column, spec.suffix, order_by, on_error)
-    clean_layer(spark, raw, cleaned, spec.cleaning, spec.schema)
+    ingest_layer(keys, responses, raw, spec.url, spec.id_column, spec.suffix, order_by, on_error, latest_by)
+    bad = f"{root}/bad/{spec.folder}" if on_error == "quarantine" else None
+    clean_layer(
+        spark, raw, cleaned, spec.cleaning, spec.schema, on_error=on_error, bad_path=bad, outer=spec.outer,
+        years=list(spec.years) or None,
+    )
     curate_layer(spark, cleaned, options, curated_format)
     return options.get("path", spec.folder)
 

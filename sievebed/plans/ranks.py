@@ -19,7 +19,7 @@ HISTORY_ROW = StructType([field for field in RANK_ROW if field.name in {name for
 
 
 def symbol_records(symbols: DataFrame, pages: DataFrame, limit: int = -1, order_by: str | None = None) -> DataFrame:
-    """Record or error per symbol, from the stored pages (``symbol``, ``body``; one per symbol).
+    """Record or error per symbol, from the stored pages (``symbol``, ``body``; of several to a symbol the greatest counts).
 
     A limit caps the symbol rows in the given order, before repeated symbols fall together.
     """
@@ -31,21 +31,24 @@ def symbol_records(symbols: DataFrame, pages: DataFrame, limit: int = -1, order_
 def load_snapshot(
     spark: SparkSession,
     records: DataFrame,
-    table_path: str,
+    table_path: str | None,
     stage_path: str,
     day: dt.date | str | None = None,
     export_folder: str | None = None,
     partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> None:
-    """Append the good records of a day, today by default; on request export good and failed ones.
+    """Append the good records of a day, today in the session's time zone by default; on request export
+    good and failed ones.
 
     The records go to ``stage_path`` first: pages are parsed once however many outputs follow.
     """
-    day = str(day or dt.date.today())
+    day = str(day or spark.sql("SELECT current_date()").first()[0])
     overwrite_table(records, stage_path)
     staged = scan_table(spark, stage_path)
     rows = rank_rows(good_rows(staged), "symbol", day)
-    strict_append(rows, RANK_ROW, table_path, partition_by=partition_by)
+    strict_append(rows, RANK_ROW, table_path, partition_by=partition_by, fmt=fmt, options=options)
     if export_folder is not None:
         export_ranks(rows, export_folder, day)
         export_failures(bad_rows(staged), export_folder, day, "symbol")
@@ -55,32 +58,37 @@ def run_snapshot(
     spark: SparkSession,
     symbols_path: str,
     pages: DataFrame,
-    table_path: str,
+    table_path: str | None,
     stage_path: str,
     day: dt.date | str | None = None,
     limit: int = -1,
     export_folder: str | None = None,
     partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> None:
     """Symbol file and stored pages to the day's rows of the rank table; ``limit`` takes first lines."""
     symbols = scan_symbols(spark, symbols_path, order_into="line_order")
     records = symbol_records(symbols, pages, limit, "line_order")
-    load_snapshot(spark, records, table_path, stage_path, day, export_folder, partition_by)
+    load_snapshot(spark, records, table_path, stage_path, day, export_folder, partition_by, fmt, options)
 
 
 def load_history(
     spark: SparkSession,
     csv_path: str,
-    table_path: str,
+    table_path: str | None,
     batch_rows: int | None = None,
     partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    multi_line: bool = False,
 ) -> None:
     """Append the whole history file to the rank table in one plan.
 
     Loaded by day (``partition_by``), the rows of a day are first brought together; the rebalance
     splits a day that is too large for one task and joins small ones.
     """
-    rows = project(scan_history(spark, csv_path), dict(HISTORY_COLUMNS))
+    rows = project(scan_history(spark, csv_path, multi_line), dict(HISTORY_COLUMNS))
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
-    strict_append(rows, HISTORY_ROW, table_path, batch_rows, partition_by)
+    strict_append(rows, HISTORY_ROW, table_path, batch_rows, partition_by, fmt, options)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from sievebed.fixed_values import EXPORT_COLUMNS, EXPORT_NULL
+from sievebed.fixed_values import EXPORT_COLUMNS, EXPORT_NULL, WAREHOUSE_OPTIONS
 from sievebed.operators.flatten import check_unique_names
 from sievebed.operators.names import project
 from sievebed.operators.policies import ERROR
 
+_NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
+
 
 def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace a Parquet table."""
@@ -18,7 +21,7 @@ def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()
 
 def warehouse_options(dataset: str, table: str, temporary_bucket: str) -> dict[str, str]:
     """Options of the warehouse connector: target table and the bucket the load goes through."""
-    return {"dataset": dataset, "table": table, "temporaryGcsBucket": temporary_bucket}
+    return dict(zip(WAREHOUSE_OPTIONS, (dataset, table, temporary_bucket), strict=True))
 
 
 def load_table(df: DataFrame, options: dict[str, str], fmt: str = "parquet") -> None:
@@ -32,23 +35,47 @@ def load_table(df: DataFrame, options: dict[str, str], fmt: str = "parquet") ->
 def strict_append(
     df: DataFrame,
     schema: StructType,
-    path: str,
+    path: str | None = None,
     batch_rows: int | None = None,
     partition_by: tuple[str, ...] = (),
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> None:
-    """Append typed rows, all or none.
+    """Append typed rows through any Spark data source; for file formats give the ``path``.
 
     A column the table does not have, a wrong type or an invalid row fails the write; an absent
-    nullable column becomes null.  There is no key, so a second run appends the rows again.
+    nullable column becomes null.  So does a table already there with other columns or types.  Whether a
+    failing job leaves rows behind is up to the source: Parquet's committer shows none.  There is no
+    key, so a second run appends the rows again.
     ``batch_rows`` bounds the rows of a file; leave it out for large loads, or many small files result.
     """
     unknown = [name for name in df.columns if name not in schema.names]
     if unknown:
         raise ValueError(f"columns the table does not have: {unknown}")
-    writer = df.to(schema).write.mode("append").partitionBy(*partition_by)
+    settings = dict(options or {}) | ({} if path is None else {"path": path})
+    _check_existing(df.sparkSession, schema, fmt, settings, partition_by)
+    writer = df.to(schema).write.format(fmt).options(**settings).mode("append").partitionBy(*partition_by)
     if batch_rows is not None:
         writer = writer.option("maxRecordsPerFile", batch_rows)
-    writer.parquet(path)
+    writer.save()
+
+
+def _check_existing(
+    spark: SparkSession, schema: StructType, fmt: str, settings: dict[str, str], partition_by: tuple[str, ...]
+) -> None:
+    """Fail if there is a table of other columns or types.  Partition columns are folder names: no type of their own."""
+    try:
+        there = spark.read.format(fmt).options(**settings).load().schema
+    except AnalysisException as error:
+        if error.getCondition() in _NO_TABLE:
+            return
+        raise
+    ours, theirs = (
+        {field.name: field.dataType.simpleString() for field in some if field.name not in partition_by}
+        for some in (schema, there)
+    )
+    if ours != theirs:
+        raise ValueError(f"the table there has columns {theirs}, not {ours}")
 
 
 def write_documents(
@@ -69,21 +96,19 @@ def write_documents(
 
 
 def write_csv_once(df: DataFrame, path: str) -> None:
-    """Write a CSV file with a header unless the target exists; then the plan does not even run.
+    """Write a CSV file with a header unless the target is there whole; then the plan does not even run.
 
-    What a failed write leaves behind, an empty folder, does not count as existing, so a second try
-    writes.  Spark's own ``ignore`` mode would skip it for good.
+    What a failed write leaves behind, part files too, lacks the mark of success and is written over.
+    Spark's own ``ignore`` mode would take it for the table.
     """
-    if not _holds_files(df.sparkSession, path):
+    if not _is_complete(df.sparkSession, path):
         df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def _holds_files(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(target):
-        return False
-    return any(entry.getPath().getName() != "_temporary" for entry in files.listStatus(target))
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    # Spark's readers do not show marker files; the file system behind the path does.
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def export_ranks(rows: DataFrame, folder: str, day: str) -> str:
@@ -101,9 +126,13 @@ def export_failures(rows: DataFrame, folder: str, day: str, key: str, error: str
 
 
 def _tab_separated(df: DataFrame):
-    """Values as they are: no added quotes, no trimming."""
+    """Values without quotes added and without trimming; a tab or line break in a text becomes a blank."""
+    plain = [
+        F.regexp_replace(name, "[\t\r\n]", " ").alias(name) if kind == "string" else F.col(name)
+        for name, kind in df.dtypes
+    ]
     return (
-        df.write.mode("overwrite")
+        df.select(*plain).write.mode("overwrite")
         .option("sep", "\t")
         .option("nullValue", EXPORT_NULL)
         .option("emptyValue", "")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
@@ -19,12 +22,16 @@ KEY_TABLE = StructType(
 )
 
 
+_CORRUPT = "_corrupt_record"
+
+
 def scan_documents(
     spark: SparkSession,
     path: str,
     schema: StructType | str | None = None,
     layout: str = "lines",
     glob: str | None = None,
+    error: str | None = None,
 ) -> DataFrame:
     """JSON documents of a folder.
 
@@ -32,15 +39,28 @@ def scan_documents(
     cannot be split.  ``layout="lines"`` reads one document per line, the layout our raw layer has.
     Without a schema Spark infers one, merged over all documents, in an extra pass over the data;
     give a schema for large sets.
+
+    A document that is no JSON, or holds a value of another type than the schema's, comes out with
+    nulls.  With ``error`` it says so in a column of that name, which is null for good documents; the
+    error policies take it from there.
     """
     if layout not in ("files", "lines"):
         raise ValueError(f"layout must be 'files' or 'lines', not {layout!r}")
-    reader = spark.read.option("multiLine", layout == "files")
+    reader = spark.read.option("multiLine", layout == "files").option("columnNameOfCorruptRecord", _CORRUPT)
     if schema is not None:
-        reader = reader.schema(schema)
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if error is not None:
+            wanted = StructType([*wanted.fields, StructField(_CORRUPT, StringType())])
+        reader = reader.schema(wanted)
     if glob is None and layout == "files":
         glob = "*.json"
-    return reader.json(f"{path}/{glob}" if glob else path)
+    read = reader.json(f"{path}/{glob}" if glob else path)
+    if error is None:
+        return read.drop(_CORRUPT)
+    # Inference adds the column only where it has met such a document.
+    text = F.col(_CORRUPT) if _CORRUPT in read.columns else F.lit(None).cast("string")
+    reason = F.when(text.isNotNull(), F.concat(F.lit("document cannot be read: "), F.substring(text, 1, 200)))
+    return read.withColumn(error, reason).drop(_CORRUPT)
 
 
 def _line_order(into: str | None) -> list[Column]:
@@ -55,21 +75,57 @@ def _line_order(into: str | None) -> list[Column]:
     return [place.alias(into)]
 
 
-def _csv(spark: SparkSession) -> DataFrameReader:
+def _csv(spark: SparkSession, multi_line: bool = False) -> DataFrameReader:
     """Quotes inside quotes are doubled, as most programs write them."""
-    return spark.read.option("escape", '"')
+    return spark.read.option("escape", '"').option("multiLine", multi_line)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """The header lines found in the files of a folder, each with its files; a row per file comes back."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
+        "value",
+    )
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = heads.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return [(row.header, row.files) for row in found.orderBy("header").collect()]
 
 
 def scan_named_csv(
-    spark: SparkSession, path: str, names: tuple[str, ...], order_into: str | None = None
+    spark: SparkSession,
+    path: str,
+    names: tuple[str, ...],
+    order_into: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Text columns of a CSV file picked by their header names, in the order asked for."""
-    return _csv(spark).option("header", True).csv(path).select(*map(quoted, names), *_line_order(order_into))
+    """Text columns of CSV files picked by their header names, in the order asked for.
 
-
-def scan_key_table(spark: SparkSession, path: str, order_into: str | None = None) -> DataFrame:
+    Every file is read by its own header, so files of one folder may order their columns differently; the
+    headers take a pass over the files.  A row of more or fewer fields than its header, or a header
+    without one of the names, fails the query.  Give ``multi_line`` for line breaks inside quotes; such
+    files cannot be split.
+    """
+    strict = _csv(spark, multi_line).option("mode", "FAILFAST").option("columnPruning", False)
+    parts = []
+    for header, files in _files_by_header(spark, path):
+        own = next(csv.reader([header]))
+        missing = [name for name in names if name not in own]
+        if missing:
+            raise ValueError(f"no column {missing} in {files[0]}")
+        schema = StructType([StructField(name, StringType()) for name in own])
+        read = strict.option("header", True).option("enforceSchema", False).schema(schema).csv(files)
+        parts.append(read.select(*map(quoted, names), *_line_order(order_into)))
+    if not parts:
+        raise ValueError(f"no CSV file in {path}")
+    return reduce(DataFrame.union, parts)
+
+
+def scan_key_table(
+    spark: SparkSession, path: str, order_into: str | None = None, multi_line: bool = False
+) -> DataFrame:
     """Key table: ticker and its two ids; on request with the order of the lines."""
-    texts = scan_named_csv(spark, path, tuple(KEY_TABLE.names), order_into)
+    texts = scan_named_csv(spark, path, tuple(KEY_TABLE.names), order_into, multi_line)
     return texts.withColumns({field.name: F.col(field.name).cast(field.dataType) for field in KEY_TABLE})
 
 
@@ -83,12 +139,12 @@ def scan_lines(spark: SparkSession, path: str, into: str = "symbol") -> DataFram
     return spark.read.text(path).select(strip(F.col("value")).alias(into))
 
 
-def scan_history(spark: SparkSession, path: str) -> DataFrame:
+def scan_history(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Snapshot history under its own column names: ranks as ints, texts without a value as null.
 
     Symbol and date stay as they stand in the file.
     """
-    texts = scan_named_csv(spark, path, tuple(source for source, _ in HISTORY_COLUMNS))
+    texts = scan_named_csv(spark, path, tuple(source for source, _ in HISTORY_COLUMNS), multi_line=multi_line)
     untouched = {source for source, target in HISTORY_COLUMNS if target in ("ticker", "reference_date")}
     (rank,) = (source for source, target in HISTORY_COLUMNS if target == "rank")
     valued = texts.withColumns({n: text_to_null(F.col(n)) for n in texts.columns if n not in untouched})
