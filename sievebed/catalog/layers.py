@@ -42,6 +42,19 @@ def json_scan(spark: SparkSession, folder: str) -> DataFrame:
     return flatten(readers.scan_documents(spark, path))
 
 
+def scan_bad_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Event payloads as documents, some cut short and some of another type: each comes out as good or as bad."""
+    path, event = fresh_path(spark, "raw-bad"), F.col("event_id")
+    whole = envelope(event, F.when(event % 5 == 1, F.lit('"oops"')).otherwise(F.col("props")))
+    document = F.when(event % 5 == 0, F.substring(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole)
+    write_documents(table(spark, folder, "events").select(document.alias("document")), path)
+    scanned = readers.scan_documents(spark, path, "ticker string, data struct<k:int>", error="error")
+    good = F.col("error").isNull()
+    return scanned.select(
+        F.when(good, F.col("ticker")).alias("ticker"), F.when(good, F.col("data.k")).alias("k"), "error"
+    )
+
+
 def documents_by_key(spark: SparkSession, folder: str) -> DataFrame:
     """A folder per key; writing one key again replaces that key only."""
     path = fresh_path(spark, "raw-by-key")
@@ -69,6 +82,12 @@ def default_clean(spark: SparkSession, folder: str) -> DataFrame:
     return readers.scan_table(spark, cleaned)
 
 
+_KPI_SCHEMA = (
+    "ticker string, data struct<`DIV. LÍQUIDA / EBITDA`:array<struct<year:bigint,value:double>>,"
+    "`P/L (x)`:array<struct<year:bigint,value:bigint>>>"
+)
+
+
 def kpi_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Indicators under awkward names, each an array of values per year; names are cleaned."""
     raw, cleaned = fresh_path(spark, "raw-kpis"), fresh_path(spark, "cleaned-kpis")
@@ -81,18 +100,22 @@ def kpi_clean(spark: SparkSession, folder: str) -> DataFrame:
     )
     document = envelope(F.col("c_name"), F.to_json(indicators)).alias("document")
     write_documents(table(spark, folder, "customer").select(document), raw)
-    clean_layer(spark, raw, cleaned, "kpi")
+    clean_layer(spark, raw, cleaned, "kpi", _KPI_SCHEMA)
     return readers.scan_table(spark, cleaned)
 
 
+ORDER_YEARS = [str(year) for year in range(1992, 1999)]
+
+
 def price_profit_clean(spark: SparkSession, folder: str) -> DataFrame:
-    """Each order names one year; the cleaned table has every order under every year."""
+    """Each order names one year or holds an empty list; the cleaned table has every order under every year."""
     raw, cleaned = fresh_path(spark, "raw-years"), fresh_path(spark, "cleaned-years")
     measures = _json(net_profit=F.col("o_totalprice"), quotation=F.col("o_orderpriority"))
-    years = F.create_map(F.year("o_orderdate").cast("string"), measures)
-    document = envelope(F.col("o_orderkey"), F.to_json(years)).alias("document")
+    years = F.to_json(F.create_map(F.year("o_orderdate").cast("string"), measures))
+    payload = F.when(F.col("o_orderkey") % 7 == 0, "[]").otherwise(years)
+    document = envelope(F.col("o_orderkey"), payload).alias("document")
     write_documents(table(spark, folder, "orders").select(document), raw)
-    clean_layer(spark, raw, cleaned, "price_profit")
+    clean_layer(spark, raw, cleaned, "price_profit", "ticker string, data string", years=ORDER_YEARS)
     return readers.scan_table(spark, cleaned)
 
 
@@ -120,6 +143,17 @@ def write_once(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
+def csv_column_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files that order their columns differently; texts hold line breaks and quotes."""
+    path, note = fresh_path(spark, "orders-of-columns"), F.concat(F.col("c_name"), F.lit('\n"x", '), F.col("c_mktsegment"))
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", note.alias("note"))
+    for part, columns in ((0, ("c_custkey", "c_name", "note")), (1, ("note", "c_custkey", "c_name"))):
+        some = rows.where(F.col("c_custkey") % 2 == part).select(*columns)
+        some.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    read = readers.scan_named_csv(spark, path, ("c_custkey", "note"), multi_line=True)
+    return read.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "note")
+
+
 def symbol_scan(spark: SparkSession, folder: str) -> DataFrame:
     """First column of a CSV file without a header; the other columns are not looked at."""
     path = fresh_path(spark, "symbols")
@@ -276,13 +310,24 @@ def raw_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "document")
 
 
+def raw_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated tickers and repeated responses still give one document per ticker."""
+    path, site = fresh_path(spark, "raw-repeated"), f"{SITE}/api"
+    keys = customer_keys(spark, folder).select("ticker", "ticker_id", "company_id")
+    twice = keys.union(keys)
+    bodies = F.explode(F.array(F.lit('{"v":1}'), F.lit('{"v":2}'))).alias("body")
+    url = url_join(site, F.col("ticker_id").cast("string"), "")
+    ingest_layer(twice, twice.select("ticker", url.alias("url"), bodies), path, site, "ticker_id")
+    return spark.read.text(path).withColumnRenamed("value", "document")
+
+
 def _labelled(curated: DataFrame, dataset: str) -> DataFrame:
     """Ids and years are numbers in some datasets and texts in others: texts in all, to stack them."""
     texts = {name: F.col(name).cast("string") for name in ("id", "year") if name in curated.columns}
     return curated.withColumns({"dataset": F.lit(dataset), **texts})
 
 
-# What the stored bodies hold; the years of the last dataset are left to inference.
+# What the stored bodies hold.
 _YEARLY = "ticker string, data array<struct<amount:double,id:{id},year:int>>"
 _SCHEMAS = {
     "ticker_prices": "ticker string, data array<struct<created_at:string,price:double>>",
@@ -292,13 +337,15 @@ _SCHEMAS = {
     "dividend_yield": _YEARLY.format(id="string"),
     "historic_kpis": "ticker string, data struct<`P/L`:array<struct<id:bigint,value:double>>,"
     "`VALOR (R$)`:array<struct<id:bigint,value:double>>>",
+    "prices_profit": "ticker string, data map<string,struct<net_profit:double,quotation:string>>",
 }
 
 
 def layered_run(spark: SparkSession, folder: str) -> DataFrame:
     """All seven datasets through raw, cleaned and curated; the curated tables side by side."""
     keys, captured = customer_keys(spark, folder), fresh_path(spark, "captured")
-    specs = [replace(spec, schema=_SCHEMAS.get(spec.folder)) for spec in standard_specs(SITE)]
+    years = {"prices_profit": ("2020", "2021", "2022")}
+    specs = [replace(spec, years=years.get(spec.folder, ())) for spec in standard_specs(SITE, _SCHEMAS)]
     stored = [_stored(keys, spec).withColumn("dataset", F.lit(spec.folder)) for spec in specs]
     overwrite_table(reduce(DataFrame.unionByName, stored), captured, partition_by=("dataset",))
     curated = run_layers(
@@ -328,6 +375,20 @@ QUERIES = {
         json_scan,
         'SELECT event_id::varchar AS ticker, json_extract(props, \'$.k\')::bigint AS "data-k" FROM events',
     ),
+    "scan_bad_documents": Query(
+        scan_bad_documents,
+        """
+        WITH documents_of AS (
+            SELECT event_id, props, '{"ticker":"' || event_id || '","data":'
+                   || CASE WHEN event_id % 5 = 1 THEN '"oops"' ELSE props END || '}' AS document
+            FROM events)
+        SELECT CASE WHEN event_id % 5 > 1 THEN event_id::varchar END AS ticker,
+               CASE WHEN event_id % 5 > 1 THEN json_extract(props, '$.k')::int END AS k,
+               CASE WHEN event_id % 5 = 0 THEN 'document cannot be read: ' || substr(document, 1, length(document) - 2)
+                    WHEN event_id % 5 = 1 THEN 'document cannot be read: ' || document END AS error
+        FROM documents_of
+        """,
+    ),
     "documents_by_key": Query(
         documents_by_key,
         """
@@ -358,9 +419,9 @@ QUERIES = {
         price_profit_clean,
         """
         SELECT o_orderkey::varchar AS ticker, y.year,
-               CASE WHEN year(o_orderdate)::varchar = y.year THEN o_totalprice END AS net_profit,
+               CASE WHEN year(o_orderdate)::varchar = y.year AND o_orderkey % 7 <> 0 THEN o_totalprice END AS net_profit,
                NULL::double AS quotation
-        FROM orders CROSS JOIN (SELECT DISTINCT year(o_orderdate)::varchar AS year FROM orders) y
+        FROM orders CROSS JOIN (SELECT unnest(range(1992, 1999))::varchar AS year) y
         """,
     ),
     "curate": Query(curate, "SELECT o_orderkey, o_totalprice FROM orders"),
@@ -374,6 +435,9 @@ QUERIES = {
         """,
     ),
     "write_once": Query(write_once, "SELECT c_custkey, c_name FROM customer"),
+    "csv_column_order": Query(
+        csv_column_order, """SELECT c_custkey, c_name || chr(10) || '"x", ' || c_mktsegment AS note FROM customer"""
+    ),
     "symbol_scan": Query(symbol_scan, "SELECT c_name AS symbol FROM customer"),
     "symbol_limit": Query(symbol_limit, "SELECT c_name AS symbol FROM customer ORDER BY c_name DESC LIMIT 50"),
     "line_scan": Query(
@@ -442,6 +506,12 @@ QUERIES = {
         FROM ({_VALID_KEYS})
         """,
     ),
+    "raw_repeated": Query(
+        raw_repeated,
+        """
+        SELECT '{"ticker":"c' || c_custkey || '","data":{"v":2}}' AS document FROM customer WHERE c_custkey % 20 <> 10
+        """,
+    ),
     "layered_run": Query(
         layered_run,
         f"""

@@ -69,13 +69,25 @@ def scoped_text(spark: SparkSession, folder: str) -> DataFrame:
     return flatten(lines.select("page_id", "lines"))
 
 
+def scoped_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Up to 400 scopes a page, behind an attribute value that holds an apostrophe but is not quoted."""
+    page = F.col("page_id")
+    scope = F.concat(F.lit("<p class=rank_view>s"), page.cast("string"), F.lit("<br></p>"))
+    body = F.concat(F.lit("<a title=it's href=/x?a='>"), F.repeat(scope, (page % 400 + 1).cast("int")), F.lit("</a>isn't it"))
+    lines = scoped_lines(table(spark, folder, "pages").select("page_id", body.alias("body")), "body")
+    return flatten(lines.select("page_id", "lines"))
+
+
 def table_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """The pages' link lists, laid out as tables, read by header."""
-    laid_out = F.col("html")
+    """The pages' link lists, laid out as tables behind a comment and a script, with tables in cells, by header."""
+    laid_out = F.concat(
+        F.lit("<!-- <table><tr><th>C&oacute;digo</th></tr><tr><td>no</td></tr></table> --><script>'<table>'</script>"),
+        F.col("html"),
+    )
     for old, new in (
-        ("<ul>", "<table><tr><th>Nome</th><th>C&oacute;digo</th></tr>"),
+        ("<ul>", "<table><tr><th>Nome</th><th>C&oacute;digo</th></tr><!-- <tr><td>-<td>no</tr> -->"),
         ("</ul>", "</table>"),
-        ("<li>", "<tr><td>-<td>"),
+        ("<li>", '<tr><td><table><tr><td>no</td></tr></table><td title="a>b">'),
         ("</li>", " </td></tr>\n"),
     ):
         laid_out = F.replace(laid_out, F.lit(old), F.lit(new))
@@ -243,6 +255,9 @@ QUERIES = {
         WHERE trim(line) <> ''
         """,
     ),
+    "scoped_many": Query(
+        scoped_many, "SELECT page_id, 's' || page_id AS lines FROM (SELECT page_id, unnest(range(page_id % 400 + 1)) FROM pages)"
+    ),
     "table_column": Query(
         table_cells,
         """

@@ -110,7 +110,7 @@ def unpivot_grid(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "orders")
         .select(F.col("o_custkey").alias("ticker"), F.year("o_orderdate").alias("year"), "o_totalprice")
         .groupBy("ticker")
-        .pivot("year")
+        .pivot("year", list(range(1992, 1999)))
         .agg(F.max("o_totalprice").alias("net_profit"), F.min("o_totalprice").alias("quotation"))
     )
     wide = yearly.toDF(*[name.replace("_", "-", 1) if name != "ticker" else name for name in yearly.columns])
@@ -214,7 +214,7 @@ QUERIES = {
             FROM orders GROUP BY ALL)
         SELECT t.ticker, y.year, net_profit, quotation
         FROM (SELECT DISTINCT ticker FROM yearly) t
-        CROSS JOIN (SELECT DISTINCT year FROM yearly) y
+        CROSS JOIN (SELECT unnest(range(1992, 1999))::varchar AS year) y
         LEFT JOIN yearly USING (ticker, year)
         """,
     ),

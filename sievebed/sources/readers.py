@@ -59,7 +59,13 @@ def scan_documents(
         return read.drop(_CORRUPT)
     # Inference adds the column only where it has met such a document.
     text = F.col(_CORRUPT) if _CORRUPT in read.columns else F.lit(None).cast("string")
-    reason = F.when(text.isNotNull(), F.concat(F.lit("document cannot be read: "), F.substring(text, 1, 200)))
+    # A value of a column that is not read cannot be of the wrong type.  So the reason names all columns:
+    # none is pruned, and a document is bad or good whatever is selected.
+    others = F.struct(*[quoted(name) for name in read.columns if name != _CORRUPT])
+    nothing = F.substring(F.to_json(others), 1, 0)
+    reason = F.when(
+        text.isNotNull(), F.concat(F.lit("document cannot be read: "), F.substring(text, 1, 200), F.coalesce(nothing, F.lit("")))
+    )
     return read.withColumn(error, reason).drop(_CORRUPT)
 
 
