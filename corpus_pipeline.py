@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievebed.catalog.base import table
 from sievebed.llm import decontaminate, langid, lines, pieces, simhash
-from sievebed.llm.tables import written
+from sievebed.llm.tables import unused, written
 
 #: A document whose language is less sure than this is rejected.
 LEAST_SCORE = 0.5
@@ -20,9 +20,9 @@ LEAST_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned; those without letters or without a likely language go."""
     model = langid.train(docs)
-    marked = docs.withColumn("__text", F.col("text"))
-    found = langid.predictions(marked, model, "__text", prediction="__lang", score="__score")
-    kept = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)
+    text, prediction, score = (unused(docs, name) for name in ("read_text", "lang_pred", "score"))
+    found = langid.predictions(docs.withColumn(text, F.col("text")), model, text, prediction=prediction, score=score)
+    kept = (F.col(prediction) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE)
     return found.where(kept).select(*docs.columns)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sievebed.llm.bitmaps import bitmap, may_hold
-from sievebed.llm.tables import written
+from sievebed.llm.tables import unused, written
 
 WINDOW = 13
 SHINGLE = 3
@@ -190,5 +190,6 @@ def contamination(
 def clean_documents(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``documents`` that are not contaminated, with all their columns."""
     bad = contamination(documents, items, doc_id=doc_id, text=text, **options).where("contaminated")
-    keyed = documents.withColumn("__row", F.xxhash64(doc_id, F.xxhash64(text)))
-    return keyed.join(bad.select(F.col("row").alias("__row")).distinct(), "__row", "left_anti").drop("__row")
+    row = unused(documents, "row")
+    keyed = documents.withColumn(row, F.xxhash64(doc_id, F.xxhash64(text)))
+    return keyed.join(bad.select(F.col("row").alias(row)).distinct(), row, "left_anti").drop(row)

@@ -23,7 +23,6 @@ TOGETHER = 1e-3
 BUCKET_BITS = 14
 
 _ORDER = ("__key", "__id", "__row")
-_SCRATCH = [*_ORDER, "__size", "__range", "__bucket"]
 
 
 def _bucket(key: Column) -> Column:
@@ -40,7 +39,13 @@ def _cuts(rows: DataFrame, target: float, salt: int) -> DataFrame:
     piece = F.floor(before / target)
     numbered = sample.select("__range", *_ORDER, piece.alias("__piece"))
     opens = F.col("__piece") > F.lag("__piece", 1, 0).over(order)
-    return numbered.select(*_ORDER, opens.alias("__opens")).where("__opens").drop("__opens")
+    cuts = numbered.select("__range", *_ORDER, opens.alias("__opens")).where("__opens")
+    # Before the first copy of a text, unless a cut lies among its copies already.
+    first = ~F.col("__key").eqNullSafe(F.lag("__key").over(order))
+    return cuts.select("__key", first.alias("__first"), "__id", "__row").select(
+        "__key", F.when(~F.col("__first"), F.col("__id")).alias("__id"),
+        F.when(F.col("__first"), F.lit(-1).cast("long")).otherwise(F.col("__row")).alias("__row"),
+    )
 
 
 def _ranges(cuts: DataFrame) -> DataFrame:
@@ -78,7 +83,7 @@ def byte_shards(
     kept = without(documents, ["size", "shard", "slot"] + ([] if keep_text else [text])).columns
     rows = written(
         documents.select(
-            *kept, (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("__size"),
+            F.struct(*kept).alias("__rest"), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("__size"),
             F.xxhash64(text).alias("__key"), F.col(doc_id).alias("__id"), F.monotonically_increasing_id().alias("__row"),
         ).withColumn("__range", F.lit(0)),
         "shard_rows",
@@ -112,9 +117,9 @@ def byte_shards(
     at = F.when(together, F.min("__at").over(copies)).otherwise(F.col("__at"))
     shard = F.least(F.floor(at * shards / F.lit(max(1, total))), F.lit(shards - 1)).cast("int")
     numbered = written(
-        placed.select(*kept, F.col("__size").alias("size"), shard.alias("shard"), F.col("__index")), "shard_places"
+        placed.select("__rest", F.col("__size").alias("size"), shard.alias("shard"), "__index"), "shard_places"
     )
     opens = numbered.groupBy("shard").agg(F.min("__index").alias("__opens"))
     return numbered.join(F.broadcast(opens), "shard").select(
-        *kept, "size", "shard", (F.col("__index") - F.col("__opens")).alias("slot")
+        "__rest.*", "size", "shard", (F.col("__index") - F.col("__opens")).alias("slot")
     )

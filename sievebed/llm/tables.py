@@ -24,3 +24,11 @@ def without(frame: DataFrame, names: Iterable[str]) -> DataFrame:
     """``frame`` less its columns of these names, whatever their case."""
     taken = {name.lower() for name in names}
     return frame.drop(*[name for name in frame.columns if name.lower() in taken])
+
+
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``frame`` has it."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
