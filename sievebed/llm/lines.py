@@ -2,15 +2,17 @@
 
 Equal lines are one line, known by its hash.  Lines are signed by the minima of many hash functions over
 their character shingles, and meet others in buckets of equal bands of the signature.  In each bucket all
-lines are held against one of them, so a bucket of n lines gives n - 1 candidates.  What the exact
-Jaccard similarity confirms is joined by union-find.  Pairs of a bucket not joined by then are compared
-too, unless their distances from the bucket's one line already rule them out (Jaccard distance obeys the
-triangle inequality).  So the components are those that all pairs of all buckets would give.
+lines are held against its most frequent one, so a bucket of n lines gives n - 1 candidates at most.  What
+the exact Jaccard similarity confirms is joined by union-find.  Pairs of a bucket not joined by then are
+compared too.  A line takes along one bit of each minimum; of lines of similarity 0.8 these agree in nine
+of ten, so candidates whose bits agree in far fewer are left out before any text is moved.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +21,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sievebed.llm.bitmaps import bitmap, may_hold
 from sievebed.llm.components import components
-from sievebed.llm.tables import without, written
+from sievebed.llm.tables import unused, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bands of rows: two lines of similarity 0.8 share a bucket with probability 0.996, of 0.9 almost surely,
-#: of 0.1 with 0.0001.
-BANDS, ROWS = 14, 5
+#: Bands of rows: two lines of similarity 0.8 share a bucket with probability 0.991, of 0.85 with 0.999, of
+#: 0.1 with 0.0001.
+BANDS, ROWS = 12, 5
+#: Bits that lines may differ in, of the one kept of each minimum: lines of similarity 0.8 differ in 6 of
+#: 60, and in more than 16 once in 20,000 times.
+BITS_APART = 16
+#: Bits of the longer sketch that decides where many lines are much alike, and how many may differ: lines of
+#: similarity 0.8 differ in 205, and in more than 250 once in 2,000 times; of 0.75 in 256, of 0.7 in 307.
+SKETCH_BITS, SKETCH_APART = 2048, 250
 #: Code points signed at a time.
 STRETCH = 1 << 19
+#: Shingles of lines a task keeps while it compares.
+REMEMBERED = 1_000_000
 _BLANK = " \t\n\x0b\x0c\r"
 _SEED = 42
 
@@ -50,24 +60,22 @@ def _is_blank(line: Column) -> Column:
     return F.trim(line, F.lit(_BLANK)) == ""
 
 
-def _constants() -> tuple[np.ndarray, np.ndarray]:
+def _constants(functions: int) -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(20_240_229)
-    return (
-        random.integers(0, 1 << 32, BANDS * ROWS, np.uint32),
-        random.integers(0, 1 << 32, BANDS * ROWS, np.uint32) | np.uint32(1),
-    )
+    flips, factors = random.integers(0, 1 << 32, (2, functions), np.uint32)
+    return flips, factors | np.uint32(1)
 
 
-def signatures(lines: list[str]) -> np.ndarray:
+def signatures(lines: list[str], functions: int = BANDS * ROWS) -> np.ndarray:
     """[line, function]: minima over each line's shingles; a line shorter than a shingle is one."""
-    flips, factors = _constants()
+    flips, factors = _constants(functions)
     pieces, owners = [], []
     for i, line in enumerate(lines):
         step = STRETCH - SHINGLE + 1
         for start in range(0, max(1, len(line) - SHINGLE + 1), step):
             pieces.append(line[start : start + STRETCH])
             owners.append(i)
-    result = np.full((len(lines), BANDS * ROWS), 0xFFFFFFFF, np.uint32)
+    result = np.full((len(lines), functions), 0xFFFFFFFF, np.uint32)
     first = 0
     while first < len(pieces):
         last, size = first, 0
@@ -115,14 +123,21 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def kept_bits(minima: np.ndarray) -> np.ndarray:
+    """One bit of each minimum of a line, as a long."""
+    bits = ((minima >> np.uint32(3)) & np.uint32(1)).astype(np.uint64)
+    return (bits << np.arange(minima.shape[1], dtype=np.uint64)).sum(axis=1).view(np.int64)
+
+
 def _banded(documents: DataFrame, text: str) -> DataFrame:
-    """``(bucket, line_key)`` of the lines of all texts; of equal lines in a batch, one."""
+    """``(bucket, line_key, bits)`` of the lines of all texts; of equal lines in a batch, one."""
 
     def rows(lines: dict[str, None]) -> pa.RecordBatch:
         distinct = list(lines)
-        keys = band_keys(signatures(distinct))
+        minima = signatures(distinct)
         own = np.array([line_key(line) for line in distinct], np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(own.repeat(BANDS))], ["bucket", "line_key"])
+        columns = [band_keys(minima).ravel(), own.repeat(BANDS), kept_bits(minima).repeat(BANDS)]
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["bucket", "line_key", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,34 +154,50 @@ def _banded(documents: DataFrame, text: str) -> DataFrame:
             if held:
                 yield rows(held)
 
-    return documents.select(text).mapInArrow(run, "bucket long, line_key long")
+    return documents.select(text).mapInArrow(run, "bucket long, line_key long, bits long")
 
 
-def _stars(banded: DataFrame) -> DataFrame:
-    """``(bucket, hub, line_key)``: every further line of a bucket beside its first."""
+def _members(banded: DataFrame) -> DataFrame:
+    """``(bucket, line_key, bits, n)``: the distinct lines of every bucket of several, and their occurrences.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket = hub = line = None  # of the row before
+    Buckets stream by in order; only the current line is held.
+    """
+    names = ["bucket", "line_key", "bits", "n"]
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        last = np.zeros((0, 4), np.int64)  # the line that may go on in the next batch
         for batch in batches:
-            if not batch.num_rows:
+            rows = np.stack([column.to_numpy() for column in batch.columns], axis=1)
+            rows = np.concatenate([last, np.column_stack([rows, np.ones(len(rows), np.int64)])])
+            if len(rows):
+                opens = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]))
+                lines = rows[opens]
+                lines[:, 3] = np.add.reduceat(rows[:, 3], opens)
+                yield lines[:-1]
+                last = lines[-1:]
+        yield last
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, 4), np.int64)
+        shared = False  # whether the line held has followed another of its bucket
+        for lines in distinct(batches):
+            lines = np.concatenate([held, lines])
+            if not len(lines):
                 continue
-            buckets, lines = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            opens = np.ones(len(buckets), bool)
-            opens[1:] = buckets[1:] != buckets[:-1]
-            changes = opens.copy()
-            changes[1:] |= lines[1:] != lines[:-1]
-            if bucket is not None and buckets[0] == bucket:
-                opens[0], changes[0] = False, lines[0] != line
-            first = np.maximum.accumulate(np.where(opens, np.arange(len(opens)), -1))
-            hubs = np.where(first < 0, 0 if hub is None else hub, lines[np.maximum(first, 0)])
-            kept = changes & ~opens
-            bucket, hub, line = buckets[-1], hubs[-1], lines[-1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets[kept]), pa.array(hubs[kept]), pa.array(lines[kept])], ["bucket", "hub", "line_key"]
-            )
+            same = lines[1:, 0] == lines[:-1, 0]
+            with_before = np.concatenate([[shared], same])
+            with_next = np.concatenate([same, [False]])
+            kept = (with_before | with_next)[:-1]
+            yield batch_of(lines[:-1][kept])
+            held, shared = lines[-1:], bool(with_before[-1])
+        if shared:
+            yield batch_of(held)
+
+    def batch_of(lines: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(column)) for column in lines.T], names)
 
     dealt = banded.repartition("bucket").sortWithinPartitions("bucket", "line_key")
-    return dealt.mapInArrow(run, "bucket long, hub long, line_key long")
+    return dealt.mapInArrow(run, "bucket long, line_key long, bits long, n long")
 
 
 def shingles(line: str) -> set[str]:
@@ -185,13 +216,18 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     joined = pairs.join(seconds, "b").join(firsts, "a").select("a", "b", "line_a", "line_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known = None, set()
+        known: dict[int, set[str]] = {}  # lines that come again within the task
+        size = 0
         for batch in batches:
             found = []
-            for a, line_a, line_b in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
-                if a != held:
-                    held, known = a, shingles(line_a)
-                found.append(jaccard(known, shingles(line_b)))
+            for a, b, line_a, line_b in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                for key, line in ((a, line_a), (b, line_b)):
+                    if key not in known:
+                        if size > REMEMBERED:
+                            known, size = {}, 0
+                        known[key] = shingles(line)
+                        size += len(line)
+                found.append(jaccard(known.get(a) or shingles(line_a), known[b]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["a", "b", "similarity"]
             )
@@ -219,39 +255,73 @@ def _texts(documents: DataFrame, text: str, keys: DataFrame) -> DataFrame:
     return found.join(keys, "line_key", "left_semi").groupBy("line_key").agg(F.min("line").alias("line"))
 
 
+def _alike(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= BITS_APART
+
+
 def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     """``(node, component)`` of the lines that are near another, unequal one, by line key."""
-    stars = written(_stars(_banded(documents, text)), "line_stars")
-    pairs = stars.select(F.col("hub").alias("a"), F.col("line_key").alias("b")).distinct()
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct()
-    texts = written(_texts(documents, text, written(ends, "line_ends")), "line_texts")
-    compared = written(_compared(pairs, texts), "line_pairs")
-    near = compared.where(F.col("similarity") >= SIMILARITY).select("a", "b")
-    found = written(components(near), "line_components")
-
-    # Members of a bucket outside its hub's component, and those they could still be near.
-    named = stars.join(compared.toDF("hub", "line_key", "similarity"), ["hub", "line_key"]).join(
-        found.toDF("line_key", "own"), "line_key", "left").join(found.toDF("hub", "hubs"), "hub", "left")
-    members = named.select(
-        "bucket", "line_key", "similarity", F.coalesce("own", "line_key").alias("own"),
-        F.coalesce("hubs", "hub").alias("hubs"),
-    )
-    members = written(members, "line_members")
-    apart = members.where("own <> hubs").toDF("bucket", "b", "similarity_b", "own_b", "hubs")
-    close = (
-        (F.col("own") != F.col("own_b"))
-        & (F.abs(F.col("similarity") - F.col("similarity_b")) <= 1 - SIMILARITY + 1e-9)
-        # Of two that are both apart from the hub, one order is enough.
-        & ((F.col("own") == F.col("hubs")) | (F.col("line_key") < F.col("b")))
-    )
-    left = members.drop("hubs").join(apart, "bucket").where(close)
+    members = written(_members(_banded(documents, text)), "line_members")
+    first = F.max(F.struct("n", (-F.col("line_key")).alias("order"), F.col("line_key").alias("hub"), F.col("bits").alias("hub_bits")))
+    hubs = written(members.groupBy("bucket").agg(first.alias("first")).select("bucket", "first.hub", "first.hub_bits"), "line_hubs")
+    beside = members.join(hubs, "bucket").where((F.col("line_key") != F.col("hub")) & _alike("bits", "hub_bits"))
+    pairs = written(beside.select(F.col("hub").alias("a"), F.col("line_key").alias("b")).distinct(), "line_pairs")
+    found = written(components(_near(documents, text, pairs)), "line_components")
+
+    # Lines outside the component of their bucket's hub, and others of the bucket they may be near.
+    named = members.join(hubs.select("bucket", "hub"), "bucket").join(
+        found.toDF("line_key", "own"), "line_key", "left").join(found.toDF("hub", "hubs"), "hub", "left").select(
+        "bucket", "line_key", "bits", F.coalesce("own", "line_key").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
+    named = written(named, "line_named")
+    apart = named.where("own <> hubs").toDF("bucket", "b", "bits_b", "own_b", "hubs_b")
+    unlike = (F.col("own") != F.col("own_b")) & ((F.col("own") == F.col("hubs")) | (F.col("line_key") < F.col("b")))
+    # First the lines alone, which stay few where pairs would be many; then pairs by the longer sketch.
+    sides = [
+        written(some.join(other, (some["bucket"] == other["bucket"]) & unlike & _alike("bits", "bits_b"), "left_semi"), "line_apart")
+        for some, other in ((named, apart), (apart, named))
+    ]
+    keys = written(sides[0].select("line_key").union(sides[1].select("b")).distinct(), "line_sketch_keys")
+    sketches = written(_sketches(_texts(documents, text, keys)), "line_sketches")
+    firsts = sides[0].join(sketches, "line_key")
+    seconds = sides[1].join(sketches.toDF("b", "bands_b", "sketch_b"), "b")
+    apart_bits = reduce(add, (
+        F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i)))) for i in range(SKETCH_BITS // 64)
+    ))
+    # A pair that shares several buckets is taken in the first.
+    shared = F.coalesce(*[
+        F.when(F.get("bands", F.lit(i)) == F.get("bands_b", F.lit(i)), F.get("bands", F.lit(i))) for i in range(BANDS)
+    ])
+    once = (F.col("bucket") == shared) & unlike & _alike("bits", "bits_b") & (apart_bits <= SKETCH_APART)
+    left = firsts.join(seconds, "bucket").where(once)
     more = written(left.select(F.col("line_key").alias("a"), "b").distinct(), "line_more_pairs")
-    if more.isEmpty():
-        return found
-    further = _compared(more, texts).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    further = _near(documents, text, more)
     return components(found.toDF("a", "b").union(further))
 
 
+def _sketches(texts: DataFrame) -> DataFrame:
+    """``(line_key, bands array<long>, sketch array<long>)``: a line's buckets, and one bit of each of many minima."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                some = batch.slice(start, 2000)
+                lines = some.column(1).to_pylist()
+                bands = pa.array(list(band_keys(signatures(lines))), pa.list_(pa.int64()))
+                minima = signatures(lines, SKETCH_BITS)
+                bits = np.packbits((minima >> np.uint32(3)) & np.uint32(1), axis=1).view(np.int64)
+                sketches = pa.array(list(bits), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([some.column(0), bands, sketches], ["line_key", "bands", "sketch"])
+
+    return texts.mapInArrow(run, "line_key long, bands array<long>, sketch array<long>")
+
+
+def _near(documents: DataFrame, text: str, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs of line keys whose lines are similar enough."""
+    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct(), "line_ends")
+    texts = written(_texts(documents, text, ends), "line_texts")
+    return _compared(pairs, texts).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+
+
 def line_classes(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text_key, pos, line_class, kept)``, a row per line that is not blank.
 
@@ -302,12 +372,14 @@ def drop_lines(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     is, null too.  Blank lines stay unless the text loses every other line.
     """
     chosen = decisions(documents, doc_id=doc_id, text=text).where("size(dropped) > 0")
+    row, gone = unused(documents, "row"), unused(documents, "gone")
     chosen = written(chosen, "line_decisions").select(
-        F.xxhash64(F.lit("id"), "doc_id", "text_key").alias("__row"), F.col("dropped").alias("__dropped")
+        F.xxhash64("doc_id", "text_key").alias(row), F.col("dropped").alias(gone)
     )
-    keyed = documents.withColumn("__row", F.xxhash64(F.lit("id"), F.col(doc_id), F.xxhash64(text)))
-    joined = keyed.join(chosen, "__row", "left").select(*documents.columns, "__dropped")
-    place = documents.columns.index(text)
+    keyed = documents.withColumn(row, F.xxhash64(F.col(doc_id), F.xxhash64(text)))
+    joined = keyed.join(chosen, row, "left").select(*documents.columns, gone)
+    names = documents.columns
+    place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,6 +389,6 @@ def drop_lines(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                 for value, gone in zip(columns[place].to_pylist(), dropped.to_pylist(), strict=True)
             ]
             columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, documents.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(run, documents.schema)
