@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sievebed.llm.bitmaps import bitmap, may_hold
-from sievebed.llm.tables import unused, written
+from sievebed.llm.tables import sliced, unused, written
 
 WINDOW = 13
 SHINGLE = 3
@@ -90,7 +90,7 @@ def _occurrences(documents: DataFrame, text: str, keys: DataFrame, sizes: list[i
     shared = bitmap(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = []
             for value in batch.column(0).to_pylist():
                 codes = word_codes(words_of(value))
@@ -126,7 +126,7 @@ def _marked(documents: DataFrame, doc_id: str, text: str, keys: DataFrame, sizes
         return result
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             *others, texts = batch.columns
             n_words, found = [], []
             for value in texts.to_pylist():

@@ -18,7 +18,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sievebed.llm.tables import without, written
+from sievebed.llm.tables import sliced, without, written
 
 #: Documents learned from, at most, about: a sample by hash, each document with the same chance.
 LEARN_FROM = 40_000
@@ -35,13 +35,15 @@ _WORD = regex.compile(r"\p{L}{1,%d}" % LONGEST_WORD)
 #: Code points of a text taken in at a time; a word is never cut, as the cut is moved to its end.
 STRETCH = 1 << 18
 #: Unseen words a task remembers the scores of.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 
 
 class Model(NamedTuple):
     languages: list[str]
-    words: dict[str, np.ndarray]  #: log frequency in each language
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]  #: row of ``word_logs``
+    grams: dict[str, int]  #: row of ``gram_logs``
+    word_logs: np.ndarray  #: [word, language]: log frequency
+    gram_logs: np.ndarray
     prior: np.ndarray
 
 
@@ -103,16 +105,13 @@ def _counted(labelled: DataFrame) -> DataFrame:
     return labelled.mapInArrow(run, "language string, kind int, item string, n long")
 
 
-def _table(rows: list[tuple[str, str, int]], languages: list[str]) -> dict[str, np.ndarray]:
+def _table(rows: list[tuple[str, str, int]], languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     place = {language: i for i, language in enumerate(languages)}
-    counts: dict[str, np.ndarray] = {}
+    items = {item: i for i, item in enumerate(dict.fromkeys(row[1] for row in rows))}
+    raised = np.full((len(items), len(languages)), SMOOTHING)
     for language, item, n in rows:
-        counts.setdefault(item, np.zeros(len(languages)))[place[language]] += n
-    if not counts:
-        return {}
-    raised = np.stack(list(counts.values())) + SMOOTHING
-    logs = np.log(raised / raised.sum(axis=0, keepdims=True)).astype(np.float32)
-    return dict(zip(counts, logs, strict=True))
+        raised[items[item], place[language]] += n
+    return items, np.log(raised / raised.sum(axis=0, keepdims=True)).astype(np.float32)
 
 
 def train(
@@ -140,9 +139,8 @@ def train(
     total_words = np.ones(len(languages))
     for language, _, n in kinds[0]:
         total_words[languages.index(language)] += n
-    return Model(
-        languages, _table(kinds[0], languages), _table(kinds[1], languages), np.log(total_words / total_words.sum())
-    )
+    (words, word_logs), (grams, gram_logs) = (_table(kind, languages) for kind in kinds)
+    return Model(languages, words, grams, word_logs, gram_logs, np.log(total_words / total_words.sum()))
 
 
 class Scorer:
@@ -156,14 +154,14 @@ class Scorer:
         found = self.unseen.get(word)
         if found is None:
             grams, padded = self.model.grams, f" {word} "
-            found = np.zeros(len(self.model.languages), np.float32)
+            rows = []
             for start in range(len(padded)):
                 for size in range(LONGEST_GRAM, 0, -1):
                     known = grams.get(padded[start : start + size])
                     if known is not None:
-                        found += known
+                        rows.append(known)
                         break
-            found /= len(padded)
+            found = self.model.gram_logs[rows].sum(axis=0) / np.float32(len(padded))
             if len(self.unseen) >= REMEMBERED:
                 self.unseen.clear()
             self.unseen[word] = found
@@ -176,15 +174,20 @@ class Scorer:
             counts.update(words)
         if not counts or not model.languages:
             return UNKNOWN, 0.0
-        known = model.words.get
-        scores, total = model.prior.astype(np.float64), 0
-        rows, times = [], []
+        known, unknown = {}, []
         for word, n in counts.items():
-            row = known(word)
-            rows.append(self.unseen_word(word) if row is None else row)
-            times.append(n)
-            total += n
-        scores = scores + np.asarray(times, np.float64) @ np.stack(rows)
+            row = model.words.get(word)
+            if row is None:
+                unknown.append((word, n))
+            else:
+                known[row] = n
+        scores = model.prior.astype(np.float64)
+        if known:
+            times = np.fromiter(known.values(), np.float64, len(known))
+            scores = scores + times @ model.word_logs[list(known)]
+        if unknown:
+            times = np.array([n for _, n in unknown], np.float64)
+            scores = scores + times @ np.stack([self.unseen_word(word) for word, _ in unknown])
         best = int(np.argmax(scores))
         share = np.exp(scores - scores[best])
         return model.languages[best], float(1.0 / share.sum())
@@ -205,7 +208,7 @@ def predictions(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             *others, texts = batch.columns
             found = [scorer.predict(value) for value in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays(

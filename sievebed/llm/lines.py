@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sievebed.llm.bitmaps import bitmap, may_hold
 from sievebed.llm.components import components
-from sievebed.llm.tables import unused, written
+from sievebed.llm.tables import sliced, unused, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -37,7 +37,7 @@ SKETCH_BITS, SKETCH_APART = 2048, 250
 #: Code points signed at a time.
 STRETCH = 1 << 19
 #: Shingles of lines a task keeps while it compares.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 _BLANK = " \t\n\x0b\x0c\r"
 _SEED = 42
 
@@ -140,7 +140,7 @@ def _banded(documents: DataFrame, text: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["bucket", "line_key", "bits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 4096):
             held: dict[str, None] = {}
             size = 0
             for value in batch.column(0).to_pylist():
@@ -218,7 +218,7 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, set[str]] = {}  # lines that come again within the task
         size = 0
-        for batch in batches:
+        for batch in sliced(batches):
             found = []
             for a, b, line_a, line_b in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 for key, line in ((a, line_a), (b, line_b)):
@@ -240,7 +240,7 @@ def _texts(documents: DataFrame, text: str, keys: DataFrame) -> DataFrame:
     shared = bitmap(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             lines = list({
                 line: None for value in batch.column(0).to_pylist() for line in (value or "").split("\n")
                 if line.strip(_BLANK)
@@ -382,7 +382,7 @@ def drop_lines(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             *columns, dropped = batch.columns
             texts = [
                 value if gone is None else _less_lines(value, gone)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
-from sievebed.llm.tables import without
+from sievebed.llm.tables import sliced, without
 
 VOCABULARY = "piece_bpe_32k.model"
 #: How SentencePiece writes a blank inside pieces.
@@ -32,7 +32,7 @@ BLANK = "▁"
 UNKNOWN_COST = 10.0
 _NEVER = float("-inf")
 #: Stretches a task remembers, and the longest one it does.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 120_000, 48
 #: Code points of a text cut into stretches at a time.
 AT_ONCE = 1 << 18
 
@@ -164,7 +164,7 @@ def encoded(documents: DataFrame, text: str = "text", *, vocabulary: str = VOCAB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
+        for batch in sliced(batches):
             *others, texts = batch.columns
             ids = [None if value is None else np.array(encoder.encode(value), np.int32) for value in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([*others, pa.array(ids, pa.list_(pa.int32()))], schema.names)
@@ -180,7 +180,7 @@ def decoded(frame: DataFrame, ids: str = "ids", *, text: str = "text", vocabular
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
+        for batch in sliced(batches):
             *others, lists = batch.columns
             texts = [None if value is None else encoder.decode(value) for value in lists.to_pylist()]
             yield pa.RecordBatch.from_arrays([*others, pa.array(texts, pa.string())], schema.names)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievebed.llm.components import components
-from sievebed.llm.tables import without, written
+from sievebed.llm.tables import sliced, without, written
 
 BITS = 64
 #: Estimates are made per block of this many correlated bits; a partition is a run of blocks.
@@ -72,7 +72,7 @@ def fingerprints(documents: DataFrame, text: str = "text", *, words: int = 3, na
     schema = documents.select(*kept, F.lit(0).cast("long").alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             *others, texts = batch.columns
             values = pa.array([fingerprint_of(value, words) for value in texts.to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*others, values], schema.names)
