@@ -59,20 +59,28 @@ def best_of_tile(q: Block, c: Block, k: int) -> Iterator[tuple[int, list[tuple[f
     lower, upper = estimate - off, estimate + off
     own = q.ids[:, None] == c.ids[None, :]
     lower[own] = upper[own] = -np.inf
-    if lower.shape[1] > k:
-        limit = np.partition(lower, lower.shape[1] - k, axis=1)[:, lower.shape[1] - k]
+    # The limit counts an id once, by its best vector.
+    order = np.argsort(c.ids, kind="stable")
+    opens = np.flatnonzero(np.concatenate([[True], np.diff(c.ids[order]) != 0]))
+    each = lower if len(opens) == len(order) else np.maximum.reduceat(lower[:, order], opens, axis=1)
+    if each.shape[1] > k:
+        limit = np.partition(each, each.shape[1] - k, axis=1)[:, each.shape[1] - k]
     else:
         limit = np.full(len(q.ids), -np.inf)
     kept = (upper >= limit[:, None]) & ~own
     for i, query in enumerate(q.ids.tolist()):
-        heap: list[tuple[float, int]] = []
         some = np.flatnonzero(kept[i])
         scores = inner(np.broadcast_to(q.vectors[i], (len(some), q.vectors.shape[1])), c.vectors[some])
-        for score, near in zip(scores.tolist(), (-c.ids[some]).tolist(), strict=True):
+        best: dict[int, float] = {}
+        for score, near in zip(scores.tolist(), c.ids[some].tolist(), strict=True):
+            if near not in best or score > best[near]:
+                best[near] = score
+        heap: list[tuple[float, int]] = []
+        for near, score in best.items():
             if len(heap) < k:
-                heapq.heappush(heap, (score, near))
-            elif (score, near) > heap[0]:
-                heapq.heapreplace(heap, (score, near))
+                heapq.heappush(heap, (score, -near))
+            elif (score, -near) > heap[0]:
+                heapq.heapreplace(heap, (score, -near))
         yield query, [(score, -near) for score, near in sorted(heap, reverse=True)]
 
 
@@ -133,7 +141,7 @@ def nearest(
         is_query.alias("is_query"),
     ).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     queries = _packed(rows.where("is_query").select("vec_id", "vector").distinct(), QUERIES, "query")
-    candidates = _packed(rows.select("vec_id", "vector"), CANDIDATES, "near")
+    candidates = _packed(rows.select("vec_id", "vector").distinct(), CANDIDATES, "near")
     # The pair of blocks is the key: the blocks of queries are given to each block of candidates.
     blocks = candidates.select("near_block", "width").distinct()
     tiles = queries.join(blocks, "width").join(candidates, ["near_block", "width"])

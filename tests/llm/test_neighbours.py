@@ -58,3 +58,13 @@ def test_empty_and_fewer_than_k(spark):
     assert neighbours.nearest(nothing, F.col("vec_id") >= 0, 3).count() == 0
     two = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.5, 0.0])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, neighbours.nearest(two, F.col("vec_id") == 1, 3).collect())) == [(1, 1, 2, 0.5)]
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_copies_of_a_near_row_leave_room_for_others(spark, same):
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=8) + 1).tolist()) for i in range(40)]
+    rows += [(50, [9.0 if same else 9.0 + i / 16] * 8) for i in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    found = neighbours.nearest(frame, F.col("vec_id") % 5 == 0, 6).where("query_id < 50").collect()
+    assert sorted(map(tuple, found)) == [x for x in plain(rows, 6, 5) if x[0] < 50]
