@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievebed.catalog.base import Query, table
-from sievebed.llm import chat, decontaminate, langid, lines, neighbours, passages, pieces, sharding, simhash, tokens
+from sievebed.llm import chat, decontaminate, langid, lines, neighbours, passages, pieces, sharding, simhash, tokens, whitening
 
 
 def _hex(text: str) -> str:
@@ -175,6 +175,19 @@ NEIGHBOURS_SQL = """
     WHERE rank <= 20
 """
 
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(embeddings)
+    n, error = (model.n, model.identity_error) if model else (0, 0.0)
+    rows = whitening.by_component(whitening.whitened(embeddings, model), model)
+    return rows.select(
+        "vec_id", "component", F.lit(n).cast("long").alias("n"), "deviation", "whitened", "explained",
+        F.lit(error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_chat_format": Query(op1_chat_format, CHAT_SQL),
     "op2_simhash": Query(op2_simhash),
@@ -186,4 +199,5 @@ QUERIES = {
     "op8_pieces": Query(op8_pieces),
     "op9_decontamination": Query(op9_decontamination, DECONTAMINATION_SQL),
     "op10_neighbours": Query(op10_neighbours, NEIGHBOURS_SQL),
+    "op12_whitening": Query(op12_whitening),
 }

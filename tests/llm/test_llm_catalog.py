@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, oracle, assert_same, name):
     assert_same(QUERIES[name].run(spark, SMALL), oracle.sql(QUERIES[name].sql))
 
 
-@pytest.mark.parametrize("name", [name for name, query in QUERIES.items() if not query.sql and name != "op4_passages"])
+@pytest.mark.parametrize("name", [name for name, query in QUERIES.items() if not query.sql and name not in ("op4_passages", "op12_whitening")])
 def test_query_returns_every_document(spark, name):
     ids = [r.doc_id for r in QUERIES[name].run(spark, SMALL).collect()]
     wanted = [r.doc_id for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r.text]
