@@ -220,7 +220,8 @@ def whitened(
             values = pa.ListArray.from_arrays(offsets, pa.array(_whitened(x, own).ravel()))
             yield pa.RecordBatch.from_arrays([*rest, pa.array(_deviations(x, own), pa.int64()), values], schema.names)
 
-    return kept.mapInArrow(run, schema)
+    # Spark cannot hand columns with dots in their names to Python: they go by number.
+    return kept.toDF(*map(str, range(len(kept.columns)))).mapInArrow(run, schema)
 
 
 def by_component(rows: DataFrame, model: Whitening | None, into: str = "whitened") -> DataFrame:
