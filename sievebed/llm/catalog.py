@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievebed.catalog.base import Query, table
-from sievebed.llm import chat, decontaminate, langid, lines, neighbours, passages, pieces, sharding, simhash, tokens, whitening
+from sievebed.llm import chat, decontaminate, langid, lines, neighbours, passages, pieces, repair, sharding, simhash, tokens, whitening
 
 
 def _hex(text: str) -> str:
@@ -188,6 +188,134 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, as a checksum of conversation and turn says."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(name).cast("string"), F.lit(" ")) for name in ("conv_id", "turn")])
+    kind = F.crc32(key.cast("binary")) % 20
+    text, role = (F.coalesce(name, F.lit(" ")) for name in ("text", "role"))
+    return conversations.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(kind == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+def _line_hashes(lines: DataFrame) -> DataFrame:
+    """SHA-256 of each conversation's lines.  One hash takes its input in order: a conversation streams through a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, digest = None, None
+
+        def done(ids: list[tuple], digests: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x for x, in ids], pa.int64()), pa.array(digests, pa.string())], ["conv_id", "repaired_sha256"]
+            )
+
+        for batch in batches:
+            ids, digests = [], []
+            for conv, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if (conv,) != held:
+                    if held is not None:
+                        ids.append(held)
+                        digests.append(digest.hexdigest())
+                    held, digest = (conv,), hashlib.sha256()
+                else:
+                    digest.update(b"\n")
+                digest.update(line.encode())
+            yield done(ids, digests)
+        if held is not None:
+            yield done([held], [digest.hexdigest()])
+
+    ordered = lines.repartition("conv_id").sortWithinPartitions("conv_id", "piece", "place")
+    return ordered.select("conv_id", "line").mapInArrow(run, "conv_id long, repaired_sha256 string")
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows, report = repair.repair(damaged(given))
+    hashes = _line_hashes(rows.select("conv_id", "piece", "place", F.concat_ws(":", "role", "text").alias("line")))
+    found = given.select("conv_id").distinct()
+    for number, part in enumerate((report, hashes)):
+        named = part.withColumnRenamed("conv_id", f"conv_{number}")
+        found = found.join(named, F.col("conv_id").eqNullSafe(F.col(f"conv_{number}")), "left").drop(f"conv_{number}")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id", *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.lit(_hex(""))).alias("repaired_sha256"),
+    )
+
+
+# The walk holds, per state behind each row, the cheapest edits, the first by letter of equally cheap ones.
+REPAIR_SQL = r"""
+    WITH RECURSIVE crc_table AS (
+        SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, bit:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t
+    ), kinds AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            xor(list_reduce(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+                lambda x: ord(x)::bigint), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) % 20 AS kind
+        FROM conversations, crc_table
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+        FROM kinds WHERE kind <> 0
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS place
+        FROM damaged
+    ), judged AS (
+        SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before,
+            NOT regexp_matches(text, '[^ 	-]') AS blank,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS seen,
+            NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut
+        FROM placed
+    ), faults AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::bigint AS gaps,
+            count(*) FILTER (blank)::bigint AS blank, count(*) FILTER (NOT blank AND seen)::bigint AS duplicate,
+            count(*) FILTER (NOT blank AND NOT seen AND cut)::bigint AS truncated,
+            count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au'))::bigint AS illegal,
+            max(place) AS rows
+        FROM judged GROUP BY conv_id
+    ), inserts AS (
+        SELECT * FROM (VALUES (0, 0, '', ''), (0, 2, 'I', '|user:'), (0, 3, 'II', '|user:|assistant:'), (1, 1, '', ''),
+            (1, 2, 'I', '|user:'), (1, 3, 'II', '|user:|assistant:'), (2, 2, '', ''), (2, 3, 'I', '|assistant:'),
+            (3, 3, '', ''), (3, 2, 'I', '|user:'), (3, 3, 'II', '|user:|assistant:')) x(s, m, letters, lines)
+    ), acts AS (
+        SELECT * FROM (VALUES (0, 'K', 's', NULL, 1), (0, 'K', 'u', NULL, 2), (1, 'K', 'u', NULL, 2), (2, 'K', 'a', NULL, 3),
+            (3, 'K', 'u', NULL, 2), (0, 'R', NULL, 'user', 2), (1, 'R', NULL, 'user', 2), (2, 'R', NULL, 'assistant', 3),
+            (3, 'R', NULL, 'user', 2), (0, 'D', NULL, NULL, 0), (1, 'D', NULL, NULL, 1), (2, 'D', NULL, NULL, 2),
+            (3, 'D', NULL, NULL, 3)) x(m, letter, initial, role, t)
+    ), walk AS (
+        SELECT conv_id, 0::bigint AS place, 0 AS s, {'cost': 0::bigint, 'audit': '', 'lines': ''} AS best FROM faults
+        UNION ALL
+        SELECT w.conv_id, w.place + 1, t, min({
+            'cost': best.cost + 2 * length(letters) + CASE letter WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+                + CASE WHEN letter <> 'D' AND cut THEN 1 ELSE 0 END,
+            'audit': best.audit || letters || letter,
+            'lines': best.lines || replace(lines, '|', chr(10))
+                || CASE WHEN letter = 'D' THEN '' ELSE chr(10) || coalesce(a.role, j.role) || ':' || text END})
+        FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.place = w.place + 1
+            JOIN inserts i ON i.s = w.s JOIN acts a ON a.m = i.m
+        WHERE (letter = 'D' OR NOT (blank OR seen)) AND (letter <> 'K' OR a.initial = j.initial)
+        GROUP BY w.conv_id, w.place, t
+    ), repaired AS (
+        SELECT f.conv_id, min({'cost': best.cost + 2 * length(letters), 'audit': best.audit || letters,
+            'lines': best.lines || replace(lines, '|', chr(10))}) AS best
+        FROM faults f JOIN walk w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.place = f.rows JOIN inserts i ON i.s = w.s
+        WHERE i.m = 3 OR w.s = 0 AND i.m = 0
+        GROUP BY f.conv_id
+    )
+    SELECT c.conv_id, coalesce(gaps, 0)::bigint AS gaps, coalesce(blank, 0)::bigint AS blank,
+        coalesce(duplicate, 0)::bigint AS duplicate, coalesce(truncated, 0)::bigint AS truncated,
+        coalesce(illegal, 0)::bigint AS illegal, coalesce(best.cost, 0)::bigint AS cost, coalesce(best.audit, '') AS audit,
+        sha256(coalesce(substr(best.lines, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+        LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 QUERIES = {
     "op1_chat_format": Query(op1_chat_format, CHAT_SQL),
     "op2_simhash": Query(op2_simhash),
@@ -200,4 +328,5 @@ QUERIES = {
     "op9_decontamination": Query(op9_decontamination, DECONTAMINATION_SQL),
     "op10_neighbours": Query(op10_neighbours, NEIGHBOURS_SQL),
     "op12_whitening": Query(op12_whitening),
+    "op13_repair": Query(op13_repair, REPAIR_SQL),
 }
