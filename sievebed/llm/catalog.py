@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievebed.catalog.base import Query, table
-from sievebed.llm import chat, decontaminate, langid, lines, neighbours, passages, pieces, repair, sharding, simhash, tokens, whitening
+from sievebed.llm import chat, decontaminate, langid, lines, neighbours, passages, pieces, quality, repair, sharding, simhash, tokens, whitening
 
 
 def _hex(text: str) -> str:
@@ -177,6 +177,13 @@ NEIGHBOURS_SQL = """
 
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, folder, "labels"))
+    found = quality.scores(documents, model)
+    return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
     model = whitening.fit(embeddings)
@@ -266,9 +273,11 @@ REPAIR_SQL = r"""
         FROM damaged
     ), judged AS (
         SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before,
-            NOT regexp_matches(text, '[^ 	-]') AS blank,
+            NOT regexp_matches(text, '[^ 	-
+]') AS blank,
             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS seen,
-            NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut
+            NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut
         FROM placed
     ), faults AS (
         SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::bigint AS gaps,
@@ -327,6 +336,7 @@ QUERIES = {
     "op8_pieces": Query(op8_pieces),
     "op9_decontamination": Query(op9_decontamination, DECONTAMINATION_SQL),
     "op10_neighbours": Query(op10_neighbours, NEIGHBOURS_SQL),
+    "op11_quality": Query(op11_quality),
     "op12_whitening": Query(op12_whitening),
     "op13_repair": Query(op13_repair, REPAIR_SQL),
 }
