@@ -108,14 +108,58 @@ ORDER_YEARS = [str(year) for year in range(1992, 1999)]
 
 
 def price_profit_clean(spark: SparkSession, folder: str) -> DataFrame:
-    """Each order names one year or holds an empty list; the cleaned table has every order under every year."""
+    """Each order names one year or holds an empty list; the cleaned table has every order under every year asked for."""
     raw, cleaned = fresh_path(spark, "raw-years"), fresh_path(spark, "cleaned-years")
     measures = _json(net_profit=F.col("o_totalprice"), quotation=F.col("o_orderpriority"))
     years = F.to_json(F.create_map(F.year("o_orderdate").cast("string"), measures))
     payload = F.when(F.col("o_orderkey") % 7 == 0, "[]").otherwise(years)
     document = envelope(F.col("o_orderkey"), payload).alias("document")
     write_documents(table(spark, folder, "orders").select(document), raw)
-    clean_layer(spark, raw, cleaned, "price_profit", "ticker string, data string", years=ORDER_YEARS)
+    clean_layer(spark, raw, cleaned, "price_profit", "ticker string, data string", years=ORDER_YEARS, other_years="drop")
+    return readers.scan_table(spark, cleaned)
+
+
+def reject_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts as documents, some cut short and some of another type: cleaned, or set aside byte for byte."""
+    raw, cleaned, bad = (fresh_path(spark, f"{name}-texts") for name in ("raw", "cleaned", "bad"))
+    text, part = F.to_json(F.struct("text")), F.col("doc_id") % 5
+    whole = envelope(F.col("doc_id"), F.when(part == 1, F.concat(F.lit("["), text, F.lit(",7]"))).otherwise(text))
+    document = F.when(part == 0, F.substring(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole)
+    write_documents(table(spark, folder, "documents").select(document.alias("document")), raw)
+    clean_layer(
+        spark, raw, cleaned, schema="ticker string, data struct<text:string>", on_error="quarantine", bad_path=bad
+    )
+    good = readers.scan_table(spark, cleaned).select("ticker", F.col("text").alias("content"), F.lit(False).alias("rejected"))
+    rejects = readers.scan_table(spark, bad)
+    return good.union(rejects.select("ticker", F.col("document").alias("content"), F.lit(True).alias("rejected")))
+
+
+def _order_documents(spark: SparkSession, folder: str) -> str:
+    """Each order names its year, some another one besides, and some hold an empty list."""
+    raw, key = fresh_path(spark, "raw-years"), F.col("o_orderkey")
+    measures = _json(net_profit=F.col("o_totalprice"), quotation=F.col("o_custkey"))
+    year = F.year("o_orderdate").cast("string")
+    years = F.when(key % 11 == 0, F.create_map(year, measures, F.lit("1900"), measures)).otherwise(F.create_map(year, measures))
+    payload = F.when(key % 7 == 0, "[]").otherwise(F.to_json(years))
+    write_documents(table(spark, folder, "orders").select(envelope(key, payload).alias("document")), raw)
+    return raw
+
+
+def years_set_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a year nobody asked for are set aside with that reason; none loses a value."""
+    raw, cleaned, bad = _order_documents(spark, folder), fresh_path(spark, "cleaned-asked"), fresh_path(spark, "bad-asked")
+    clean_layer(
+        spark, raw, cleaned, "price_profit", "ticker string, data string", on_error="quarantine", bad_path=bad,
+        years=ORDER_YEARS[:5],
+    )
+    rejects = readers.scan_table(spark, bad).select("ticker", "error")
+    return readers.scan_table(spark, cleaned).unionByName(rejects, allowMissingColumns=True)
+
+
+def years_found(spark: SparkSession, folder: str) -> DataFrame:
+    """No years are asked for: those the documents hold are the columns' labels."""
+    raw, cleaned = _order_documents(spark, folder), fresh_path(spark, "cleaned-found")
+    clean_layer(spark, raw, cleaned, "price_profit", "ticker string, data string")
     return readers.scan_table(spark, cleaned)
 
 
@@ -370,6 +414,12 @@ _VALID_KEYS = """
 
 _GOOD_RANKS = f"SELECT * FROM ({RANK_RECORD_SQL}) WHERE error IS NULL"
 
+# What the documents of the orders hold, a row per order and year.
+_HELD_YEARS = """
+    SELECT o_orderkey, o_totalprice, o_custkey, year(o_orderdate)::varchar AS year FROM orders WHERE o_orderkey % 7 <> 0
+    UNION ALL SELECT o_orderkey, o_totalprice, o_custkey, '1900' FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0
+"""
+
 QUERIES = {
     "json_scan": Query(
         json_scan,
@@ -424,6 +474,44 @@ QUERIES = {
         FROM orders CROSS JOIN (SELECT unnest(range(1992, 1999))::varchar AS year) y
         """,
     ),
+    "reject_table": Query(
+        reject_table,
+        """
+        WITH texts AS (
+            SELECT doc_id, text, CASE WHEN text IS NULL THEN '{}' ELSE '{"text":' || to_json(text) || '}' END AS payload
+            FROM documents),
+        whole AS (
+            SELECT doc_id, text, '{"ticker":"' || doc_id || '","data":'
+                   || CASE WHEN doc_id % 5 = 1 THEN '[' || payload || ',7]' ELSE payload END || '}' AS document
+            FROM texts)
+        SELECT CASE WHEN doc_id % 5 > 0 THEN doc_id::varchar END AS ticker, doc_id % 5 < 2 AS rejected,
+               CASE doc_id % 5 WHEN 0 THEN substr(document, 1, length(document) - 2) WHEN 1 THEN document ELSE text END AS content
+        FROM whole
+        """,
+    ),
+    "years_set_aside": Query(
+        years_set_aside,
+        f"""
+        WITH held AS ({_HELD_YEARS}),
+        unasked AS (SELECT o_orderkey, string_agg(year, ', ' ORDER BY year) AS years FROM held
+                    WHERE year NOT BETWEEN '1992' AND '1996' GROUP BY o_orderkey),
+        grid AS (SELECT o_orderkey, y.year FROM orders CROSS JOIN (SELECT unnest(range(1992, 1997))::varchar AS year) y
+                 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM unasked))
+        SELECT grid.o_orderkey::varchar AS ticker, grid.year, held.o_totalprice AS net_profit,
+               held.o_custkey::double AS quotation, NULL::varchar AS error
+        FROM grid LEFT JOIN held USING (o_orderkey, year)
+        UNION ALL SELECT o_orderkey::varchar, NULL, NULL, NULL, 'labels not asked for: ' || years FROM unasked
+        """,
+    ),
+    "years_found": Query(
+        years_found,
+        f"""
+        WITH held AS ({_HELD_YEARS})
+        SELECT o.o_orderkey::varchar AS ticker, y.year, held.o_totalprice AS net_profit, held.o_custkey::double AS quotation
+        FROM orders o CROSS JOIN (SELECT DISTINCT year FROM held) y
+             LEFT JOIN held ON held.o_orderkey = o.o_orderkey AND held.year = y.year
+        """,
+    ),
     "curate": Query(curate, "SELECT o_orderkey, o_totalprice FROM orders"),
     "key_table_scan": Query(
         key_table_scan,

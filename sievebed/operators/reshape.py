@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from sievebed.fixed_values import DOCUMENT_KEY, NAME_SEPARATOR, YEAR_COLUMN, YEAR_MEASURES
+from sievebed.functions.checks import pass_or_raise
 from sievebed.functions.numbers import to_double
 from sievebed.functions.text import prefix
 from sievebed.operators.flatten import quoted
+from sievebed.operators.policies import ERROR, flag
 
 
 def name_prefixes(names: list[str], separator: str = NAME_SEPARATOR) -> list[str]:
@@ -58,20 +60,51 @@ def unpivot_map(
     key: str = DOCUMENT_KEY,
     measures: tuple[str, ...] = YEAR_MEASURES,
     into: str = YEAR_COLUMN,
+    others: str = "raise",
 ) -> DataFrame:
     """Map ``label -> struct of measures`` to the same rows as ``unpivot``, for the labels given.
 
-    One narrow pass whatever labels the maps hold.  A null or empty map gives nulls under every label;
-    other labels in the maps are left out.  ``map_labels`` finds them, in a pass of its own.
+    One narrow pass whatever labels the maps hold.  A null or empty map gives nulls under every label.
+    A row whose map holds another label fails the query (``raise``), or its values are left out (``drop``);
+    ``flag_labels`` makes it a bad row for the error policies, ``map_labels`` and ``observe_labels`` find labels.
     """
     if not labels:
         raise ValueError("no label to unpivot")
+    if others not in ("raise", "drop"):
+        raise ValueError(f"others must be 'raise' or 'drop', not {others!r}")
+    if others == "raise":
+        found = unlisted(F.col(quoted(column)), labels)
+        message = F.concat(F.lit("key "), F.coalesce(F.col(quoted(key)).cast("string"), F.lit("null")), F.lit(": "), found)
+        df = df.where(pass_or_raise(found.isNull(), message))
     label = F.explode(F.array(*map(F.lit, labels))).alias(into)
     placed = df.select(F.col(quoted(key)), F.col(quoted(column)).alias("_map"), label)
     cells = [to_double(F.try_element_at("_map", F.col(into)).getField(m)).alias(m) for m in measures]
     return placed.select(quoted(key), into, *cells)
 
 
+def unlisted(labelled: Column, labels: list[str]) -> Column:
+    """What a map holds besides the labels, said as an error; null where there is nothing, and for a null map."""
+    others = F.array_except(F.map_keys(labelled), F.array(*map(F.lit, labels)).cast("array<string>"))
+    return F.when(F.size(others) > 0, F.concat(F.lit("labels not asked for: "), F.array_join(F.array_sort(others), ", ")))
+
+
+def flag_labels(df: DataFrame, column: str, labels: list[str], error: str = ERROR) -> DataFrame:
+    """Flag rows whose map holds other labels than those given."""
+    found = unlisted(F.col(quoted(column)), labels)
+    return flag(df, found.isNotNull(), found, error)
+
+
+def observe_labels(df: DataFrame, column: str) -> tuple[DataFrame, Observation]:
+    """``df`` with an observation of the keys of a map column: the pass that writes the frame finds them.
+
+    The observation's ``labels`` are there once an action has run; they become column values, so they must be few.
+    """
+    seen = Observation()
+    # A set in each task, one list after them: what is sent grows with the labels, not with the rows.
+    keys = F.array_distinct(F.flatten(F.collect_set(F.array_sort(F.map_keys(quoted(column))))))
+    return df.observe(seen, keys.alias("labels")), seen
+
+
 def map_labels(df: DataFrame, column: str) -> list[str]:
     """The distinct keys of a map column, ascending; they become column values, so they must be few."""
     labels = df.select(F.explode(F.map_keys(quoted(column))).alias("label")).distinct().orderBy("label")

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import MapType, StringType, StructType
 
-from sievebed.fixed_values import DATA_PREFIX, DOCUMENT_DATA, DOCUMENT_KEY, YEAR_MEASURES
+from sievebed.fixed_values import DATA_PREFIX, DOCUMENT_DATA, DOCUMENT_KEY, YEAR_COLUMN, YEAR_MEASURES
 from sievebed.functions.documents import parsed
 from sievebed.operators.flatten import expand_struct, flatten
 from sievebed.operators.names import clean_names, strip_names
-from sievebed.operators.policies import ERROR, bad_rows, flag, settle
-from sievebed.operators.reshape import map_labels, unpivot, unpivot_map
+from sievebed.operators.policies import ERROR, flag, settle
+from sievebed.operators.reshape import flag_labels, map_labels, observe_labels, unpivot, unpivot_map
 from sievebed.sinks.writers import load_table, overwrite_table
-from sievebed.sources.readers import scan_documents, scan_table
+from sievebed.sources.readers import reject_rows, scan_documents, scan_table
+from sievebed.workspace import fresh_path
+
+_SOURCE = "_source"
 
 #: Measures are read as texts: numbers and texts alike become doubles or null later.
 YEAR_MAP = f"map<string,struct<{','.join(f'{measure}:string' for measure in YEAR_MEASURES)}>>"
@@ -33,19 +36,29 @@ def clean_kpis(raw: DataFrame, outer: bool = False) -> DataFrame:
     return clean_names(flatten(clean_names(expand_struct(raw)), outer))
 
 
-def clean_price_profit(raw: DataFrame, outer: bool = False, years: list[str] | None = None) -> DataFrame:
+def clean_price_profit(
+    raw: DataFrame, outer: bool = False, years: list[str] | None = None, other_years: str = "raise"
+) -> DataFrame:
     """One object per year, to rows of ticker, year and the two measures.
 
     The payload is a struct of years, or a map ``year -> struct``, which needs no list of years in its
     schema and takes documents without any (an empty array among them, if the payload was read as text and
-    parsed by ``year_map``).  For a map the years of the result are those given, else those found in an
-    extra pass.
+    parsed by ``year_map``).  For a map the years of the result are those given, and a document with another
+    one fails the query, unless ``other_years`` says to ``drop`` those; without any given they are found in an
+    extra pass (``clean_layer`` finds them in the pass that reads the documents).
     """
     if isinstance(raw.schema[DOCUMENT_DATA].dataType, MapType):
-        return unpivot_map(raw, DOCUMENT_DATA, years or map_labels(raw, DOCUMENT_DATA))
+        found = years or map_labels(raw, DOCUMENT_DATA)
+        return unpivot_map(raw, DOCUMENT_DATA, found, others=other_years) if found else _no_years(raw)
     return unpivot(flatten(clean_names(expand_struct(raw)), outer))
 
 
+def _no_years(raw: DataFrame) -> DataFrame:
+    """The empty table of documents none of which holds a year."""
+    nothing = [F.lit(None).cast("double").alias(measure) for measure in YEAR_MEASURES]
+    return raw.where(F.lit(False)).select(DOCUMENT_KEY, F.lit("").alias(YEAR_COLUMN), *nothing)
+
+
 def year_map(raw: DataFrame, error: str = ERROR) -> DataFrame:
     """Payload text to a map of years; ``[]`` is a map without any.  Other texts are flagged as errors."""
     text = F.trim(DOCUMENT_DATA)
@@ -76,20 +89,40 @@ def clean_layer(
     bad_path: str | None = None,
     outer: bool = False,
     years: list[str] | None = None,
+    other_years: str = "error",
 ) -> None:
     """Read a dataset's raw documents, clean them and replace its cleaned table.
 
-    A document that cannot be read under the schema fails the job (``raise``) or is set aside
-    (``quarantine``): ``bad_path`` then gets the tickers and errors of all such documents.
+    A document that cannot be read under the schema, or holds a year that is not among those given (unless
+    ``other_years`` says to ``drop`` those), fails the job (``raise``) or is set aside (``quarantine``): ``bad_path`` then gets a row per such document, with
+    its whole text, its file and line.  The raw layer is read once, and again for the rejects where there are any.
+    Without ``years`` those found on that way are the result's; the parsed documents then go through a table in the
+    shared folder.
     """
-    documents = scan_documents(spark, raw_path, schema, layout, error=ERROR)
-    if cleaning == "price_profit" and isinstance(documents.schema[DOCUMENT_DATA].dataType, StringType):
-        documents = year_map(documents)
+    if other_years not in ("error", "drop"):
+        raise ValueError(f"other_years must be 'error' or 'drop', not {other_years!r}")
+    documents = scan_documents(spark, raw_path, schema, layout, error=ERROR, source=_SOURCE)
+    kind = documents.schema[DOCUMENT_DATA].dataType if DOCUMENT_DATA in documents.columns else None
+    by_year = cleaning == "price_profit" and isinstance(kind, StringType | MapType)
+    if by_year:
+        documents = year_map(documents) if isinstance(kind, StringType) else documents
+        documents = flag_labels(documents, DOCUMENT_DATA, years) if years and other_years == "error" else documents
+    counted = Observation()
+    bad = F.count(F.when(F.col(ERROR).isNotNull(), 1))
+    watched = documents.drop(_SOURCE).observe(counted, bad.alias("bad")) if bad_path is not None else documents.drop(_SOURCE)
+    good = settle(watched, DOCUMENT_KEY, on_error)
+    if by_year and not years:
+        watched_labels, found = observe_labels(good.select(DOCUMENT_KEY, DOCUMENT_DATA), DOCUMENT_DATA)
+        staged = fresh_path(spark, "documents-by-year")
+        overwrite_table(watched_labels, staged)
+        good, years = scan_table(spark, staged, watched_labels.schema), sorted(found.get["labels"] or [])
+    settings = {"outer": outer} | ({"years": years, "other_years": "drop"} if cleaning == "price_profit" else {})
+    cleaned = _no_years(good) if by_year and not years else CLEANINGS[cleaning](good, **settings)
+    overwrite_table(cleaned, cleaned_path)
     if bad_path is not None:
-        overwrite_table(bad_rows(documents).select(DOCUMENT_KEY, ERROR), bad_path)
-    good = settle(documents, DOCUMENT_KEY, on_error)
-    settings = {"outer": outer} | ({"years": years} if cleaning == "price_profit" else {})
-    overwrite_table(CLEANINGS[cleaning](good, **settings), cleaned_path)
+        rejects = reject_rows(documents, raw_path, DOCUMENT_KEY, layout, error=ERROR, source=_SOURCE)
+        # Without a bad document the raw layer is not read again.
+        overwrite_table(rejects if counted.get["bad"] else spark.createDataFrame([], rejects.schema), bad_path)
 
 
 def curate_layer(spark: SparkSession, cleaned_path: str, options: dict[str, str], fmt: str = "parquet") -> None:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from sievebed.fixed_values import HISTORY_COLUMNS
+from sievebed.functions.checks import keep_here
 from sievebed.functions.numbers import text_to_null, whole_number
 from sievebed.functions.text import strip
 from sievebed.operators.flatten import quoted
@@ -23,6 +24,8 @@ KEY_TABLE = StructType(
 
 
 _CORRUPT = "_corrupt_record"
+# White space between the tokens of a JSON text.
+_JSON_BLANKS = " \t\r\n"
 
 
 def scan_documents(
@@ -32,6 +35,7 @@ def scan_documents(
     layout: str = "lines",
     glob: str | None = None,
     error: str | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """JSON documents of a folder.
 
@@ -42,43 +46,100 @@ def scan_documents(
 
     A document that is no JSON, or holds a value of another type than the schema's, comes out with
     nulls.  With ``error`` it says so in a column of that name, which is null for good documents; the
-    error policies take it from there.
+    error policies take it from there.  A document that is an array is a row per element, and good only if
+    all elements are.  With ``source`` every row also has its document's whole text, its file and its place
+    there, which ``reject_rows`` turns into the rows of a reject table.
     """
     if layout not in ("files", "lines"):
         raise ValueError(f"layout must be 'files' or 'lines', not {layout!r}")
+    at = _documents_at(path, layout, glob)
     reader = spark.read.option("multiLine", layout == "files").option("columnNameOfCorruptRecord", _CORRUPT)
-    if schema is not None:
+    if error is None:
+        return (reader if schema is None else reader.schema(schema)).json(at).drop(_CORRUPT)
+    if schema is None:  # inference adds the column only where it has met a document it cannot read
+        wanted = reader.json(at).drop(_CORRUPT).schema
+    else:
         wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        if error is not None:
-            wanted = StructType([*wanted.fields, StructField(_CORRUPT, StringType())])
-        reader = reader.schema(wanted)
+    return _checked_documents(spark, at, layout, wanted, error, source)
+
+
+def _documents_at(path: str, layout: str, glob: str | None) -> str:
     if glob is None and layout == "files":
         glob = "*.json"
-    read = reader.json(f"{path}/{glob}" if glob else path)
-    if error is None:
-        return read.drop(_CORRUPT)
-    # Inference adds the column only where it has met such a document.
-    text = F.col(_CORRUPT) if _CORRUPT in read.columns else F.lit(None).cast("string")
-    # A value of a column that is not read cannot be of the wrong type.  So the reason names all columns:
-    # none is pruned, and a document is bad or good whatever is selected.
-    others = F.struct(*[quoted(name) for name in read.columns if name != _CORRUPT])
-    nothing = F.substring(F.to_json(others), 1, 0)
-    reason = F.when(
-        text.isNotNull(), F.concat(F.lit("document cannot be read: "), F.substring(text, 1, 200), F.coalesce(nothing, F.lit("")))
-    )
-    return read.withColumn(error, reason).drop(_CORRUPT)
+    return f"{path}/{glob}" if glob else path
+
+
+def _texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    return spark.read.text(path, wholetext=layout == "files")
+
+
+def _place() -> list[Column]:
+    """Where a row stands; must sit right on the scan."""
+    return [
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    ]
+
+
+def _checked_documents(
+    spark: SparkSession, path: str, layout: str, wanted: StructType, error: str, source: str | None
+) -> DataFrame:
+    """Documents read as texts and parsed under ``wanted``, so that one that is set aside still has its text."""
+    texts = _texts(spark, path, layout)
+    folders = [name for name in texts.columns if name != "value"]
+    place = _place() if source is not None else []
+    lines = texts.select(*map(quoted, folders), F.struct(F.col("value").alias("document"), *place).alias("_source"))
+    text = F.col("_source.document")
+    if layout == "lines":
+        lines = lines.where(F.btrim(text, F.lit(_JSON_BLANKS)) != "")
+    fields = [field for field in wanted if field.name not in folders]
+    record = StructType([*fields, StructField(_CORRUPT, StringType())])
+
+    def parsed(document: Column) -> Column:
+        return F.from_json(document, record, {"columnNameOfCorruptRecord": _CORRUPT})
+
+    elements = F.transform(F.from_json(text, "array<string>"), parsed)
+    is_array = F.startswith(F.ltrim(text, F.lit(_JSON_BLANKS)), F.lit("["))
+    read = lines.withColumn("_records", F.when(is_array, elements).otherwise(F.array(parsed(text))))
+    good = F.coalesce(~F.exists("_records", lambda r: r.isNull() | r[_CORRUPT].isNotNull()), F.lit(False))
+    reason = F.concat(F.lit("document cannot be read: "), F.substring(text, 1, 200))
+    read = read.withColumn(error, F.when(~good, reason))
+    # What could be read of a bad document stays beside its error.
+    kept = F.when(F.col(error).isNull(), F.col("_records")).otherwise(F.array(F.get("_records", F.lit(0))))
+    rows = read.select(*map(quoted, folders), error, "_source", F.explode(kept).alias("_record"))
+    values = {field.name: F.col(quoted("_record", field.name)) for field in fields}
+    values |= {name: F.col(quoted(name)) for name in folders}
+    kinds = {field.name: field.dataType for field in wanted}
+    ordered = [*kinds, *[name for name in folders if name not in kinds]]
+    columns = [(values[name].cast(kinds[name]) if name in folders and name in kinds else values[name]).alias(name) for name in ordered]
+    return rows.select(*columns, error, *([F.col("_source").alias(source)] if source is not None else []))
+
+
+def reject_rows(
+    flagged: DataFrame, path: str, key: str, layout: str = "lines", glob: str | None = None, *, error: str, source: str
+) -> DataFrame:
+    """The bad rows of ``scan_documents(source=...)``: key, error, whole text, file and line, counted from 1.
+
+    The lines before a document are counted by block of a file, in a pass that parses nothing.  An array of
+    which an element is bad is one row.
+    """
+    bad = flagged.where(keep_here(F.col(error).isNotNull())).select(key, error, F.col(f"{quoted(source)}.*"))
+    if layout == "files":
+        return bad.select(key, error, "document", "file", F.lit(1).cast("bigint").alias("line"))
+    rows = _texts(flagged.sparkSession, _documents_at(path, layout, glob), layout).select(*_place())
+    blocks = rows.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("lines"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counted = blocks.withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0))).drop("lines")
+    line = F.col("row") - F.col("first") + F.col("before") + 1
+    return bad.join(counted, ["file", "block"]).select(key, error, "document", "file", line.alias("line"))
 
 
 def _line_order(into: str | None) -> list[Column]:
     """A column that sorts rows as they stand in the files; must sit right on the scan."""
     if into is None:
         return []
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return [place.alias(into)]
+    return [F.struct(*_place()).alias(into)]
 
 
 def _csv(spark: SparkSession, multi_line: bool = False) -> DataFrameReader:
