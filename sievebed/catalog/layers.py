@@ -385,11 +385,8 @@ _SCHEMAS = {
 }
 
 
-def layered_run(spark: SparkSession, folder: str) -> DataFrame:
-    """All seven datasets through raw, cleaned and curated; the curated tables side by side."""
+def _all_layers(spark: SparkSession, folder: str, specs: list[DatasetSpec]) -> DataFrame:
     keys, captured = customer_keys(spark, folder), fresh_path(spark, "captured")
-    years = {"prices_profit": ("2020", "2021", "2022")}
-    specs = [replace(spec, years=years.get(spec.folder, ())) for spec in standard_specs(SITE, _SCHEMAS)]
     stored = [_stored(keys, spec).withColumn("dataset", F.lit(spec.folder)) for spec in specs]
     overwrite_table(reduce(DataFrame.unionByName, stored), captured, partition_by=("dataset",))
     curated = run_layers(
@@ -404,6 +401,31 @@ def layered_run(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
 
 
+def layered_run(spark: SparkSession, folder: str) -> DataFrame:
+    """All seven datasets through raw, cleaned and curated; the curated tables side by side."""
+    years = {"prices_profit": ("2020", "2021", "2022")}
+    specs = standard_specs(SITE, _SCHEMAS)
+    return _all_layers(spark, folder, [replace(spec, years=years.get(spec.folder, ())) for spec in specs])
+
+
+def layered_without_schemas(spark: SparkSession, folder: str) -> DataFrame:
+    """The same run without a schema or a list of years: each raw layer is read once and tells its own."""
+    return _all_layers(spark, folder, standard_specs(SITE))
+
+
+def mixed_payloads_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads that are an array in some documents and an object in others, of fields that differ; no schema is given."""
+    raw, cleaned, key = fresh_path(spark, "raw-mixed"), fresh_path(spark, "cleaned-mixed"), F.col("o_orderkey")
+    one, other = _json(price=F.col("o_totalprice"), by=F.col("o_custkey")), _json(price=key, note=F.col("o_orderpriority"))
+    payload = (
+        F.when(key % 4 == 0, F.concat(F.lit("["), F.to_json(one), F.lit(","), F.to_json(other), F.lit("]")))
+        .when(key % 4 == 1, F.to_json(other)).when(key % 4 == 2, "[]").otherwise(F.to_json(_json(price=F.lit(None).cast("int"), by=F.lit("?"))))
+    )
+    write_documents(table(spark, folder, "orders").select(envelope(key, payload).alias("document")), raw)
+    clean_layer(spark, raw, cleaned)
+    return readers.scan_table(spark, cleaned)
+
+
 _VALID_KEYS = """
     SELECT 'c' || c_custkey AS ticker, c_custkey, c_acctbal,
            c_custkey * 10 + version AS ticker_id,
@@ -414,6 +436,30 @@ _VALID_KEYS = """
 
 _GOOD_RANKS = f"SELECT * FROM ({RANK_RECORD_SQL}) WHERE error IS NULL"
 
+_LAYERS = f"""
+        WITH valid AS ({_VALID_KEYS}),
+        years AS (SELECT unnest([2021, 2022]) AS year),
+        days AS (SELECT unnest([1, 2, 3]) AS day),
+        grid AS (SELECT unnest(['2020', '2021', '2022']) AS year)
+        SELECT 'ticker_prices' AS dataset, ticker, '2024-01-0' || day AS created_at, c_acctbal - day AS price
+        FROM valid CROSS JOIN days
+        UNION ALL BY NAME
+        SELECT d.dataset, ticker,
+               CASE WHEN d.dataset LIKE 'divid%' THEN ticker ELSE company_id::varchar END AS id,
+               years.year::varchar AS year, c_acctbal + years.year AS amount
+        FROM valid CROSS JOIN years CROSS JOIN
+             (SELECT unnest(['net_income', 'assets_liabilities', 'dividends', 'dividend_yield']) AS dataset) d
+        UNION ALL BY NAME
+        SELECT 'historic_kpis' AS dataset, ticker, ticker_id AS p_l_id, c_acctbal AS p_l_value,
+               ticker_id AS "valor_r$_id", c_acctbal * 2 AS "valor_r$_value"
+        FROM valid
+        UNION ALL BY NAME
+        SELECT 'prices_profit' AS dataset, ticker, grid.year,
+               CASE WHEN (c_custkey % 3 + 2020)::varchar = grid.year THEN c_acctbal END AS net_profit,
+               NULL::double AS quotation
+        FROM valid CROSS JOIN grid
+"""
+
 # What the documents of the orders hold, a row per order and year.
 _HELD_YEARS = """
     SELECT o_orderkey, o_totalprice, o_custkey, year(o_orderdate)::varchar AS year FROM orders WHERE o_orderkey % 7 <> 0
@@ -600,30 +646,15 @@ QUERIES = {
         SELECT '{"ticker":"c' || c_custkey || '","data":{"v":2}}' AS document FROM customer WHERE c_custkey % 20 <> 10
         """,
     ),
-    "layered_run": Query(
-        layered_run,
-        f"""
-        WITH valid AS ({_VALID_KEYS}),
-        years AS (SELECT unnest([2021, 2022]) AS year),
-        days AS (SELECT unnest([1, 2, 3]) AS day),
-        grid AS (SELECT unnest(['2020', '2021', '2022']) AS year)
-        SELECT 'ticker_prices' AS dataset, ticker, '2024-01-0' || day AS created_at, c_acctbal - day AS price
-        FROM valid CROSS JOIN days
-        UNION ALL BY NAME
-        SELECT d.dataset, ticker,
-               CASE WHEN d.dataset LIKE 'divid%' THEN ticker ELSE company_id::varchar END AS id,
-               years.year::varchar AS year, c_acctbal + years.year AS amount
-        FROM valid CROSS JOIN years CROSS JOIN
-             (SELECT unnest(['net_income', 'assets_liabilities', 'dividends', 'dividend_yield']) AS dataset) d
-        UNION ALL BY NAME
-        SELECT 'historic_kpis' AS dataset, ticker, ticker_id AS p_l_id, c_acctbal AS p_l_value,
-               ticker_id AS "valor_r$_id", c_acctbal * 2 AS "valor_r$_value"
-        FROM valid
-        UNION ALL BY NAME
-        SELECT 'prices_profit' AS dataset, ticker, grid.year,
-               CASE WHEN (c_custkey % 3 + 2020)::varchar = grid.year THEN c_acctbal END AS net_profit,
-               NULL::double AS quotation
-        FROM valid CROSS JOIN grid
+    "layered_run": Query(layered_run, _LAYERS),
+    "layered_without_schemas": Query(layered_without_schemas, _LAYERS),
+    "mixed_payloads_clean": Query(
+        mixed_payloads_clean,
+        """
+        SELECT o_orderkey::varchar AS ticker, o_totalprice AS price, o_custkey::varchar AS "by", NULL::varchar AS note
+        FROM orders WHERE o_orderkey % 4 = 0
+        UNION ALL SELECT o_orderkey::varchar, o_orderkey::double, NULL, o_orderpriority FROM orders WHERE o_orderkey % 4 IN (0, 1)
+        UNION ALL SELECT o_orderkey::varchar, NULL, '?', NULL FROM orders WHERE o_orderkey % 4 = 3
         """,
     ),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
@@ -82,32 +83,49 @@ def _place() -> list[Column]:
     ]
 
 
-def _checked_documents(
-    spark: SparkSession, path: str, layout: str, wanted: StructType, error: str, source: str | None
+def _records(
+    spark: SparkSession, path: str, layout: str, parsed: Callable[[Column], Column], error: str, source: bool
 ) -> DataFrame:
-    """Documents read as texts and parsed under ``wanted``, so that one that is set aside still has its text."""
+    """Documents read as texts and parsed, so that one that is set aside still has its text.
+
+    ``_record`` is what ``parsed`` makes of a document, of an array of each element; a null one, or one that
+    holds its text as corrupt, makes the document bad.  Of a bad document one record stays beside its error.
+    """
     texts = _texts(spark, path, layout)
     folders = [name for name in texts.columns if name != "value"]
-    place = _place() if source is not None else []
+    place = _place() if source else []
     lines = texts.select(*map(quoted, folders), F.struct(F.col("value").alias("document"), *place).alias("_source"))
     text = F.col("_source.document")
     if layout == "lines":
         lines = lines.where(F.btrim(text, F.lit(_JSON_BLANKS)) != "")
-    fields = [field for field in wanted if field.name not in folders]
-    record = StructType([*fields, StructField(_CORRUPT, StringType())])
-
-    def parsed(document: Column) -> Column:
-        return F.from_json(document, record, {"columnNameOfCorruptRecord": _CORRUPT})
-
     elements = F.transform(F.from_json(text, "array<string>"), parsed)
     is_array = F.startswith(F.ltrim(text, F.lit(_JSON_BLANKS)), F.lit("["))
     read = lines.withColumn("_records", F.when(is_array, elements).otherwise(F.array(parsed(text))))
-    good = F.coalesce(~F.exists("_records", lambda r: r.isNull() | r[_CORRUPT].isNotNull()), F.lit(False))
+
+    def is_bad(record: Column) -> Column:
+        kind = read.schema["_records"].dataType.elementType
+        corrupt = isinstance(kind, StructType) and _CORRUPT in kind.names
+        return record.isNull() | record[_CORRUPT].isNotNull() if corrupt else record.isNull()
+
+    good = F.coalesce(~F.exists("_records", is_bad), F.lit(False))
     reason = F.concat(F.lit("document cannot be read: "), F.substring(text, 1, 200))
     read = read.withColumn(error, F.when(~good, reason))
-    # What could be read of a bad document stays beside its error.
     kept = F.when(F.col(error).isNull(), F.col("_records")).otherwise(F.array(F.get("_records", F.lit(0))))
-    rows = read.select(*map(quoted, folders), error, "_source", F.explode(kept).alias("_record"))
+    return read.select(*map(quoted, folders), error, "_source", F.explode(kept).alias("_record"))
+
+
+def _checked_documents(
+    spark: SparkSession, path: str, layout: str, wanted: StructType, error: str, source: str | None
+) -> DataFrame:
+    """Documents under a schema; what could be read of a bad one stays beside its error."""
+    folders = [name for name in _texts(spark, path, layout).columns if name != "value"]
+    fields = [field for field in wanted if field.name not in folders]
+    record = StructType([*fields, StructField(_CORRUPT, StringType())])
+
+    def parsed(document: Column) -> Column:
+        return F.from_json(document, record, {"columnNameOfCorruptRecord": _CORRUPT})
+
+    rows = _records(spark, path, layout, parsed, error, source is not None)
     values = {field.name: F.col(quoted("_record", field.name)) for field in fields}
     values |= {name: F.col(quoted(name)) for name in folders}
     kinds = {field.name: field.dataType for field in wanted}
@@ -116,6 +134,25 @@ def _checked_documents(
     return rows.select(*columns, error, *([F.col("_source").alias(source)] if source is not None else []))
 
 
+def scan_variants(
+    spark: SparkSession, path: str, layout: str = "lines", glob: str | None = None, *, into: str = "value", error: str = "error",
+    source: str | None = None,
+) -> DataFrame:
+    """JSON documents without a schema, each a variant, in one pass; ``error`` and ``source`` as in ``scan_documents``.
+
+    A document that is no object, holds a key twice or is larger than a variant may be is bad.
+    """
+
+    def parsed(document: Column) -> Column:
+        is_object = F.startswith(F.ltrim(document, F.lit(_JSON_BLANKS)), F.lit("{"))
+        return F.when(is_object, F.try_parse_json(document))
+
+    rows = _records(spark, _documents_at(path, layout, glob), layout, parsed, error, source is not None)
+    return rows.select(
+        F.col("_record").alias(into), error, *([F.col("_source").alias(source)] if source is not None else [])
+    )
+
+
 def reject_rows(
     flagged: DataFrame, path: str, key: str, layout: str = "lines", glob: str | None = None, *, error: str, source: str
 ) -> DataFrame:
