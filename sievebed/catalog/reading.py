@@ -95,6 +95,25 @@ def table_cells(spark: SparkSession, folder: str) -> DataFrame:
     return table_column(pages, "html").select("page_id", "symbol")
 
 
+def table_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """A name that spans the rows of its codes, up to 50 of them, and a last row whose one cell spans both columns."""
+    page = F.col("page_id")
+    rows = F.transform(
+        F.sequence(F.lit(0), page % 50),
+        lambda i: F.concat(
+            F.lit("<tr>"),
+            F.when(i == 0, F.concat(F.lit("<td title='colspan=2' rowspan="), (page % 50 + 1).cast("string"), F.lit(">name"))).otherwise(""),
+            F.lit("<td>"), page.cast("string"), F.lit("-"), i.cast("string"), F.lit("</td></tr>\n"),
+        ),
+    )
+    table_html = F.concat(
+        F.col("html"), F.lit("<table><tr><th>Nome<th>C&oacute;digo</tr>"), F.array_join(rows, ""),
+        F.lit('<tr><td colspan="2">all of </td></tr></table>'),
+    )
+    pages = table(spark, folder, "pages").select("page_id", table_html.alias("html"))
+    return table_column(pages, "html").select("page_id", "symbol")
+
+
 def page_record(spark: SparkSession, folder: str) -> DataFrame:
     return page_records(rank_pages(spark, folder), "body").select("page_id", "symbol", *RANK_FIELDS, "error")
 
@@ -265,6 +284,13 @@ QUERIES = {
         FROM pages
         """,
     ),
+    "table_spans": Query(
+        table_spans,
+        """
+        SELECT page_id, page_id || '-' || unnest(range(page_id % 50 + 1)) AS symbol FROM pages
+        UNION ALL SELECT page_id, 'all of' FROM pages
+        """,
+    ),
     "page_record": Query(page_record, RANK_RECORD_SQL),
     "nonblank_lines": Query(
         nonblank_lines,

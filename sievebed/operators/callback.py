@@ -35,26 +35,47 @@ def map_payloads(
     if on_error not in ("raise", "quarantine") or tries < 1:
         raise ValueError("on_error must be 'raise' or 'quarantine', and tries at least 1")
 
-    def call(row_key: str, body: str) -> tuple[str, object, str | None]:
-        for attempt in range(1, tries + 1):
+    def attempt(row_key: str, body: str, used: int, checked: bool) -> tuple[tuple[str, object, str | None], int]:
+        """The result of a row, and how many of its tries it took; ``checked`` looks at the types of it alone."""
+        while True:
+            used += 1
             try:
                 new_key, value = function(row_key, body)
-                pa.array([new_key], pa.string()), pa.array([value], arrow_kind)  # raises for another type
-                return new_key, value, None
+                if checked:
+                    pa.array([new_key], pa.string()), pa.array([value], arrow_kind)  # raises for another type
+                return (new_key, value, None), used
             except Exception as error:
-                if attempt == tries:
+                if used >= tries:
                     if on_error == "raise":
                         raise
-                    return row_key, None, repr(error)
-        raise AssertionError("not reached")
+                    return (row_key, None, repr(error)), used
+
+    def arrays(rows: list[tuple[str, object, str | None]]) -> list[pa.Array]:
+        columns = list(zip(*rows, strict=True)) or [(), (), ()]
+        types = (pa.string(), arrow_kind, pa.string())
+        return [pa.array(values, each) for values, each in zip(columns, types, strict=True)]
+
+    def rechecked(row_key: str, body: str, found: tuple[str, object, str | None], used: int) -> tuple[str, object, str | None]:
+        """A row of a batch in which some value is not of its type."""
+        try:
+            arrays([found])
+        except Exception as error:
+            if used < tries:
+                return attempt(row_key, body, used, checked=True)[0]
+            if on_error == "raise":
+                raise
+            return row_key, None, repr(error)
+        return found
 
     def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            rows = [call(k, body) for k, body in zip(*(column.to_pylist() for column in frame.columns), strict=True)]
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            types = (pa.string(), arrow_kind, pa.string())
-            arrays = [pa.array(values, each) for values, each in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "value", "error"])
+            given = list(zip(*(column.to_pylist() for column in frame.columns), strict=True))
+            called = [attempt(k, body, 0, checked=False) for k, body in given]
+            try:  # types are looked at once a batch; row by row only where one is wrong
+                made = arrays([found for found, _ in called])
+            except Exception:
+                made = arrays([rechecked(*row, *result) for row, result in zip(given, called, strict=True)])
+            yield pa.RecordBatch.from_arrays(made, ["key", "value", "error"])
 
     pairs = df.select(F.col(key).cast("string").alias("key"), F.col(payload).cast("string").alias("payload"))
     return pairs.mapInArrow(batches, result)

@@ -1,41 +1,37 @@
 """Text out of stored web pages.
 
-A page is cut into tokens by one regular expression in the JVM.  To Python go, in Arrow batches, the kinds
-of the tokens of pages that name a scope, to be walked once; the texts found that hold an ``&``, to be
-decoded; and the tokens of pages whose table is read.
+Pages that may hold what is asked for go to Python in Arrow batches.  There one regular expression goes over a
+page once, from tag to tag, and a small state machine keeps the depth; no list of a page's tokens is made.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from sievebed.fixed_values import LISTING_HEADER, RANK_SCOPE_CLASS, RANK_SCOPE_TAG, VOID_ELEMENTS
 from sievebed.functions.checks import pass_or_raise
 from sievebed.functions.text import nonblank_lines
 from sievebed.operators.flatten import quoted
 
-# All quantified groups are possessive: Java matches those in a loop, not by recursion.
 # Behind a tag's name come names, each with a value or not: quotes open a value only right behind "=".
+# All quantified groups are possessive, so that a long tag is read in one go.
 _TAG_REST = r"[^\s/>]*+(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:\x22[^\x22]*+\x22|\x27[^\x27]*+\x27|[^\s\x22\x27>][^\s>]*+))?+|=)*+>"
-_RAW_ELEMENT = rf"<(?:script|style)(?=[\s/>]){_TAG_REST}.*?(?:</(?:script|style)\s*+>|\z)"
-_COMMENT = r"<!--.*?-->"
-_DECLARATION = r"<[!?][^>]*+>|</[^a-z>][^>]*+>"
-_END_TAG = r"</[a-z][^>]*+>"
-_TOKEN = rf"(?is){_COMMENT}|{_RAW_ELEMENT}|<[a-z]{_TAG_REST}|{_END_TAG}|{_DECLARATION}|[^<]++|<"
-
-_VOID = "|".join(VOID_ELEMENTS)
-# Tokens that neither open nor close an element.
-_NEUTRAL = rf"(?is)\A(?:[^<]|<\z|<[!?]|</?(?:{_VOID})(?=[\s/>])|</[^a-z]|<(?:script|style)(?=[\s/>])|<.*/>\z)"
-_RAW_TEXT = rf"(?is)\A<(?:script|style)(?=[\s/>]){_TAG_REST}(.*?)(?:</(?:script|style)\s*+>)?\z"
+_MARKUP = re.compile(
+    rf"""(?is)<!--.*?-->
+    |(?P<raw><(?:script|style)(?=[\s/>]){_TAG_REST}(?P<body>.*?)(?:</(?:script|style)\s*+>|\Z))
+    |(?P<open><[a-z]{_TAG_REST})|(?P<close></[a-z][^>]*+>)
+    |<[!?][^>]*+>|</[^a-z>][^>]*+>""".replace("\n    ", "").encode()
+)
+_VOID = re.compile(rf"(?i)</?(?:{'|'.join(VOID_ELEMENTS)})(?=[\s/>])".encode())
 _ATTRIBUTE = r"""[\s/]*+[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+"""
 
-_OPEN_SCOPE, _OPEN, _CLOSE, _NONE = 2, 1, -1, 0
-
 
 # Marked non-deterministic below, so that no filter on a result is pushed beneath it: the optimizer
 # would copy the whole extraction into that filter and run it twice.
@@ -44,13 +40,7 @@ def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf(StringType())
-def _unescape_joined(pieces: pd.Series) -> pd.Series:
-    return pieces.map(lambda parts: "".join(map(html.unescape, parts)), na_action="ignore")
-
-
 _unescape = _unescape.asNondeterministic()
-_unescape_joined = _unescape_joined.asNondeterministic()
 
 
 def decode_entities(text: Column) -> Column:
@@ -59,56 +49,67 @@ def decode_entities(text: Column) -> Column:
     return F.when(encoded, _unescape(F.when(encoded, text))).otherwise(text)
 
 
-def _scope_start(tag: str, css_class: str) -> str:
-    """A start tag with the class among its attributes, whatever stands before it."""
-    value = rf"\Q{css_class}\E"
-    wanted = rf"""[\s/]*+(?i:class)\s*+=\s*+(?:"{value}"|'{value}'|{value}(?=[\s>]))"""
-    return rf"\A<(?i:{tag})(?=[\s/])(?:(?!{wanted}){_ATTRIBUTE})*+{wanted}"
-
-
-def _token_kind(token: Column, scope_start: str) -> Column:
-    return (
-        F.when(~F.startswith(token, F.lit("<")) | F.regexp_like(token, F.lit(_NEUTRAL)), _NONE)
-        .when(F.startswith(token, F.lit("</")), _CLOSE)
-        .when(F.regexp_like(token, F.lit(scope_start)), _OPEN_SCOPE)
-        .otherwise(_OPEN)
-    )
+def _text(raw: bytes) -> str:
+    text = raw.decode("utf-8", "replace")
+    return html.unescape(text) if "&" in text else text
 
 
-# A scope the page never closes runs to its end.
-@F.pandas_udf(ArrayType(ArrayType(IntegerType())))
-def _spans_of(kinds: pd.Series) -> pd.Series:
-    """Place (from 1) and size of each token range inside a scope: one walk, following the depth."""
+def _parts(page: bytes) -> Iterator[tuple[str | None, bytes, bytes]]:
+    """A page's tags in order, each with the text before it; at the end the text behind the last one.
 
-    def walk(page) -> list[list[int]]:
-        spans, depth, start = [], 0, 0
-        for at, kind in enumerate(page.tolist(), start=1):
-            if depth:
-                depth += min(kind, _OPEN)
+    The kind is ``open``, ``close`` or ``raw`` (a script or style, whose body is given), None for what
+    neither opens nor closes anything.
+    """
+    last = 0
+    for found in _MARKUP.finditer(page):
+        kind, start = found.lastgroup, found.start()
+        yield kind, page[last:start], found["body"] if kind == "raw" else found[0]
+        last = found.end()
+    yield None, page[last:], b""
+
+
+def _scope_text(tag: str, css_class: str) -> Callable[[bytes], str]:
+    """The text inside every ``<tag class="css_class">`` of a page, a line break behind each."""
+    # A start tag with the class among its attributes, whatever stands before it.
+    value = re.escape(css_class)
+    wanted = rf"""[\s/]*+(?i:class)\s*+=\s*+(?:"{value}"|'{value}'|{value}(?=[\s>]))"""
+    opens = re.compile(rf"\A<(?i:{re.escape(tag)})(?=[\s/])(?:(?!{wanted}){_ATTRIBUTE})*+{wanted}".encode())
+    named = css_class.encode()
+
+    def read(page: bytes) -> str:
+        out, depth = [], 0
+        for kind, before, token in _parts(page):
+            if depth and before:
+                out.append(_text(before))
+            if kind == "open":
+                if token.endswith(b"/>") or _VOID.match(token):
+                    continue
+                if depth:
+                    depth += 1
+                elif named in token and opens.match(token):
+                    depth = 1
+            elif not depth:
+                continue
+            elif kind == "raw":
+                out.append(token.decode("utf-8", "replace"))
+            elif kind == "close" and not _VOID.match(token):
+                depth -= 1
                 if not depth:
-                    spans.append([start, at - start])
-            elif kind == _OPEN_SCOPE:
-                depth, start = 1, at + 1
-        if depth:
-            spans.append([start, len(page) + 1 - start])
-        return spans
+                    out.append("\n")
+        return "".join(out)  # a scope the page never closes runs to its end
 
-    return kinds.map(walk, na_action="ignore")
+    return read
 
 
-_spans_of = _spans_of.asNondeterministic()
+def _over_pages(read: Callable[[bytes], object], kind: pa.DataType, result: StringType | ArrayType):
+    """An Arrow function over pages; non-deterministic, so that no filter on a result is pushed beneath it."""
 
+    @F.arrow_udf(result)
+    def run(pages: pa.Array) -> pa.Array:
+        views = pages.cast(pa.binary())
+        return pa.array([read(page.as_buffer().to_pybytes()) if page.is_valid else None for page in views], kind)
 
-# Text of the tokens in those ranges, a line break after each range.  Tags give no text; script and
-# style bodies stand as they are, so their ``&`` is encoded once to survive the decoding.
-_PIECES = rf"""
-    flatten(transform(_spans, span -> concat(
-        transform(
-            slice(_tokens, span[0], span[1]),
-            token -> CASE WHEN token = '<' OR NOT startswith(token, '<') THEN token
-                          ELSE replace(regexp_extract(token, r'{_RAW_TEXT}', 1), '&', '&amp;') END),
-        array('\n'))))
-"""
+    return run.asNondeterministic()
 
 
 def scoped_lines(
@@ -126,71 +127,124 @@ def scoped_lines(
     """
     source = F.col(quoted(page))
     names = F.contains(source, F.lit(css_class))
-    scope_start = _scope_start(tag, css_class)
-    # Staged, so that every step is evaluated once.  Only the first step reads the page: unless it is
-    # selected later, its text is pruned before the decoding, which would else have to hold it.
-    read = F.when(names, F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0))).when(
-        source.isNotNull(), F.array().cast("array<string>")
-    )
-    tokens = df.withColumn("_tokens", read)
-    kinds = tokens.withColumn("_kinds", F.transform("_tokens", lambda token: _token_kind(token, scope_start)))
-    spans = _spans_of(F.when(names, F.col("_kinds")))
-    found = F.coalesce(spans, F.when(source.isNotNull(), F.array().cast("array<array<int>>")))
-    pieces = kinds.withColumn("_spans", found).withColumn("_pieces", F.expr(_PIECES))
-    encoded = F.expr("exists(_pieces, piece -> contains(piece, '&'))")
-    decoded = _unescape_joined(F.when(encoded, F.col("_pieces")))
-    text = F.when(encoded, decoded).otherwise(F.array_join("_pieces", ""))
-    lines = pieces.withColumn("_text", text).withColumn(into, nonblank_lines(F.col("_text")))
-    return lines.drop("_tokens", "_kinds", "_spans", "_pieces", "_text")
-
-
-# Rows and cells of a table; whatever else a page holds is text or passes.
-_TABLE_TAG = re.compile(r"</?(table|tr|td|th)(?=[\s/>])", re.IGNORECASE)
-
-
-def first_table(tokens: list[str]) -> list[list[str]] | None:
-    """Rows of decoded, stripped cell texts of the first table; null without one.
-
-    End tags of rows and cells may be missing.  Comments and scripts give nothing.  A table inside a cell
-    is text of that cell.
+    read = _over_pages(_scope_text(tag, css_class), pa.string(), StringType())
+    text = df.withColumn("_text", read(F.when(names, source)))
+    lines = F.when(names, nonblank_lines(F.col("_text"))).when(source.isNotNull(), F.array().cast("array<string>"))
+    return text.withColumn(into, lines).drop("_text")
+
+
+# What makes a table: rows, cells, and groups of rows.
+_TABLE_TAG = re.compile(rb"</?(table|thead|tbody|tfoot|tr|td|th)(?=[\s/>])", re.IGNORECASE)
+_SPAN = re.compile(
+    rb"""[\s/]*+(?:(rowspan|colspan)\s*+=\s*+["']?\s*+([0-9]++)|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+)""",
+    re.IGNORECASE,
+)
+#: How far a cell may span, by the HTML standard.
+_MOST_COLUMNS, _MOST_ROWS = 1000, 65534
+
+
+class _Cell:
+    """A cell as it is read: its text, and how many rows and columns it spans."""
+
+    __slots__ = ("across", "down", "parts")
+
+    def __init__(self, tag: bytes) -> None:
+        self.parts: list[bytes] = []
+        spans = {}
+        if b"span" in tag.lower():
+            for name, size in _SPAN.findall(tag, 3):
+                if name:
+                    spans.setdefault(name.lower(), int(size[:6]))
+        self.across = min(spans.get(b"colspan", 1) or 1, _MOST_COLUMNS)
+        self.down = min(spans.get(b"rowspan", 1), _MOST_ROWS)
+
+    @property
+    def text(self) -> str:
+        return _text(b"".join(self.parts)).strip()
+
+
+def _grid(rows: list[list[_Cell]]) -> list[list[str | None]]:
+    """The rows of one group, a text per column: a cell stands in every row and column that it spans.
+
+    A cell goes to the first free column.  One that spans zero rows spans all rows left; none spans more than
+    the group has.  A column that no cell reaches has null.
     """
-    rows: list[list[list[str]]] = []
-    depth, in_cell = 0, False
-    for token in tokens:
-        if not token.startswith("<") or token == "<":
-            if in_cell:
-                rows[-1][-1].append(token)
-            continue
-        found = _TABLE_TAG.match(token)
+    filled: list[list[str | None]] = []
+    hanging: dict[int, list[tuple[int, str]]] = {}  # column -> cells from above: row they end before, and text
+    for number, row in enumerate(rows):
+        hanging = {x: left for x, cells in hanging.items() if (left := [cell for cell in cells if cell[0] > number])}
+        out, below = [], []
+        for cell in row:
+            while len(out) in hanging:
+                out.append(hanging[len(out)][-1][1])
+            text, end = cell.text, min(number + cell.down, len(rows)) if cell.down else len(rows)
+            for _ in range(cell.across):  # where two cells meet the later one counts
+                below.append((len(out), (end, text)))
+                out.append(text)
+        while further := [x for x in hanging if x >= len(out)]:
+            nearest = min(further)
+            out += [None] * (nearest - len(out)) + [hanging[nearest][-1][1]]
+        for x, cell in below:
+            hanging.setdefault(x, []).append(cell)
+        filled.append(out)
+    return filled
+
+
+def first_table(page: bytes) -> tuple[list[list[str | None]], list[list[str | None]]] | None:
+    """Head and body rows of decoded, stripped cell texts of the first table; null without one.
+
+    The head is what stands in a ``thead``, else the first row.  End tags of rows and cells may be missing.
+    Comments and scripts give nothing.  A table inside a cell is text of that cell.  Cells that span rows or
+    columns stand in each of them; none spans beyond its group of rows.
+    """
+    groups: list[tuple[bool, list[list[_Cell]]]] = []
+    depth, in_cell, in_head = 0, False, False
+    for kind, before, token in _parts(page):
+        if in_cell and before:
+            groups[-1][1][-1][-1].parts.append(before)
+        found = _TABLE_TAG.match(token) if kind in ("open", "close") else None
         if found is None:
             continue
-        name, ends = found[1].lower(), token[1] == "/"
-        if name == "table":
+        name, ends = found[1].lower(), kind == "close"
+        if name == b"table":
             depth += -1 if ends else 1
             if depth <= 0:
                 break
         elif depth == 1:
-            if name == "tr":
-                in_cell = False
-                if not ends:
+            in_cell = False
+            if name in (b"thead", b"tbody", b"tfoot"):
+                in_head = name == b"thead" and not ends
+                groups.append((in_head, []))
+            elif not ends:
+                if not groups:
+                    groups.append((False, []))
+                rows = groups[-1][1]
+                if name == b"tr":
                     rows.append([])
-            else:
-                in_cell = not ends
-                if not ends:
-                    rows = rows or [[]]
-                    rows[-1].append([])
+                else:
+                    if not rows:
+                        rows.append([])
+                    in_cell = True
+                    rows[-1].append(_Cell(token))
     else:
         if not depth:
             return None
-    return [[html.unescape("".join(cell)).strip() for cell in row] for row in rows]
-
+    grids = [(is_head, _grid(rows)) for is_head, rows in groups]
+    head = [row for is_head, rows in grids if is_head for row in rows]
+    body = [row for is_head, rows in grids if not is_head for row in rows]
+    return (head, body) if head else (body[:1], body[1:])
 
-@F.pandas_udf(ArrayType(ArrayType(StringType())))
-def _first_tables(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda tokens: first_table(tokens.tolist()), na_action="ignore")
 
+def _column_under(header: str) -> Callable[[bytes], list[str | None] | None]:
+    def read(page: bytes) -> list[str | None] | None:
+        head, body = first_table(page) or ([], [])
+        for row in head:
+            if header in row:
+                at = row.index(header)
+                return [cells[at] if at < len(cells) else None for cells in body]
+        return None
 
-_first_tables = _first_tables.asNondeterministic()
+    return read
 
 
 def table_column(
@@ -199,18 +253,17 @@ def table_column(
     """One row per body row of the page's first HTML table: the text under one header.
 
     Without the table or the header the query fails (``raise``) or the page gives no rows (``skip``).
-    Texts are compared after decoding.  Cells that span rows or columns are not resolved.
+    Texts are compared after decoding.  A cell that spans rows or columns stands in each of them.
     """
     if on_missing not in ("raise", "skip"):
         raise ValueError(f"on_missing must be 'raise' or 'skip', not {on_missing!r}")
     source = F.col(quoted(page))
     kept = [quoted(name) for name in df.columns]
-    tokens = df.withColumn("_tokens", F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0)))
-    parsed = tokens.withColumn("_rows", _first_tables("_tokens"))
-    placed = parsed.withColumn("_place", F.array_position(F.get("_rows", F.lit(0)), F.lit(header)).cast("int"))
-    found = F.coalesce(F.col("_place") > 0, F.lit(False))
+    read = _over_pages(_column_under(header), pa.list_(pa.string()), ArrayType(StringType()))
+    has_table = F.regexp_like(source, F.lit("(?i)<table"))
+    found = df.withColumn("_column", read(F.when(has_table, source)))
+    there = F.col("_column").isNotNull()
     if on_missing == "raise":
-        found = pass_or_raise(found, F.lit(f"no table with the column {header}"))
-    body_rows = F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0)))
-    body = placed.where(found).select(*kept, "_place", F.explode(body_rows).alias("_row"))
-    return body.select(*kept, F.get("_row", F.col("_place") - 1).alias(into))
+        there = pass_or_raise(there, F.lit(f"no table with the column {header}"))
+    cells = F.when(F.size("_column") >= 0, F.col("_column"))
+    return found.where(there).select(*kept, F.explode(cells).alias(into))

@@ -16,7 +16,7 @@ from sievebed.operators.policies import ERROR, flag, settle
 from sievebed.operators.reshape import flag_labels, map_labels, observe_labels, unpivot, unpivot_map
 from sievebed.sinks.writers import load_table, overwrite_table
 from sievebed.sources.readers import reject_rows, scan_documents, scan_table, scan_variants
-from sievebed.workspace import fresh_path
+from sievebed.workspace import staged
 
 _SOURCE, _VALUE = "_source", "_value"
 
@@ -124,7 +124,7 @@ def clean_layer(
         good = typed_documents(good)
     elif by_year and not years:
         labelled, found = observe_labels(good.select(DOCUMENT_KEY, DOCUMENT_DATA), DOCUMENT_DATA)
-        good = _staged(labelled, "documents-by-year")
+        good = staged(labelled, "documents-by-year")
         years = sorted(found.get["labels"] or [])
     settings = {"outer": outer} | ({"years": years, "other_years": "drop"} if cleaning == "price_profit" else {})
     cleaned = _no_years(good) if by_year and not years else CLEANINGS[cleaning](good, **settings)
@@ -135,13 +135,6 @@ def clean_layer(
         overwrite_table(rejects if counted.get["bad"] else spark.createDataFrame([], rejects.schema), bad_path)
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df``, written to the shared folder and read again."""
-    path = fresh_path(df.sparkSession, name)
-    overwrite_table(df, path)
-    return scan_table(df.sparkSession, path, df.schema)
-
-
 def typed_documents(variants: DataFrame, value: str = _VALUE) -> DataFrame:
     """Columns of documents whose schema nobody gave; the raw layer is read once.
 
@@ -161,7 +154,7 @@ def typed_documents(variants: DataFrame, value: str = _VALUE) -> DataFrame:
         F.schema_of_variant_agg(F.when(an_object, data)).alias("objects"),
         F.count(F.when(neither, 1)).alias("neither"),
     )
-    staged = _staged(observed, "documents-without-schema")
+    kept = staged(observed, "documents-without-schema")
     found = seen.get
     whole = variant_type(found["whole"] or "VOID")
     kinds = {field.name: field.dataType for field in whole} if isinstance(whole, StructType) else {}
@@ -173,12 +166,12 @@ def typed_documents(variants: DataFrame, value: str = _VALUE) -> DataFrame:
     if read is None:
         raise ValueError("no document to take a schema from: give one")
     if not mixed or DOCUMENT_DATA not in read.names:
-        return staged.select(F.col(value).cast(read).alias(value)).select(f"{value}.*")
+        return kept.select(F.col(value).cast(read).alias(value)).select(f"{value}.*")
     array_type = read[DOCUMENT_DATA].dataType
     rest = StructType([field for field in read if field.name != DOCUMENT_DATA])
     payload = F.when(array, data.cast(array_type)).when(an_object, F.array(data.cast(array_type.elementType)))
     columns = [F.col(quoted(value, name)) if name != DOCUMENT_DATA else F.col(DOCUMENT_DATA) for name in read.names]
-    both_read = staged.select(F.col(value).cast(rest).alias(value), payload.alias(DOCUMENT_DATA)) if rest.names else staged.select(payload.alias(DOCUMENT_DATA))
+    both_read = kept.select(F.col(value).cast(rest).alias(value), payload.alias(DOCUMENT_DATA)) if rest.names else kept.select(payload.alias(DOCUMENT_DATA))
     return both_read.select(*columns)
 
 

@@ -10,6 +10,7 @@ from sievebed.operators.keys import add_url, attach_responses
 from sievebed.operators.markup import table_column
 from sievebed.operators.policies import flag, settle
 from sievebed.sinks.writers import write_csv_once
+from sievebed.workspace import staged
 
 
 def listed_keys(listing: DataFrame, page: str, base_url: str, header: str = LISTING_HEADER) -> DataFrame:
@@ -33,8 +34,10 @@ def discover_keys(
     on_error: str = "raise",
 ) -> DataFrame:
     """Key table from a listing page and the stored key pages (``url``, ``body``; of several to a URL the
-    greatest counts)."""
-    pages = attach_responses(listed_keys(listing, page, base_url, header), responses, ["url"])
+    greatest counts).  The listed keys are written to the shared folder first."""
+    # Both the pages found and those missing are looked up by these keys: the listing is parsed once.
+    wanted = staged(listed_keys(listing, page, base_url, header), "listed-keys")
+    pages = attach_responses(wanted, responses, ["url"])
     flagged = flag(pages, F.col("body").isNull(), "no stored response")
     return page_ids(settle(flagged, "ticker", on_error), "body")
 

@@ -10,7 +10,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -33,3 +33,10 @@ def _local_folder(application: str) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path no earlier run has used, so that a re-run never overwrites what is still being read."""
     return f"{shared_folder(spark)}/sievebed/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written to the shared folder and read again: what made them runs once."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
