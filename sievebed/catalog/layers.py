@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -22,6 +23,7 @@ from sievebed.plans.cleaning import clean_layer, curate_layer
 from sievebed.plans.ingest import ingest_layer
 from sievebed.plans.keys import discover_keys, write_key_table
 from sievebed.plans.layered import DatasetSpec, run_layers, standard_specs
+from sievebed.sinks.loads import append_load, scan_loads
 from sievebed.sinks.writers import overwrite_table, strict_append, write_csv_once, write_documents
 from sievebed.sources import readers
 from sievebed.workspace import fresh_path
@@ -233,9 +235,36 @@ def append_rows(spark: SparkSession, folder: str) -> DataFrame:
     return readers.scan_table(spark, path)
 
 
-def history_load(spark: SparkSession, folder: str) -> DataFrame:
-    """A history file with absent ranks, grades and industries, appended to the rank table."""
-    csv, loaded = fresh_path(spark, "history"), fresh_path(spark, "rank-history")
+def append_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads, the first after an attempt that failed halfway, and each run twice: its rows are there once."""
+    path, schema = fresh_path(spark, "loads"), StructType.fromDDL("ticker bigint, note string, quotation double")
+    orders = table(spark, folder, "orders").select(F.col("o_totalprice").alias("quotation"), F.col("o_orderkey").alias("ticker"))
+    odd, even = (orders.where(F.col("ticker") % 2 == part) for part in (1, 0))
+    broken = odd.repartition(4).withColumn(
+        "note", F.when(F.spark_partition_id() == 3, F.raise_error(F.lit("lost halfway"))).otherwise("broken")
+    )
+    try:
+        append_load(broken, schema, path, "odd")
+    except PySparkException:
+        pass  # what it left behind is not read
+    else:
+        raise AssertionError("the broken load did not fail")
+    for load_id, rows in (("odd", odd), ("even / 2", even), ("odd", odd), ("even / 2", even)):
+        append_load(rows, schema, path, load_id)
+    return scan_loads(spark, path, schema)
+
+
+def history_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """The history file loaded twice under its name, by day."""
+    csv, loaded = _history_file(spark, folder), fresh_path(spark, "rank-loads")
+    for _ in range(2):
+        ranks.load_history(spark, csv, loaded, partition_by=("reference_date",), load_id="history.csv")
+    return scan_loads(spark, loaded, ranks.HISTORY_ROW).drop("load_id")
+
+
+def _history_file(spark: SparkSession, folder: str) -> str:
+    """A history file with absent ranks, grades and industries."""
+    csv = fresh_path(spark, "history")
     custkey = F.col("c_custkey")
     values = {
         "ticker": F.col("c_name"),
@@ -249,6 +278,12 @@ def history_load(spark: SparkSession, folder: str) -> DataFrame:
     }
     rows = table(spark, folder, "customer").select(*[values[target].alias(name) for name, target in HISTORY_COLUMNS])
     rows.write.option("header", True).csv(csv)
+    return csv
+
+
+def history_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The history file appended to the rank table."""
+    csv, loaded = _history_file(spark, folder), fresh_path(spark, "rank-history")
     ranks.load_history(spark, csv, loaded)
     return readers.scan_table(spark, loaded)
 
@@ -436,6 +471,15 @@ _VALID_KEYS = """
 
 _GOOD_RANKS = f"SELECT * FROM ({RANK_RECORD_SQL}) WHERE error IS NULL"
 
+_HISTORY = f"""
+        SELECT c_name AS ticker, CASE WHEN c_custkey % 4 <> 0 THEN (c_custkey % 5 + 1)::int END AS rank,
+               CASE WHEN c_custkey % 3 <> 0 THEN chr((65 + c_custkey % 6)::int) END AS value_score,
+               chr((65 + c_custkey % 5)::int) AS growth_score,
+               CASE WHEN c_custkey % 7 <> 0 THEN 'B' END AS momentum_score, 'C' AS vgm_score,
+               'Banks, ' || c_mktsegment AS industry, '{DAY}' AS reference_date
+        FROM customer
+"""
+
 _LAYERS = f"""
         WITH valid AS ({_VALID_KEYS}),
         years AS (SELECT unnest([2021, 2022]) AS year),
@@ -588,17 +632,16 @@ QUERIES = {
         UNION ALL SELECT o_orderkey, NULL, o_totalprice FROM orders
         """,
     ),
-    "history_load": Query(
-        history_load,
-        f"""
-        SELECT c_name AS ticker, CASE WHEN c_custkey % 4 <> 0 THEN (c_custkey % 5 + 1)::int END AS rank,
-               CASE WHEN c_custkey % 3 <> 0 THEN chr((65 + c_custkey % 6)::int) END AS value_score,
-               chr((65 + c_custkey % 5)::int) AS growth_score,
-               CASE WHEN c_custkey % 7 <> 0 THEN 'B' END AS momentum_score, 'C' AS vgm_score,
-               'Banks, ' || c_mktsegment AS industry, '{DAY}' AS reference_date
-        FROM customer
+    "append_loads": Query(
+        append_loads,
+        """
+        SELECT o_orderkey AS ticker, NULL::varchar AS note, o_totalprice AS quotation,
+               CASE WHEN o_orderkey % 2 = 1 THEN 'odd' ELSE 'even / 2' END AS load_id
+        FROM orders
         """,
     ),
+    "history_load": Query(history_load, _HISTORY),
+    "history_repeated": Query(history_repeated, _HISTORY),
     "snapshot_load": Query(
         snapshot_load,
         f"""

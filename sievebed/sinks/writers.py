@@ -46,12 +46,10 @@ def strict_append(
     A column the table does not have, a wrong type or an invalid row fails the write; an absent
     nullable column becomes null.  So does a table already there with other columns or types.  Whether a
     failing job leaves rows behind is up to the source: Parquet's committer shows none.  There is no
-    key, so a second run appends the rows again.
+    key, so a second run appends the rows again; ``append_load`` does not.
     ``batch_rows`` bounds the rows of a file; leave it out for large loads, or many small files result.
     """
-    unknown = [name for name in df.columns if name not in schema.names]
-    if unknown:
-        raise ValueError(f"columns the table does not have: {unknown}")
+    check_columns(df, schema)
     settings = dict(options or {}) | ({} if path is None else {"path": path})
     _check_existing(df.sparkSession, schema, fmt, settings, partition_by)
     writer = df.to(schema).write.format(fmt).options(**settings).mode("append").partitionBy(*partition_by)
@@ -60,6 +58,13 @@ def strict_append(
     writer.save()
 
 
+def check_columns(df: DataFrame, schema: StructType) -> None:
+    """Fail if there is a column that the table does not have."""
+    unknown = [name for name in df.columns if name not in schema.names]
+    if unknown:
+        raise ValueError(f"columns the table does not have: {unknown}")
+
+
 def _check_existing(
     spark: SparkSession, schema: StructType, fmt: str, settings: dict[str, str], partition_by: tuple[str, ...]
 ) -> None:
