@@ -23,6 +23,7 @@ from sievebed.plans.cleaning import clean_layer, curate_layer
 from sievebed.plans.ingest import ingest_layer
 from sievebed.plans.keys import discover_keys, write_key_table
 from sievebed.plans.layered import DatasetSpec, run_layers, standard_specs
+from sievebed.sinks.buckets import replace_documents, scan_stored
 from sievebed.sinks.loads import append_load, scan_loads
 from sievebed.sinks.writers import overwrite_table, strict_append, write_csv_once, write_documents
 from sievebed.sources import readers
@@ -72,6 +73,35 @@ def documents_by_key(spark: SparkSession, folder: str) -> DataFrame:
     return flatten(readers.scan_documents(spark, path, schema))
 
 
+def documents_in_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """A document per line item of an order; those of orders that are done are replaced, and new orders come in."""
+    path = fresh_path(spark, "bucketed")
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("key"),
+        envelope(F.col("l_linenumber"), F.to_json(F.struct("l_partkey", "l_suppkey", "l_returnflag"))).alias("document"),
+    )
+    replace_documents(lines.where(F.col("key") % 10 > 0), path, "key", buckets=32)
+    orders = table(spark, folder, "orders").where("o_orderstatus = 'F' OR o_orderkey % 10 = 0").select(
+        F.col("o_orderkey").alias("key"), envelope(F.lit("all"), F.to_json(F.struct("o_orderstatus"))).alias("document")
+    )
+    replace_documents(orders, path, "key", buckets=32)
+    return scan_stored(spark, path)
+
+
+def csv_many_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of six headers, of two to four columns in different orders, read by name."""
+    path = fresh_path(spark, "many-headers")
+    rows = table(spark, folder, "customer").withColumn("quoted", F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit('", x')))
+    for number, columns in enumerate((
+        ("c_custkey", "quoted"), ("quoted", "c_custkey"), ("c_name", "c_custkey", "quoted"), ("quoted", "c_name", "c_custkey"),
+        ("c_custkey", "c_nationkey", "quoted", "c_name"), ("c_name", "quoted", "c_nationkey", "c_custkey"),
+    )):
+        some = rows.where(F.col("c_custkey") % 6 == number).select(*columns).repartition(3)
+        some.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    read = readers.scan_named_csv(spark, path, ("c_custkey", "quoted"))
+    return read.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "quoted")
+
+
 def default_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as raw documents holding an array of measures, through the default cleaning."""
     raw, cleaned = fresh_path(spark, "raw-lines"), fresh_path(spark, "cleaned-lines")
@@ -537,6 +567,20 @@ QUERIES = {
         FROM events
         """,
     ),
+    "documents_in_buckets": Query(
+        documents_in_buckets,
+        """
+        SELECT l_orderkey::varchar AS document_key, '{"ticker":"' || l_linenumber || '","data":{"l_partkey":' || l_partkey
+               || ',"l_suppkey":' || l_suppkey || ',"l_returnflag":"' || l_returnflag || '"}}' AS document
+        FROM lineitem WHERE l_orderkey % 10 > 0
+            AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' OR o_orderkey % 10 = 0)
+        UNION ALL SELECT o_orderkey::varchar, '{"ticker":"all","data":{"o_orderstatus":"' || o_orderstatus || '"}}'
+        FROM orders WHERE o_orderstatus = 'F' OR o_orderkey % 10 = 0
+        """,
+    ),
+    "csv_many_headers": Query(
+        csv_many_headers, """SELECT c_custkey, '"' || c_mktsegment || '", x' AS quoted FROM customer"""
+    ),
     "default_clean": Query(
         default_clean,
         """

@@ -89,8 +89,8 @@ def write_documents(
     """Write JSON documents, one per line.
 
     Without a key the folder is replaced.  With one, every key gets a sub-folder and only the keys at
-    hand are replaced; that makes a small file per key, so use it for small key sets.  Of the
-    compressions only ``bzip2`` leaves files that several tasks can read.
+    hand are replaced; that makes a small file per key, so use it for small key sets, and
+    ``replace_documents`` for large ones.  Of the compressions only ``bzip2`` leaves files that several tasks can read.
     """
     value = F.col(document).alias("value")
     if key is None:
@@ -111,9 +111,14 @@ def write_csv_once(df: DataFrame, path: str) -> None:
 
 
 def _is_complete(spark: SparkSession, path: str) -> bool:
-    # Spark's readers do not show marker files; the file system behind the path does.
-    mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+    """Whether the mark of success is there: its rows are hidden from readers, but a path that is not there fails."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def export_ranks(rows: DataFrame, folder: str, day: str) -> str:

@@ -6,14 +6,16 @@ import csv
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from sievebed.fixed_values import HISTORY_COLUMNS
 from sievebed.functions.checks import keep_here
 from sievebed.functions.numbers import text_to_null, whole_number
 from sievebed.functions.text import strip
 from sievebed.operators.flatten import quoted
+from sievebed.workspace import staged
 
 KEY_TABLE = StructType(
     [
@@ -24,6 +26,9 @@ KEY_TABLE = StructType(
 )
 
 
+#: Up to this size the headers of all files are sent to every executor.
+BROADCAST_BYTES = 64 << 20
+
 _CORRUPT = "_corrupt_record"
 # White space between the tokens of a JSON text.
 _JSON_BLANKS = " \t\r\n"
@@ -184,16 +189,16 @@ def _csv(spark: SparkSession, multi_line: bool = False) -> DataFrameReader:
     return spark.read.option("escape", '"').option("multiLine", multi_line)
 
 
-def _files_by_header(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
-    """The header lines found in the files of a folder, each with its files; a row per file comes back."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
-        "value",
-    )
-    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    found = heads.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
-    return [(row.header, row.files) for row in found.orderBy("header").collect()]
+@F.arrow_udf(ArrayType(StringType()))
+def _fields(headers: pa.Array) -> pa.Array:
+    return pa.array([next(csv.reader([line]), []) for line in headers.to_pylist()], pa.list_(pa.string()))
+
+
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, header, fields)`` of every file: its first line that is not blank."""
+    lines = spark.read.text(path).select("value", *_place()).where(F.trim("value") != "")
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("header"))
+    return staged(first.withColumn("fields", _fields("header")), "csv-headers")
 
 
 def scan_named_csv(
@@ -205,24 +210,58 @@ def scan_named_csv(
 ) -> DataFrame:
     """Text columns of CSV files picked by their header names, in the order asked for.
 
-    Every file is read by its own header, so files of one folder may order their columns differently; the
-    headers take a pass over the files.  A row of more or fewer fields than its header, or a header
-    without one of the names, fails the query.  Give ``multi_line`` for line breaks inside quotes; such
+    Every file is read by its own header, so files of one folder may order their columns differently, and
+    have others besides; the headers take a pass over the files, and are joined with the rows by file where they
+    differ.  No list of files comes to the driver.  A row of more or fewer fields than its header, or a
+    header without one of the names, fails the query.  Give ``multi_line`` for line breaks inside quotes; such
     files cannot be split.
     """
-    strict = _csv(spark, multi_line).option("mode", "FAILFAST").option("columnPruning", False)
-    parts = []
-    for header, files in _files_by_header(spark, path):
-        own = next(csv.reader([header]))
-        missing = [name for name in names if name not in own]
-        if missing:
-            raise ValueError(f"no column {missing} in {files[0]}")
-        schema = StructType([StructField(name, StringType()) for name in own])
-        read = strict.option("header", True).option("enforceSchema", False).schema(schema).csv(files)
-        parts.append(read.select(*map(quoted, names), *_line_order(order_into)))
-    if not parts:
+    heads = _headers(spark, path)
+    lacking = F.size(F.array_except(F.array(*map(F.lit, names)), "fields")) > 0
+    found = heads.agg(
+        F.min("header").alias("least"), F.max("header").alias("most"), F.max(F.size("fields")).alias("widest"),
+        F.min_by(F.struct("file", "fields"), F.when(lacking, F.col("file"))).alias("lacking"),
+        F.sum(F.octet_length("file") + F.octet_length("header") + 64).alias("bytes"),
+    ).first()
+    if found["least"] is None:
         raise ValueError(f"no CSV file in {path}")
-    return reduce(DataFrame.union, parts)
+    if found["lacking"] is not None:
+        missing = [name for name in names if name not in found["lacking"]["fields"]]
+        raise ValueError(f"no column {missing} in {found['lacking']['file']}")
+    if found["least"] == found["most"]:
+        strict = _csv(spark, multi_line).option("mode", "FAILFAST").option("columnPruning", False)
+        schema = StructType([StructField(name, StringType()) for name in next(csv.reader([found["least"]]))])
+        read = strict.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+        return read.select(*map(quoted, names), *_line_order(order_into))
+    return _by_own_header(spark, path, names, order_into, multi_line, heads, found["widest"], found["bytes"])
+
+
+def _by_own_header(
+    spark: SparkSession, path: str, names: tuple[str, ...], order_into: str | None, multi_line: bool, heads: DataFrame,
+    widest: int, size: int,
+) -> DataFrame:
+    """Records as they stand, each parsed under as many fields as its file's header has."""
+    # Under one field more than any header has, every record is set aside whole; the header lines are passed over.
+    more = StructType([*[StructField(f"_c{i}", StringType()) for i in range(widest + 1)], StructField(_CORRUPT, StringType())])
+    reader = _csv(spark, multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+    read = reader.option("columnPruning", False).option("header", True).schema(more).csv(path)
+    surplus = F.raise_error(F.concat(F.lit("malformed: more fields than any header has, first "), F.col("_c0")))
+    record = F.coalesce(F.col(_CORRUPT), surplus).alias("_record")
+    records = read.select(record, F.col("_metadata.file_path").alias("file"), *_line_order(order_into))
+    widths = sorted(row[0] for row in heads.select(F.size("fields")).distinct().collect())
+    at = [F.array_position("fields", name).cast("int").alias(f"_at{i}") for i, name in enumerate(names)]
+    placed = heads.select("file", F.size("fields").alias("_width"), *at)
+    joined = records.join(F.broadcast(placed) if size <= BROADCAST_BYTES else placed, "file")
+
+    def values(width: int) -> Column:
+        kind = ", ".join(f"_c{i} string" for i in range(width))
+        row = F.from_csv("_record", kind, {"escape": '"', "mode": "FAILFAST", "multiLine": str(multi_line).lower()})
+        return F.array(*[row[f"_c{i}"] for i in range(width)])
+
+    cells = reduce(lambda found, w: found.when(F.col("_width") == w, values(w)), widths[1:], F.when(F.col("_width") == widths[0], values(widths[0])))
+    order = [order_into] if order_into is not None else []
+    picked = [F.get("_cells", F.col(f"_at{i}") - 1).alias(name) for i, name in enumerate(names)]
+    return joined.withColumn("_cells", cells).select(*picked, *order)
 
 
 def scan_key_table(

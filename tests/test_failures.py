@@ -127,6 +127,47 @@ def test_csv_of_several_headers(spark, tmp_path):
         readers.scan_key_table(spark, str(folder)).collect()
 
 
+def test_csv_of_many_headers(spark, tmp_path):
+    """Each file has its own order and number of columns; large ones are read in several parts."""
+    wanted = []
+    for n in range(60):
+        names = ["key", "value", *[f"more{i}" for i in range(n % 4)]]
+        names = names[n % 3 :] + names[: n % 3]
+        lines = [",".join(f'"{name}"' if n % 2 else name for name in names)]
+        for row in range(400 if n == 7 else 3):
+            cells = {"key": f'"{n}, ""{row}"""', "value": "" if row == 1 else f"v{row}"}
+            lines.append(",".join(cells.get(name, "x") for name in names))
+            wanted.append((f'{n}, "{row}"', None if row == 1 else f"v{row}"))
+        (tmp_path / f"{n}.csv").write_text(("\n" if n == 5 else "") + "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        for multi_line in (False, True):
+            read = readers.scan_named_csv(spark, str(tmp_path), ("key", "value"), order_into="at", multi_line=multi_line)
+            assert sorted(map(repr, ((r.key, r.value) for r in read.collect()))) == sorted(map(repr, wanted))
+        ordered = readers.scan_named_csv(spark, str(tmp_path), ("key",), order_into="at").where("key LIKE '7,%'").orderBy("at")
+        assert [r.key for r in ordered.collect()] == [f'7, "{row}"' for row in range(400)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("surplus", ["a,1,2,3,4", "a,1,2,3", "a", 'a,1,2,3,4,5,"6'])
+def test_csv_rows_that_do_not_fit_their_own_header(spark, tmp_path, surplus):
+    (tmp_path / "1.csv").write_text(f"k,v\nb,1\n{surplus}\n")
+    (tmp_path / "2.csv").write_text("v,k,w,x\n1,c,2,3\n")
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        readers.scan_named_csv(spark, str(tmp_path), ("k",)).collect()
+
+
+def test_csv_headers_without_a_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "BROADCAST_BYTES", 0)
+    (tmp_path / "1.csv").write_text("k,v\na,1\n")
+    (tmp_path / "2.csv").write_text("v,k\n2,b\n")
+    assert sorted(map(tuple, readers.scan_named_csv(spark, str(tmp_path), ("k", "v")).collect())) == [("a", "1"), ("b", "2")]
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="no CSV file"):
+        readers.scan_named_csv(spark, str(tmp_path / "empty"), ("k",))
+
+
 def test_csv_line_breaks_in_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,y\n1,"two\nlines"\n')
     read = readers.scan_named_csv(spark, str(tmp_path / "a.csv"), ("y",), multi_line=True)
