@@ -10,12 +10,17 @@ tile is computed again from the original vectors in double precision; heaps keep
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, FloatType
+
+from sievebed.llm.tables import written
 
 #: Rows of a block of candidates and of one of queries: a tile takes some 100 MB.
 CANDIDATES, QUERIES = 8192, 1024
@@ -91,16 +96,22 @@ def usable(vector: Column) -> Column:
 
 
 def _packed(vectors: DataFrame, size: int, side: str) -> DataFrame:
-    """Blocks of vectors of one width: ``(side_block, width, side_ids, side_vectors)``, the last two binary."""
+    """Blocks of vectors of one width: ``(side_block, width, side_ids, side_vectors)``, the last two binary.
+
+    Which rows share a block, and its number, hang on the order in which rows arrive.  So the blocks are written
+    once, and whoever needs them reads the same ones.  Vectors of floats stay floats until a tile is computed.
+    """
     names = [f"{side}_block", "width", f"{side}_ids", f"{side}_vectors"]
+    kind = np.float32 if vectors.schema["vector"].dataType.elementType == FloatType() else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        count = itertools.count()
 
         def packed(width: int) -> pa.RecordBatch:
             ids = np.concatenate([x for x, _ in held[width]])
             rows = np.concatenate([x for _, x in held.pop(width)])
-            number = int(np.bitwise_xor.reduce(ids * np.int64(0x5851F42D4C957F2D) + np.int64(len(ids))))
+            number = TaskContext.get().partitionId() << 33 | next(count)
             columns = [pa.array([number]), pa.array([width], pa.int32()), pa.array([ids.tobytes()], pa.binary()),
                        pa.array([rows.tobytes()], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names)
@@ -111,18 +122,19 @@ def _packed(vectors: DataFrame, size: int, side: str) -> DataFrame:
             flat = lists.flatten().to_numpy()
             starts = np.cumsum(widths) - widths
             for width in np.unique(widths).tolist():
-                most = max(1, min(size, BLOCK_BYTES // (8 * width)))
+                most = max(1, min(size, BLOCK_BYTES // (8 * width)))  # bytes in double precision
                 rows = np.flatnonzero(widths == width)
                 for low in range(0, len(rows), most):
                     some = rows[low : low + most]
-                    values = flat[starts[some][:, None] + np.arange(width)].astype(np.float64)
+                    values = flat[starts[some][:, None] + np.arange(width)].astype(kind)
                     if sum(len(x) for x, _ in held.get(width, ())) + len(some) > most:
                         yield packed(width)
                     held.setdefault(width, []).append((ids[some], values))
         for width in list(held):
             yield packed(width)
 
-    return vectors.mapInArrow(run, f"{names[0]} long, width int, {names[2]} binary, {names[3]} binary")
+    packed = vectors.mapInArrow(run, f"{names[0]} long, width int, {names[2]} binary, {names[3]} binary")
+    return written(packed, f"{side}_blocks")
 
 
 def nearest(
@@ -136,8 +148,9 @@ def nearest(
     part; vectors of different widths do not meet.  Of a repeated query the result is given once; a repeated
     candidate is one candidate if its vector is the same, and counts with its best vector otherwise.
     """
+    floats = embeddings.schema[vector].dataType == ArrayType(FloatType(), True)
     rows = embeddings.select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"),
+        F.col(vec_id).cast("long").alias("vec_id"), (F.col(vector) if floats else F.col(vector).cast("array<double>")).alias("vector"),
         is_query.alias("is_query"),
     ).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     queries = _packed(rows.where("is_query").select("vec_id", "vector").distinct(), QUERIES, "query")
@@ -146,13 +159,15 @@ def nearest(
     blocks = candidates.select("near_block", "width").distinct()
     tiles = queries.join(blocks, "width").join(candidates, ["near_block", "width"])
 
+    kind = np.float32 if floats else np.float64
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for tile in batch.select(["width", "query_ids", "query_vectors", "near_ids", "near_vectors"]).to_pylist():
                 width = tile["width"]
                 q, c = (
                     block(np.frombuffer(tile[f"{side}_ids"], np.int64),
-                          np.frombuffer(tile[f"{side}_vectors"], np.float64).reshape(-1, width))
+                          np.frombuffer(tile[f"{side}_vectors"], kind).reshape(-1, width).astype(np.float64))
                     for side in ("query", "near")
                 )
                 found = [(query, near, score) for query, best in best_of_tile(q, c, k) for score, near in best]

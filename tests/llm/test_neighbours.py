@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +70,20 @@ def test_copies_of_a_near_row_leave_room_for_others(spark, same):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
     found = neighbours.nearest(frame, F.col("vec_id") % 5 == 0, 6).where("query_id < 50").collect()
     assert sorted(map(tuple, found)) == [x for x in plain(rows, 6, 5) if x[0] < 50]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_rows_that_arrive_in_another_order_each_time(spark, monkeypatch, kind):
+    """No block is lost when the rows of a partition are packed in another order, as after a lost executor."""
+    monkeypatch.setattr(neighbours, "CANDIDATES", 16)
+    monkeypatch.setattr(neighbours, "QUERIES", 8)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(250)]
+    place = F.udf(lambda _: random.random(), "double").asNondeterministic()("vec_id")
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    shaken = frame.withColumn("place", place).repartition(2, "place").sortWithinPartitions("place").drop("place")
+    packed = neighbours._packed(shaken.withColumnRenamed("embedding", "vector"), 16, "near")
+    both = [sorted((r.near_block, r.near_ids) for r in packed.collect()) for _ in range(2)]
+    assert both[0] == both[1]
+    found = neighbours.nearest(shaken, F.col("vec_id") % 5 == 0, 6)
+    assert sorted(map(tuple, found.collect())) == plain(rows, 6, 5)
