@@ -79,7 +79,7 @@ def test_rows_that_arrive_in_another_order_each_time(spark, monkeypatch, kind):
     monkeypatch.setattr(neighbours, "QUERIES", 8)
     rng = np.random.default_rng(8)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(250)]
-    place = F.udf(lambda _: random.random(), "double").asNondeterministic()("vec_id")
+    place = F.udf(lambda _: random.SystemRandom().random(), "double").asNondeterministic()("vec_id")
     frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
     shaken = frame.withColumn("place", place).repartition(2, "place").sortWithinPartitions("place").drop("place")
     packed = neighbours._packed(shaken.withColumnRenamed("embedding", "vector"), 16, "near")
