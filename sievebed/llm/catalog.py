@@ -108,9 +108,9 @@ def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select(
         "doc_id", F.crc32(F.col("text").cast("binary")).alias("text_crc32"), "text"
     )
-    back = pieces.decoded(pieces.encoded(documents).withColumn("kept_ids", F.col("ids")))
+    back = pieces.decoded(pieces.encoded(documents), keep_ids=True)
     return back.select(
-        "doc_id", F.size("kept_ids").cast("long").alias("n_pieces"), F.col("kept_ids").alias("ids"),
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
         F.crc32(F.col("text").cast("binary")).eqNullSafe(F.col("text_crc32")).alias("round_trip"),
     )
 

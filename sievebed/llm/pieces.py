@@ -12,6 +12,7 @@ blanks, and texts are cut there.  Tasks remember the ids of short stretches, mos
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -31,8 +32,10 @@ BLANK = "▁"
 #: What an unknown character costs beyond the lowest score, as in the library's unigram search.
 UNKNOWN_COST = 10.0
 _NEVER = float("-inf")
-#: Stretches a task remembers, and the longest one it does.
-REMEMBERED, LONGEST = 120_000, 48
+#: In place of a piece: an unknown character.
+_BYTES = (-1, 1, 0.0)
+#: Stretches a task learns before it forgets those it has not met since it last forgot, and ids of theirs together.
+REMEMBERED, IDS = 120_000, 4_000_000
 #: Code points of a text cut into stretches at a time.
 AT_ONCE = 1 << 18
 
@@ -80,28 +83,24 @@ def viterbi(text: str, words: Vocabulary) -> list[int]:
 
     A character that is no piece of its own may also be unknown, at a cost, and is then given as bytes.
     """
-    best = [0.0] * (len(text) + 1)
-    came: list[tuple[int, int]] = [(-1, 1)] * (len(text) + 1)  # id and length of the piece ending here; -1: unknown
-    reached = 0
-    lonely = not words.singles.issuperset(text)
     # Matches come by their end, and of one end the longest first: along the output links.
-    for last, (piece, length, score) in words.automaton.iter(text):
-        end = last + 1
-        if end != reached:
-            if lonely:
-                _bridge(text, reached, end, best, came, words)
-            else:  # each character is a piece, so something ends everywhere
-                best[end] = _NEVER
-            reached = end
-        score += best[end - length]
-        if score > best[end]:
-            best[end], came[end] = score, (piece, length)
-    if lonely:
-        _bridge(text, reached, len(text), best, came, words)
+    if words.singles.issuperset(text):
+        best, came, reached = [0.0], [_BYTES], 0  # each character is a piece, so something ends everywhere
+        for last, piece in words.automaton.iter(text):
+            _, length, score = piece
+            score += best[last + 1 - length]
+            if last == reached:
+                reached += 1
+                best.append(score)
+                came.append(piece)
+            elif score > best[reached]:
+                best[reached], came[reached] = score, piece
+    else:
+        came = _with_unknown(text, words)
     ids: list[int] = []
     at = len(text)
     while at:
-        piece, length = came[at]
+        piece, length, _ = came[at]
         if piece >= 0:
             ids.append(piece)
         else:
@@ -111,47 +110,128 @@ def viterbi(text: str, words: Vocabulary) -> list[int]:
     return ids
 
 
+def _with_unknown(text: str, words: Vocabulary) -> list[tuple[int, int, float]]:
+    """The last piece of the best segmentation up to each position, where characters may be unknown."""
+    best = [0.0] * (len(text) + 1)
+    came = [_BYTES] * (len(text) + 1)
+    reached = 0
+    for last, piece in words.automaton.iter(text):
+        end = last + 1
+        if end != reached:
+            _bridge(text, reached, end, best, came, words)
+            reached = end
+        score = piece[2] + best[end - piece[1]]
+        if score > best[end]:
+            best[end], came[end] = score, piece
+    _bridge(text, reached, len(text), best, came, words)
+    return came
+
+
 def _bridge(text: str, start: int, end: int, best: list, came: list, words: Vocabulary) -> None:
     """Scores of the positions after ``start`` up to ``end`` as reached by unknown characters only."""
     for at in range(start + 1, end + 1):
         known = text[at - 1] in words.singles
-        best[at], came[at] = _NEVER if known else best[at - 1] + words.unknown, (-1, 1)
+        best[at], came[at] = _NEVER if known else best[at - 1] + words.unknown, _BYTES
+
+
+class _Known(dict[str, int]):
+    """Stretches by number, their ids in one array; one that is asked for and not there is learned.
+
+    When it has learned enough it keeps what it knows as ``older`` and begins anew: so what comes again
+    stays, and what does not is forgotten the next time.
+    """
+
+    def __init__(self, words: Vocabulary, older: _Known | None = None) -> None:
+        super().__init__()
+        self.words, self.older = words, older
+        self.ids, self.ends = array("i"), array("q", [0])
+
+    def __missing__(self, stretch: str) -> int:
+        older, number = self.older, len(self)
+        at = older.get(stretch) if older is not None else None
+        if at is None:
+            self.ids.extend(viterbi(stretch, self.words))
+        else:
+            self.ids.extend(older.ids[older.ends[at] : older.ends[at + 1]])
+        self.ends.append(len(self.ids))
+        self[stretch] = number
+        return number
+
+    def next(self) -> _Known:
+        if len(self) < REMEMBERED and len(self.ids) < IDS:
+            return self
+        self.older = None
+        return _Known(self.words, self)
 
 
 class Encoder:
+    """Encodes and decodes texts, whole batches at a time."""
+
     def __init__(self, name: str = VOCABULARY) -> None:
         self.words = vocabulary(name)
-        self.known: dict[str, list[int]] = {}
+        self.surfaces = pa.array(self.words.surfaces, pa.large_binary())
+        self.known = _Known(self.words)
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text, with the blank that SentencePiece puts before every text that is not empty."""
-        ids: list[int] = []
-        known, words = self.known, self.words
-        for stretch in self._stretches(text):
-            found = known.get(stretch)
-            if found is None:
-                found = viterbi(stretch, words)
-                if len(stretch) <= LONGEST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[stretch] = found
-            ids += found
-        return ids
-
-    def _stretches(self, text: str) -> Iterator[str]:
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where those of each begin and end; a null text has none.
+
+        SentencePiece puts a blank before every text that is not empty.
+        """
+        self.known = self.known.next()
+        numbers: list[int] = []
+        ends, number_of = [0], self.known.__getitem__
+        for text in texts:
+            for stretches in self._stretches(text or ""):
+                numbers += map(number_of, stretches)
+            ends.append(len(numbers))
+        found = np.array(numbers, np.int64)
+        edges, known_ids = np.array(self.known.ends), np.array(self.known.ids, np.int32)
+        starts = edges[found]
+        sizes = edges[found + 1] - starts
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = known_ids[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
+        return ids, before[np.array(ends)]
+
+    def _stretches(self, text: str) -> Iterator[list[str]]:
+        """The stretches of a text, a bounded part of it at a time."""
         if not text:
             return
         marked = " " + text
         if len(marked) <= AT_ONCE:
-            yield from self.words.stretch.findall(marked)
-        else:
-            for found in self.words.stretch.finditer(marked):
-                yield found[0]
+            yield self.words.stretch.findall(marked)
+            return
+        some, size = [], 0
+        for found in self.words.stretch.finditer(marked):
+            some.append(found[0])
+            size += len(found[0])
+            if size >= AT_ONCE:
+                yield some
+                some, size = [], 0
+        yield some
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0].tolist()
+
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids, less the blank before them; bytes that are no UTF-8 become U+FFFD."""
+        ids = lists.flatten()
+        taken = self.surfaces.take(ids)
+        data = taken.buffers()[2] or pa.py_buffer(b"")
+        places = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8) if len(taken) else np.zeros(1, np.int64)
+        sizes = lists.value_lengths().fill_null(0).to_numpy()
+        bounds = places[np.concatenate([[0], np.cumsum(sizes)])]
+        mask = lists.is_null().to_numpy(zero_copy_only=False)
+        raw = np.frombuffer(data, np.uint8)
+        # The bytes of all texts lie one behind the other; a blank in front of one is left out.
+        starts, ends = bounds[:-1], bounds[1:]
+        full = starts < ends
+        starts = starts + (full & (raw[np.where(full, starts, 0)] == 32) if len(raw) else 0)
+        view = memoryview(data)
+        texts = [None if gone else str(view[a:b], "utf-8", "replace") for a, b, gone in zip(starts.tolist(), ends.tolist(), mask.tolist(), strict=True)]
+        return pa.array(texts, pa.string())
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids, less the blank before it; bytes that are no UTF-8 become U+FFFD."""
-        text = b"".join(map(self.words.surfaces.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return self.decode_all(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
 
 
 def encoded(documents: DataFrame, text: str = "text", *, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -166,23 +246,28 @@ def encoded(documents: DataFrame, text: str = "text", *, vocabulary: str = VOCAB
         encoder = Encoder(vocabulary)
         for batch in sliced(batches):
             *others, texts = batch.columns
-            ids = [None if value is None else np.array(encoder.encode(value), np.int32) for value in texts.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(ids, pa.list_(pa.int32()))], schema.names)
+            ids, ends = encoder.encode_all(texts.to_pylist())
+            mask = texts.is_null() if texts.null_count else None
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids), mask=mask)
+            yield pa.RecordBatch.from_arrays([*others, lists], schema.names)
 
     return documents.select(*kept, text).mapInArrow(run, schema)
 
 
-def decoded(frame: DataFrame, ids: str = "ids", *, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """``frame`` with ``text`` instead of the ids; null for null.  A column of that name is replaced."""
+def decoded(
+    frame: DataFrame, ids: str = "ids", *, text: str = "text", vocabulary: str = VOCABULARY, keep_ids: bool = False
+) -> DataFrame:
+    """``frame`` with ``text`` instead of the ids, or behind them; null for null.  A column of that name is replaced."""
     kept = without(frame, [text, ids]).columns
-    schema = frame.select(*kept, F.lit("").alias(text)).schema
+    schema = frame.select(*kept, *([ids] if keep_ids else []), F.lit("").alias(text)).schema
     schema[text].nullable = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in sliced(batches):
             *others, lists = batch.columns
-            texts = [None if value is None else encoder.decode(value) for value in lists.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(texts, pa.string())], schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [*others, *([lists] if keep_ids else []), encoder.decode_all(lists)], schema.names
+            )
 
     return frame.select(*kept, ids).mapInArrow(run, schema)
