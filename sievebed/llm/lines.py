@@ -4,8 +4,8 @@ Equal lines are one line, known by its hash.  Lines are signed by the minima of
 their character shingles, and meet others in buckets of equal bands of the signature.  In each bucket all
 lines are held against its most frequent one, so a bucket of n lines gives n - 1 candidates at most.  What
 the exact Jaccard similarity confirms is joined by union-find.  Pairs of a bucket not joined by then are
-compared too.  A line takes along one bit of each minimum; of lines of similarity 0.8 these agree in nine
-of ten, so candidates whose bits agree in far fewer are left out before any text is moved.
+compared too.  A pair is passed over without a look at its texts only where its similarity cannot reach the
+threshold: shingles that one line has marked and the other has not are in one of them alone.
 """
 
 from __future__ import annotations
@@ -25,15 +25,11 @@ from sievebed.llm.tables import sliced, unused, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bands of rows: two lines of similarity 0.8 share a bucket with probability 0.991, of 0.85 with 0.999, of
+#: Bands of rows: two lines of similarity 0.8 share a bucket with probability 0.996, of 0.85 with 0.9997, of
 #: 0.1 with 0.0001.
-BANDS, ROWS = 12, 5
-#: Bits that lines may differ in, of the one kept of each minimum: lines of similarity 0.8 differ in 6 of
-#: 60, and in more than 16 once in 20,000 times.
-BITS_APART = 16
-#: Bits of the longer sketch that decides where many lines are much alike, and how many may differ: lines of
-#: similarity 0.8 differ in 205, and in more than 250 once in 2,000 times; of 0.75 in 256, of 0.7 in 307.
-SKETCH_BITS, SKETCH_APART = 2048, 250
+BANDS, ROWS = 14, 5
+#: Bits that a line's shingles are marked in.
+MARKS = 512
 #: Code points signed at a time.
 STRETCH = 1 << 19
 #: Shingles of lines a task keeps while it compares.
@@ -123,21 +119,14 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def kept_bits(minima: np.ndarray) -> np.ndarray:
-    """One bit of each minimum of a line, as a long."""
-    bits = ((minima >> np.uint32(3)) & np.uint32(1)).astype(np.uint64)
-    return (bits << np.arange(minima.shape[1], dtype=np.uint64)).sum(axis=1).view(np.int64)
-
-
 def _banded(documents: DataFrame, text: str) -> DataFrame:
-    """``(bucket, line_key, bits)`` of the lines of all texts; of equal lines in a batch, one."""
+    """``(bucket, line_key)`` of the lines of all texts; of equal lines in a batch, one."""
 
     def rows(lines: dict[str, None]) -> pa.RecordBatch:
         distinct = list(lines)
-        minima = signatures(distinct)
         own = np.array([line_key(line) for line in distinct], np.int64)
-        columns = [band_keys(minima).ravel(), own.repeat(BANDS), kept_bits(minima).repeat(BANDS)]
-        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["bucket", "line_key", "bits"])
+        columns = [band_keys(signatures(distinct)).ravel(), own.repeat(BANDS)]
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["bucket", "line_key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 4096):
@@ -154,31 +143,31 @@ def _banded(documents: DataFrame, text: str) -> DataFrame:
             if held:
                 yield rows(held)
 
-    return documents.select(text).mapInArrow(run, "bucket long, line_key long, bits long")
+    return documents.select(text).mapInArrow(run, "bucket long, line_key long")
 
 
 def _members(banded: DataFrame) -> DataFrame:
-    """``(bucket, line_key, bits, n)``: the distinct lines of every bucket of several, and their occurrences.
+    """``(bucket, line_key, n)``: the distinct lines of every bucket of several, and their occurrences.
 
     Buckets stream by in order; only the current line is held.
     """
-    names = ["bucket", "line_key", "bits", "n"]
+    names = ["bucket", "line_key", "n"]
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        last = np.zeros((0, 4), np.int64)  # the line that may go on in the next batch
+        last = np.zeros((0, 3), np.int64)  # the line that may go on in the next batch
         for batch in batches:
             rows = np.stack([column.to_numpy() for column in batch.columns], axis=1)
             rows = np.concatenate([last, np.column_stack([rows, np.ones(len(rows), np.int64)])])
             if len(rows):
                 opens = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]))
                 lines = rows[opens]
-                lines[:, 3] = np.add.reduceat(rows[:, 3], opens)
+                lines[:, 2] = np.add.reduceat(rows[:, 2], opens)
                 yield lines[:-1]
                 last = lines[-1:]
         yield last
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 4), np.int64)
+        held = np.zeros((0, 3), np.int64)
         shared = False  # whether the line held has followed another of its bucket
         for lines in distinct(batches):
             lines = np.concatenate([held, lines])
@@ -197,7 +186,7 @@ def _members(banded: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(column)) for column in lines.T], names)
 
     dealt = banded.repartition("bucket").sortWithinPartitions("bucket", "line_key")
-    return dealt.mapInArrow(run, "bucket long, line_key long, bits long, n long")
+    return dealt.mapInArrow(run, "bucket long, line_key long, n long")
 
 
 def shingles(line: str) -> set[str]:
@@ -209,11 +198,54 @@ def jaccard(a: set[str], b: set[str]) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def marks_of(found: set[str]) -> list[int]:
+    """The bits of a line's shingles, as longs."""
+    points = np.frombuffer("".join(piece.ljust(SHINGLE, "\0") for piece in found).encode("utf-32-le", "surrogatepass"), np.uint32)
+    hashed = np.zeros(len(found), np.uint64)
+    for column in points.reshape(-1, SHINGLE).T:
+        hashed = (hashed ^ column) * np.uint64(0x9E3779B97F4A7C15)
+    bits = np.zeros(MARKS, bool)
+    bits[(hashed >> np.uint64(40)) % np.uint64(MARKS)] = True
+    return np.packbits(bits).view(np.int64).tolist()
+
+
+def _described(texts: DataFrame) -> DataFrame:
+    """``(line_key, line, size, marks)``: lines with the number of their shingles and the bits these mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            sizes, marks = [], []
+            for line in batch.column(1).to_pylist():
+                found = shingles(line)
+                sizes.append(len(found))
+                marks.append(marks_of(found))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(sizes, pa.int64()), pa.array(marks, pa.list_(pa.int64()))],
+                ["line_key", "line", "size", "marks"],
+            )
+
+    return texts.mapInArrow(run, "line_key long, line string, size long, marks array<long>")
+
+
+def _may_be_near(size_a: Column, marks_a: Column, size_b: Column, marks_b: Column) -> Column:
+    """Whether the similarity can reach the threshold: an exact bound, so no near pair fails it."""
+
+    def alone(one: Column, other: Column) -> Column:
+        """At least so many shingles of one line are not the other's."""
+        return reduce(add, (
+            F.bit_count(F.get(one, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in range(MARKS // 64)
+        ))
+
+    both = F.least(size_a - alone(marks_a, marks_b), size_b - alone(marks_b, marks_a))
+    return both / (size_a + size_b - both) >= SIMILARITY
+
+
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(a, b, similarity)`` of pairs of line keys: the exact Jaccard similarity of their shingle sets."""
-    firsts = texts.select(F.col("line_key").alias("a"), F.col("line").alias("line_a"))
-    seconds = texts.select(F.col("line_key").alias("b"), F.col("line").alias("line_b"))
-    joined = pairs.join(seconds, "b").join(firsts, "a").select("a", "b", "line_a", "line_b")
+    """``(a, b, similarity)`` of pairs of line keys that may be near: the exact Jaccard similarity of their shingle sets."""
+    firsts = texts.toDF("a", "line_a", "size_a", "marks_a")
+    seconds = texts.toDF("b", "line_b", "size_b", "marks_b")
+    bound = _may_be_near(*map(F.col, ("size_a", "marks_a", "size_b", "marks_b")))
+    joined = pairs.join(seconds, "b").join(firsts, "a").where(bound).select("a", "b", "line_a", "line_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, set[str]] = {}  # lines that come again within the task
@@ -255,70 +287,36 @@ def _texts(documents: DataFrame, text: str, keys: DataFrame) -> DataFrame:
     return found.join(keys, "line_key", "left_semi").groupBy("line_key").agg(F.min("line").alias("line"))
 
 
-def _alike(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= BITS_APART
-
-
 def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     """``(node, component)`` of the lines that are near another, unequal one, by line key."""
     members = written(_members(_banded(documents, text)), "line_members")
-    first = F.max(F.struct("n", (-F.col("line_key")).alias("order"), F.col("line_key").alias("hub"), F.col("bits").alias("hub_bits")))
-    hubs = written(members.groupBy("bucket").agg(first.alias("first")).select("bucket", "first.hub", "first.hub_bits"), "line_hubs")
-    beside = members.join(hubs, "bucket").where((F.col("line_key") != F.col("hub")) & _alike("bits", "hub_bits"))
+    # One pass brings the texts of all lines that share a bucket with another.
+    ends = written(members.select("line_key").distinct(), "line_ends")
+    texts = written(_described(_texts(documents, text, ends)), "line_texts")
+    first = F.max(F.struct("n", (-F.col("line_key")).alias("order"), F.col("line_key").alias("hub")))
+    hubs = written(members.groupBy("bucket").agg(first.alias("first")).select("bucket", "first.hub"), "line_hubs")
+    beside = members.join(hubs, "bucket").where(F.col("line_key") != F.col("hub"))
     pairs = written(beside.select(F.col("hub").alias("a"), F.col("line_key").alias("b")).distinct(), "line_pairs")
-    found = written(components(_near(documents, text, pairs)), "line_components")
+    found = written(components(_near(pairs, texts)), "line_components")
 
     # Lines outside the component of their bucket's hub, and others of the bucket they may be near.
-    named = members.join(hubs.select("bucket", "hub"), "bucket").join(
+    named = members.join(hubs, "bucket").join(
         found.toDF("line_key", "own"), "line_key", "left").join(found.toDF("hub", "hubs"), "hub", "left").select(
-        "bucket", "line_key", "bits", F.coalesce("own", "line_key").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
+        "bucket", "line_key", F.coalesce("own", "line_key").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
     named = written(named, "line_named")
-    apart = named.where("own <> hubs").toDF("bucket", "b", "bits_b", "own_b", "hubs_b")
+    apart = named.where("own <> hubs")
+    sizes = texts.drop("line")
+    beside = named.join(apart.select("bucket").distinct(), "bucket", "left_semi").join(sizes, "line_key")
+    others = apart.join(sizes, "line_key").toDF("b", "bucket", "own_b", "hubs_b", "size_b", "marks_b")
     unlike = (F.col("own") != F.col("own_b")) & ((F.col("own") == F.col("hubs")) | (F.col("line_key") < F.col("b")))
-    # First the lines alone, which stay few where pairs would be many; then pairs by the longer sketch.
-    sides = [
-        written(some.join(other, (some["bucket"] == other["bucket"]) & unlike & _alike("bits", "bits_b"), "left_semi"), "line_apart")
-        for some, other in ((named, apart), (apart, named))
-    ]
-    keys = written(sides[0].select("line_key").union(sides[1].select("b")).distinct(), "line_sketch_keys")
-    sketches = written(_sketches(_texts(documents, text, keys)), "line_sketches")
-    firsts = sides[0].join(sketches, "line_key")
-    seconds = sides[1].join(sketches.toDF("b", "bands_b", "sketch_b"), "b")
-    apart_bits = reduce(add, (
-        F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("sketch_b", F.lit(i)))) for i in range(SKETCH_BITS // 64)
-    ))
-    # A pair that shares several buckets is taken in the first.
-    shared = F.coalesce(*[
-        F.when(F.get("bands", F.lit(i)) == F.get("bands_b", F.lit(i)), F.get("bands", F.lit(i))) for i in range(BANDS)
-    ])
-    once = (F.col("bucket") == shared) & unlike & _alike("bits", "bits_b") & (apart_bits <= SKETCH_APART)
-    left = firsts.join(seconds, "bucket").where(once)
-    more = written(left.select(F.col("line_key").alias("a"), "b").distinct(), "line_more_pairs")
-    further = _near(documents, text, more)
-    return components(found.toDF("a", "b").union(further))
-
-
-def _sketches(texts: DataFrame) -> DataFrame:
-    """``(line_key, bands array<long>, sketch array<long>)``: a line's buckets, and one bit of each of many minima."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                some = batch.slice(start, 2000)
-                lines = some.column(1).to_pylist()
-                bands = pa.array(list(band_keys(signatures(lines))), pa.list_(pa.int64()))
-                minima = signatures(lines, SKETCH_BITS)
-                bits = np.packbits((minima >> np.uint32(3)) & np.uint32(1), axis=1).view(np.int64)
-                sketches = pa.array(list(bits), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([some.column(0), bands, sketches], ["line_key", "bands", "sketch"])
-
-    return texts.mapInArrow(run, "line_key long, bands array<long>, sketch array<long>")
+    bound = _may_be_near(*map(F.col, ("size", "marks", "size_b", "marks_b")))
+    left = beside.join(others, "bucket").where(unlike & bound)
+    more = written(left.select(F.least("line_key", "b").alias("a"), F.greatest("line_key", "b").alias("b")).distinct(), "line_more_pairs")
+    return components(found.toDF("a", "b").union(_near(more, texts)))
 
 
-def _near(documents: DataFrame, text: str, pairs: DataFrame) -> DataFrame:
+def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of the pairs of line keys whose lines are similar enough."""
-    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct(), "line_ends")
-    texts = written(_texts(documents, text, ends), "line_texts")
     return _compared(pairs, texts).where(F.col("similarity") >= SIMILARITY).select("a", "b")
 
 
