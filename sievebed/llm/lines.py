@@ -29,7 +29,7 @@ SIMILARITY = 0.8
 #: 0.1 with 0.0001.
 BANDS, ROWS = 14, 5
 #: Bits that a line's shingles are marked in.
-MARKS = 512
+MARKS = 1024
 #: Code points signed at a time.
 STRETCH = 1 << 19
 #: Shingles of lines a task keeps while it compares.
@@ -84,7 +84,8 @@ def signatures(lines: list[str], functions: int = BANDS * ROWS) -> np.ndarray:
     return result
 
 
-def _minima(pieces: list[str], flips: np.ndarray, factors: np.ndarray) -> np.ndarray:
+def _hashed(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of the shingle at every place of the joined pieces, and where those of each start and how many they are."""
     pad = "\0" * (SHINGLE - 1)
     points = np.frombuffer((pad.join(pieces) + pad).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.array([len(piece) for piece in pieces])
@@ -95,10 +96,15 @@ def _minima(pieces: list[str], flips: np.ndarray, factors: np.ndarray) -> np.nda
         hashed += points[i : len(points) - SHINGLE + 1 + i]
     hashed ^= hashed >> np.uint64(29)
     hashed *= np.uint64(0xBF58476D1CE4E5B9)
+    return hashed, starts, np.maximum(1, sizes - SHINGLE + 1)
+
+
+def _minima(pieces: list[str], flips: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    hashed, starts, counts = _hashed(pieces)
     shingles = (hashed >> np.uint64(32)).astype(np.uint32)
     spans = np.empty(2 * len(pieces), np.int64)
     spans[::2] = starts
-    spans[1::2] = starts + np.maximum(1, sizes - SHINGLE + 1)
+    spans[1::2] = starts + counts
     spans = spans[:-1] if spans[-1] >= len(shingles) else spans
     minima = np.empty((len(pieces), len(flips)), np.uint32)
     work = np.empty_like(shingles)
@@ -198,15 +204,28 @@ def jaccard(a: set[str], b: set[str]) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def marks_of(found: set[str]) -> list[int]:
-    """The bits of a line's shingles, as longs."""
-    points = np.frombuffer("".join(piece.ljust(SHINGLE, "\0") for piece in found).encode("utf-32-le", "surrogatepass"), np.uint32)
-    hashed = np.zeros(len(found), np.uint64)
-    for column in points.reshape(-1, SHINGLE).T:
-        hashed = (hashed ^ column) * np.uint64(0x9E3779B97F4A7C15)
-    bits = np.zeros(MARKS, bool)
-    bits[(hashed >> np.uint64(40)) % np.uint64(MARKS)] = True
-    return np.packbits(bits).view(np.int64).tolist()
+def sizes_and_marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How many different shingles each line has, and the bits they mark, as longs; shingles are told apart by 64-bit hashes."""
+    sizes, marks = np.zeros(len(lines), np.int64), np.zeros((len(lines), MARKS // 64), np.int64)
+    first = 0
+    while first < len(lines):
+        last, size = first, 0
+        while last < len(lines) and (last == first or size + len(lines[last]) <= STRETCH):
+            size += len(lines[last])
+            last += 1
+        some = lines[first:last]
+        hashed, starts, counts = _hashed(some)
+        owner = np.repeat(np.arange(len(some)), counts)
+        own = hashed[np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(len(owner))]
+        bits = np.zeros((len(some), MARKS), bool)
+        bits[owner, own >> np.uint64(32) & np.uint64(MARKS - 1)] = True
+        marks[first:last] = np.packbits(bits, axis=1).view(np.int64)
+        order = np.lexsort((own, owner))
+        own, owner = own[order], owner[order]
+        new = np.concatenate([[True], (own[1:] != own[:-1]) | (owner[1:] != owner[:-1])])
+        sizes[first:last] = np.bincount(owner[new], minlength=len(some))
+        first = last
+    return sizes, marks
 
 
 def _described(texts: DataFrame) -> DataFrame:
@@ -214,13 +233,10 @@ def _described(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            sizes, marks = [], []
-            for line in batch.column(1).to_pylist():
-                found = shingles(line)
-                sizes.append(len(found))
-                marks.append(marks_of(found))
+            sizes, marks = sizes_and_marks(batch.column(1).to_pylist())
+            offsets = pa.array(np.arange(0, marks.size + 1, MARKS // 64), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sizes, pa.int64()), pa.array(marks, pa.list_(pa.int64()))],
+                [*batch.columns, pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(marks.ravel()))],
                 ["line_key", "line", "size", "marks"],
             )
 
@@ -311,7 +327,9 @@ def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     unlike = (F.col("own") != F.col("own_b")) & ((F.col("own") == F.col("hubs")) | (F.col("line_key") < F.col("b")))
     bound = _may_be_near(*map(F.col, ("size", "marks", "size_b", "marks_b")))
     left = beside.join(others, "bucket").where(unlike & bound)
-    more = written(left.select(F.least("line_key", "b").alias("a"), F.greatest("line_key", "b").alias("b")).distinct(), "line_more_pairs")
+    met = left.select(F.least("line_key", "b").alias("a"), F.greatest("line_key", "b").alias("b")).distinct()
+    known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = written(met.join(known, ["a", "b"], "left_anti"), "line_more_pairs")
     return components(found.toDF("a", "b").union(_near(more, texts)))
 
 
