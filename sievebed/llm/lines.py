@@ -29,7 +29,7 @@ SIMILARITY = 0.8
 #: 0.1 with 0.0001.
 BANDS, ROWS = 14, 5
 #: Bits that a line's shingles are marked in.
-MARKS = 1024
+MARKS = 512
 #: Code points signed at a time.
 STRETCH = 1 << 19
 #: Shingles of lines a task keeps while it compares.
@@ -229,18 +229,30 @@ def sizes_and_marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _described(texts: DataFrame) -> DataFrame:
-    """``(line_key, line, size, marks)``: lines with the number of their shingles and the bits these mark."""
+    """``(line_key, size, marks)``: the number of a line's shingles and the bits these mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             sizes, marks = sizes_and_marks(batch.column(1).to_pylist())
             offsets = pa.array(np.arange(0, marks.size + 1, MARKS // 64), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(marks.ravel()))],
-                ["line_key", "line", "size", "marks"],
+                [batch.column(0), pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(marks.ravel()))],
+                ["line_key", "size", "marks"],
             )
 
-    return texts.mapInArrow(run, "line_key long, line string, size long, marks array<long>")
+    return texts.select("line_key", "line").mapInArrow(run, "line_key long, size long, marks array<long>")
+
+
+def _with_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The texts with these keys, and hardly any others: so that a join moves few of them."""
+    shared = bitmap(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(may_hold(shared.value, batch.column(0).to_numpy())))
+
+    return texts.mapInArrow(run, texts.schema)
 
 
 def _may_be_near(size_a: Column, marks_a: Column, size_b: Column, marks_b: Column) -> Column:
@@ -257,11 +269,9 @@ def _may_be_near(size_a: Column, marks_a: Column, size_b: Column, marks_b: Colum
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(a, b, similarity)`` of pairs of line keys that may be near: the exact Jaccard similarity of their shingle sets."""
-    firsts = texts.toDF("a", "line_a", "size_a", "marks_a")
-    seconds = texts.toDF("b", "line_b", "size_b", "marks_b")
-    bound = _may_be_near(*map(F.col, ("size_a", "marks_a", "size_b", "marks_b")))
-    joined = pairs.join(seconds, "b").join(firsts, "a").where(bound).select("a", "b", "line_a", "line_b")
+    """``(a, b, similarity)`` of pairs of line keys: the exact Jaccard similarity of their shingle sets."""
+    few = _with_keys(texts, pairs.select(F.explode(F.array("a", "b")).alias("line_key")))
+    joined = pairs.join(few.toDF("b", "line_b"), "b").join(few.toDF("a", "line_a"), "a").select("a", "b", "line_a", "line_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, set[str]] = {}  # lines that come again within the task
@@ -308,7 +318,7 @@ def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     members = written(_members(_banded(documents, text)), "line_members")
     # One pass brings the texts of all lines that share a bucket with another.
     ends = written(members.select("line_key").distinct(), "line_ends")
-    texts = written(_described(_texts(documents, text, ends)), "line_texts")
+    texts = written(_texts(documents, text, ends), "line_texts")
     first = F.max(F.struct("n", (-F.col("line_key")).alias("order"), F.col("line_key").alias("hub")))
     hubs = written(members.groupBy("bucket").agg(first.alias("first")).select("bucket", "first.hub"), "line_hubs")
     beside = members.join(hubs, "bucket").where(F.col("line_key") != F.col("hub"))
@@ -321,8 +331,9 @@ def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
         "bucket", "line_key", F.coalesce("own", "line_key").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
     named = written(named, "line_named")
     apart = named.where("own <> hubs")
-    sizes = texts.drop("line")
-    beside = named.join(apart.select("bucket").distinct(), "bucket", "left_semi").join(sizes, "line_key")
+    near_apart = written(named.join(apart.select("bucket").distinct(), "bucket", "left_semi"), "line_apart")
+    sizes = written(_described(_with_keys(texts, near_apart.select("line_key"))), "line_sizes")
+    beside = near_apart.join(sizes, "line_key")
     others = apart.join(sizes, "line_key").toDF("b", "bucket", "own_b", "hubs_b", "size_b", "marks_b")
     unlike = (F.col("own") != F.col("own_b")) & ((F.col("own") == F.col("hubs")) | (F.col("line_key") < F.col("b")))
     bound = _may_be_near(*map(F.col, ("size", "marks", "size_b", "marks_b")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
 from test_simhash import roots
 
 from sievebed.llm import lines
@@ -104,7 +105,9 @@ def test_no_near_pair_fails_the_bound(spark):
     described = lines._described(frame)
     assert {r.line_key: r.size for r in described.collect()} == {i: len(lines.shingles(t)) for i, t in enumerate(texts)}
     pairs = [(i, j) for i in range(len(texts)) for j in range(i + 1, min(i + 8, len(texts)))]
-    kept = {(r.a, r.b) for r in lines._compared(spark.createDataFrame(pairs, "a long, b long"), described).collect()}
+    both = spark.createDataFrame(pairs, "a long, b long").join(described.toDF("a", "size_a", "marks_a"), "a")
+    bound = lines._may_be_near(*map(F.col, ("size_a", "marks_a", "size_b", "marks_b")))
+    kept = {(r.a, r.b) for r in both.join(described.toDF("b", "size_b", "marks_b"), "b").where(bound).collect()}
     near = {(i, j) for i, j in pairs if lines.jaccard(lines.shingles(texts[i]), lines.shingles(texts[j])) >= lines.SIMILARITY}
     assert near <= kept and len(near) > 50 and len(kept) < len(pairs) / 2
 
@@ -136,8 +139,6 @@ def test_long_lines_are_signed_whole():
 
 
 def test_line_key_is_sparks(spark):
-    from pyspark.sql import functions as F
-
     texts = ["", "a", "é 漢", "x" * 100]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in frame.select(F.xxhash64("t")).collect()] == [lines.line_key(t) for t in texts]
