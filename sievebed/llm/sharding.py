@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievebed.llm.tables import without, written
 
-#: Ranges a shard is made of, and records sampled for each: both bound what is collected or broadcast.
-RANGES, SAMPLED = 64, 24
-#: A range of more than this many times its share of bytes is cut again, this many rounds at most.
-OVERFULL, ROUNDS = 2.5, 3
+#: Ranges a shard is made of at least, bytes of a range beyond that, and records sampled for each range.
+RANGES, RANGE_BYTES, SAMPLED = 64, 1 << 29, 24
+#: Ranges at most, over all shards: bounds what is broadcast (some 30 MB); ranges of very large input grow instead.
+MOST_RANGES = 1 << 18
+#: A range of more than this many times its share of bytes, its largest record aside, is cut again, this many
+#: rounds at most; each round halves such a range or better, so none is left but by many ill samples.
+OVERFULL, ROUNDS = 2.5, 8
 #: Copies of one text stay together if they hold at most this part of a shard.
 TOGETHER = 1e-3
 #: log2 of the buckets of keys over which records meet ranges.
@@ -89,14 +92,17 @@ def byte_shards(
         "shard_rows",
     )
     total = rows.agg(F.sum("__size")).first()[0] or 0
-    target = max(1.0, total / (shards * RANGES))
+    target = max(1.0, total / max(shards * RANGES, min(MOST_RANGES, total // RANGE_BYTES)))
     cuts = written(_cuts(rows, target, 0), "shard_cuts")
     for salt in range(1, ROUNDS + 1):
         ranged = written(_assigned(rows, cuts), "shard_ranges")
         sizes = written(
-            ranged.groupBy("__range").agg(F.sum("__size").alias("__bytes"), F.count("*").alias("__n")), "shard_sizes"
+            ranged.groupBy("__range").agg(
+                F.sum("__size").alias("__bytes"), F.max("__size").alias("__largest"), F.count("*").alias("__n")
+            ),
+            "shard_sizes",
         )
-        overfull = sizes.where((F.col("__bytes") > OVERFULL * target) & (F.col("__n") > 1)).select("__range")
+        overfull = sizes.where(F.col("__bytes") - F.col("__largest") > OVERFULL * target).select("__range")
         if salt == ROUNDS or overfull.isEmpty():
             break
         cuts = written(cuts.union(_cuts(ranged.join(F.broadcast(overfull), "__range", "left_semi"), target, salt)), "shard_cuts")

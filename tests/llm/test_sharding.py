@@ -72,3 +72,31 @@ def test_no_python_in_the_plan(spark):
     frame = spark.createDataFrame([(i, f"t{i}") for i in range(100)], "doc_id long, text string")
     plan = sharding.byte_shards(frame, 4, keep_text=False)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_places_by_the_law_itself(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(sharding, "TOGETHER", 0.01)
+    rows = [(i, f"group {i // 4} " * (1 + i % 11) if i % 5 else "hot text", "e", "s") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, extra string, slot string").repartition(5)
+    ordered = sorted((r.key, r.doc_id, len(r.text) + 1) for r in frame.select(F.xxhash64("text").alias("key"), "doc_id", "text").collect())
+    total, at, starts, sizes = sum(x[2] for x in ordered), 0, {}, defaultdict(int)
+    for key, _, size in ordered:
+        sizes[key] += size
+    wanted, slots = {}, defaultdict(int)
+    for key, doc_id, size in ordered:
+        starts.setdefault(key, at)
+        place = starts[key] if sizes[key] <= 0.01 * total / 8 else at
+        shard = min(7, int(place * 8 / total))
+        wanted[doc_id] = (shard, slots[shard])
+        slots[shard] += 1
+        at += size
+    assert {r.doc_id: (r.shard, r.slot) for r in sharding.byte_shards(frame, 8).collect()} == wanted
+
+
+def test_ranges_by_the_total(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGE_BYTES", 100)
+    monkeypatch.setattr(sharding, "MOST_RANGES", 900)
+    rows = [(i, f"text {i} " * 5, "e", "s") for i in range(4000)]
+    check(rows, place(spark, rows, 2), 2)
