@@ -24,6 +24,8 @@ from sievebed.llm.tables import sliced, without, written
 LEARN_FROM = 40_000
 #: Words and n-grams the model keeps per language (the most frequent): bounds what is broadcast.
 WORDS, GRAMS = 30_000, 30_000
+#: Parts in which the items of a language are ranked before the best of all parts are.
+PARTS = 32
 #: Words seen less often are left to their n-grams.
 LEAST_SEEN = 2
 #: Longest n-gram, and the longest word read; of longer ones each stretch of this length is a word.
@@ -71,10 +73,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _top(counted: DataFrame, kept: int) -> list[tuple[str, str, int]]:
-    """The most frequent items of each language, which is all that leaves Spark."""
-    rows = counted.groupBy("language", "item").agg(F.sum("n").alias("n"))
-    order = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "item"))
-    return [tuple(row) for row in rows.withColumn("place", order).where(F.col("place") <= kept).drop("place").collect()]
+    """The most frequent items of each language, which is all that leaves Spark.
+
+    They are ranked in parts first, so that no task ranks more than ``PARTS * kept`` items of a language.
+    """
+    rows = counted.select("language", "item", "n", F.pmod(F.xxhash64("item"), F.lit(PARTS)).alias("part"))
+    for keys in (["language", "part"], ["language"]):
+        order = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "item"))
+        rows = rows.withColumn("place", order).where(F.col("place") <= kept).drop("place")
+    return [tuple(row) for row in rows.drop("part").collect()]
 
 
 def _counted(labelled: DataFrame) -> DataFrame:
@@ -116,12 +123,14 @@ def _table(rows: list[tuple[str, str, int]], languages: list[str]) -> tuple[dict
 
 def train(
     documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", learn_from: int = LEARN_FROM,
+    words: int = WORDS, grams: int = GRAMS, least_seen: int = LEAST_SEEN,
 ) -> Model:
     """A model of the texts whose ``lang`` is not null and which are not held out.
 
     At most about ``learn_from`` of them are read, picked by a hash of doc_id; rows with a null doc_id
-    are not learned from.  What comes to the driver is bounded by the number of languages times
-    ``WORDS + GRAMS``.
+    are not learned from.  Of each language the ``words`` most frequent words seen ``least_seen`` times or more
+    are kept, and the ``grams`` most frequent n-grams; words left out are scored by their n-grams.  What comes
+    to the driver is bounded by the number of languages times ``words + grams``.
     """
     labelled = documents.select(
         F.col(lang).alias("language"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id")
@@ -133,14 +142,14 @@ def train(
     counted = written(
         _counted(sampled).groupBy("language", "kind", "item").agg(F.sum("n").alias("n")), "language_counts"
     )
-    counted = counted.where((F.col("kind") == 1) | (F.col("n") >= LEAST_SEEN))
-    kinds = [_top(counted.where(F.col("kind") == kind), kept) for kind, kept in ((0, WORDS), (1, GRAMS))]
+    counted = counted.where((F.col("kind") == 1) | (F.col("n") >= least_seen))
+    kinds = [_top(counted.where(F.col("kind") == kind), kept) for kind, kept in ((0, words), (1, grams))]
     languages = sorted({row[0] for kind in kinds for row in kind})
     total_words = np.ones(len(languages))
     for language, _, n in kinds[0]:
         total_words[languages.index(language)] += n
-    (words, word_logs), (grams, gram_logs) = (_table(kind, languages) for kind in kinds)
-    return Model(languages, words, grams, word_logs, gram_logs, np.log(total_words / total_words.sum()))
+    (known, word_logs), (pieces, gram_logs) = (_table(kind, languages) for kind in kinds)
+    return Model(languages, known, pieces, word_logs, gram_logs, np.log(total_words / total_words.sum()))
 
 
 class Scorer:

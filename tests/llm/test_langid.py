@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 from conftest import DATA
@@ -55,3 +56,41 @@ def test_nothing_to_learn(spark):
 def test_words_are_not_cut_between_stretches():
     text = ("word " * (langid.STRETCH // 5 + 3)) * 2
     assert {w for words in langid.words_of(text) for w in words} == {"word"}
+
+
+def plainly_scored(model, text):
+    """Language and probability by sums over words and, for unseen ones, over the longest known n-grams."""
+    total = [float(x) for x in model.prior]
+    found = "".join(c if c.isalpha() else " " for c in text).lower().split()
+    for word in found:
+        if word in model.words:
+            logs = [model.word_logs[model.words[word]]]
+        else:
+            padded, logs = f" {word} ", []
+            for start in range(len(padded)):
+                known = [padded[start:end] for end in range(start + 1, min(start + 5, len(padded)) + 1) if padded[start:end] in model.grams]
+                if known:
+                    logs.append(model.gram_logs[model.grams[max(known, key=len)]] / len(padded))
+        for own in logs:
+            total = [t + float(x) for t, x in zip(total, own, strict=True)]
+    best = max(range(len(total)), key=total.__getitem__)
+    return model.languages[best], 1 / sum(math.exp(t - total[best]) for t in total)
+
+
+def test_scores_against_plain_sums(spark):
+    documents = spark.read.parquet(DATA + "/documents.parquet")
+    model = langid.train(documents, words=200, grams=3000)
+    texts = [r.text for r in documents.select("text").limit(60).collect() if r.text] + ["katzen hunden", "zzz qqq", "The hund"]
+    scorer = langid.Scorer(model)
+    for text in texts:
+        text = " ".join(text.split()[:40])
+        language, score = plainly_scored(model, text)
+        own, own_score = scorer.predict(text)
+        assert own == language and abs(own_score - score) < 1e-3
+
+
+def test_kept_items_are_the_most_frequent(spark):
+    rows = [("en", f"w{i % 500}", i // 500 + (i % 500)) for i in range(500)] + [("de", "x", 1)]
+    counted = spark.createDataFrame(rows, "language string, item string, n long")
+    best = sorted((r for r in rows if r[0] == "en"), key=lambda r: (-r[2], r[1]))[:30]
+    assert sorted(langid._top(counted, 30)) == sorted(best + [("de", "x", 1)])
