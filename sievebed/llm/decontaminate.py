@@ -23,8 +23,6 @@ WINDOW = 13
 SHINGLE = 3
 #: Contaminated: at least one word in this many lies in a window.
 ONE_IN = 20
-#: Words of a text looked at in one go.
-STRETCH = 1 << 17
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Every byte to its lower-case form, and those between words to a blank.
 _WORD_BYTES = bytes(
@@ -120,8 +118,10 @@ def _marked(documents: DataFrame, doc_id: str, text: str, keys: DataFrame, sizes
         for size in sizes:
             own = shingle_keys(codes, size)
             for at in np.flatnonzero(may_hold(shared.value, own)).tolist():
-                first = max(0, at - WINDOW + 1)
-                around = b" ".join(words[first : at + WINDOW]).decode()
+                # Windows of fewer words than a whole shingle has are their own shingle.
+                reach = WINDOW if size == SHINGLE else size
+                first = max(0, at - reach + 1) if size == SHINGLE else at
+                around = b" ".join(words[first : at + reach]).decode()
                 result.append({"shingle": int(own[at]), "at": at, "first": first, "around": around})
         return result
 

@@ -57,3 +57,15 @@ def test_empty_tables(spark):
     assert [(r.n_words, r.n_hit, r.contaminated) for r in decontaminate.contamination(documents, nothing).collect()] == [(2, 0, False)]
     items = spark.createDataFrame([(1, "some text")], "item_id long, text string")
     assert decontaminate.contamination(documents.limit(0), items).count() == 0
+
+
+def test_places_of_short_items_carry_their_own_words(spark):
+    from pyspark.sql import functions as F
+
+    documents = spark.createDataFrame([(1, "single " * 40_000), (2, "two words " * 20_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "single"), (2, "two words"), (3, "words two words")], "item_id long, text string")
+    rows = decontaminate.contamination(documents, items).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_hit, r["items"]) for r in rows] == [(40_000, 40_000, ["1"]), (40_000, 40_000, ["2", "3"])]
+    keys = decontaminate._windows(items.where("item_id < 3"), "item_id", "text").select("shingle").distinct()
+    marked = decontaminate._marked(documents, "doc_id", "text", keys, [1, 2]).select(F.explode("found").alias("f"))
+    assert {r.around for r in marked.select("f.around").distinct().collect()} == {"single", "two words"}
