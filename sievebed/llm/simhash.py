@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievebed.llm.components import components
-from sievebed.llm.tables import sliced, without, written
+from sievebed.llm.tables import sliced, unused, without, written
 
 BITS = 64
 #: Estimates are made per block of this many correlated bits; a partition is a run of blocks.
@@ -289,7 +289,11 @@ def classes(
     such rows alone has a null ``component_id``.  Repeated rows stay repeated.
     """
     ids = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    marked = written(fingerprints(ids, words=words), "fingerprints")
+    return _named(written(fingerprints(ids, words=words), "fingerprints"), distance, partitions)
+
+
+def _named(marked: DataFrame, distance: int, partitions: int) -> DataFrame:
+    """``marked`` with ``component_id``, the smallest ``doc_id`` reached."""
     firsts = written(marked.groupBy("fingerprint_bits").agg(F.min("doc_id").alias("first_id")), "prints")
     found = components(links(firsts.select("fingerprint_bits"), distance, partitions))
     joined = firsts.join(found.withColumnRenamed("node", "fingerprint_bits"), "fingerprint_bits", "left").select(
@@ -305,10 +309,34 @@ def hex_digits(bits: Column) -> Column:
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
 
 
-def one_of_each_class(documents: DataFrame, **options) -> DataFrame:
-    """The rows of ``documents`` whose doc_id is the smallest of its near-duplicate class.
+def one_of_each_class(
+    documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2,
+    partitions: int = PARTITIONS,
+) -> DataFrame:
+    """One row of ``documents`` of each near-duplicate class: that of the smallest doc_id, whole and unchanged.
 
-    Rows without a doc_id stay.  Of rows that share a doc_id all stay, or none.
+    Rows without a doc_id come after all others; of rows that share a doc_id, the one of the smallest hash of
+    doc_id and text stays, and of rows that repeat both, any one.
     """
-    found = classes(documents, **options).where("doc_id <> component_id").select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti")
+    row = unused(documents, "row")
+    keyed = documents.withColumn(row, F.xxhash64(doc_id, F.xxhash64(text)))
+    # In place of a doc_id its order, null ids last, with the row's own hash.
+    ids = keyed.select(
+        F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(row).alias("row")).alias("doc_id"),
+        F.col(text).alias("text"),
+    )
+    marked = written(fingerprints(ids, words=words), "fingerprints")
+    named = written(
+        _named(marked, distance, partitions).select(
+            F.col("doc_id.row").alias(row), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("first")
+        ),
+        "near_classes",
+    )
+    # A text and an id have one class, so a row hash is dropped or kept as a whole.
+    dropped = named.where(~F.col("first")).select(row).distinct()
+    repeated = written(named.where("first").groupBy(row).count().where("count > 1").select(row), "repeated_rows")
+    kept = keyed.join(dropped, row, "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, row, "left_semi").dropDuplicates([row])
+        kept = kept.join(repeated, row, "left_anti").unionByName(once)
+    return kept.select(*documents.columns)

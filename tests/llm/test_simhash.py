@@ -86,8 +86,19 @@ def test_classes(spark):
     assert sorted(map(str, wanted)) == sorted(str((r.doc_id, r.component_id)) for r in found.collect())
     kept = simhash.one_of_each_class(frame)
     assert kept.columns == frame.columns
-    gone = {d for d, c in wanted if d is not None and d != c}
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in wanted if d not in gone)
+    least = {root[i]: min((r[0] is None, r[0] or 0) for k, r in enumerate(rows) if root[k] == root[i]) for i in range(len(rows))}
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted(least.values())
+
+
+def test_one_row_of_equal_ones(spark):
+    rows = [(4, "same text here", "a"), (4, "same text here", "b"), (None, "same text here", "c"), (None, "same text here", "d"),
+            (9, "SAME text here", "e"), (None, "another text alone", "f"), (None, "another text alone", "g"), (7, None, "h"), (8, "", "i"), (7, None, "j")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)
+    kept = simhash.one_of_each_class(frame)
+    assert kept.schema.names == frame.columns
+    found = [tuple(r) for r in kept.collect()]
+    assert sorted((r[0] or 0, r[1] or "") for r in found) == [(0, "another text alone"), (4, "same text here"), (7, "")]
+    assert set(found) <= set(rows)
 
 
 def test_empty_tables(spark):
