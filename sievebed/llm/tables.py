@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from sievebed.workspace import fresh_path
 
@@ -17,10 +17,6 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def without(frame: DataFrame, names: Iterable[str]) -> DataFrame:
     """``frame`` less its columns of these names, whatever their case."""
     taken = {name.lower() for name in names}
