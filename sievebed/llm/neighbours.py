@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -100,8 +101,11 @@ def _packed(vectors: DataFrame, size: int, side: str) -> DataFrame:
 
     Which rows share a block, and its number, hang on the order in which rows arrive.  So the blocks are written
     once, and whoever needs them reads the same ones.  Vectors of floats stay floats until a tile is computed.
+    As every block meets every other, there are no more partitions than blocks that the rows fill.
     """
     names = [f"{side}_block", "width", f"{side}_ids", f"{side}_vectors"]
+    part = F.greatest(F.lit(1.0 / size), F.least(F.lit(1.0), F.size("vector") * (8.0 / BLOCK_BYTES)))
+    filled = vectors.select(F.sum(part)).first()[0] or 0.0
     kind = np.float32 if vectors.schema["vector"].dataType.elementType == FloatType() else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +137,8 @@ def _packed(vectors: DataFrame, size: int, side: str) -> DataFrame:
         for width in list(held):
             yield packed(width)
 
-    packed = vectors.mapInArrow(run, f"{names[0]} long, width int, {names[2]} binary, {names[3]} binary")
+    dealt = vectors.distinct().coalesce(max(1, math.ceil(filled)))
+    packed = dealt.mapInArrow(run, f"{names[0]} long, width int, {names[2]} binary, {names[3]} binary")
     return written(packed, f"{side}_blocks")
 
 
@@ -153,8 +158,8 @@ def nearest(
         F.col(vec_id).cast("long").alias("vec_id"), (F.col(vector) if floats else F.col(vector).cast("array<double>")).alias("vector"),
         is_query.alias("is_query"),
     ).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    queries = _packed(rows.where("is_query").select("vec_id", "vector").distinct(), QUERIES, "query")
-    candidates = _packed(rows.select("vec_id", "vector").distinct(), CANDIDATES, "near")
+    queries = _packed(rows.where("is_query").select("vec_id", "vector"), QUERIES, "query")
+    candidates = _packed(rows.select("vec_id", "vector"), CANDIDATES, "near")
     # The pair of blocks is the key: the blocks of queries are given to each block of candidates.
     blocks = candidates.select("near_block", "width").distinct()
     tiles = queries.join(blocks, "width").join(candidates, ["near_block", "width"])

@@ -87,3 +87,24 @@ def test_rows_that_arrive_in_another_order_each_time(spark, monkeypatch, kind):
     assert both[0] == both[1]
     found = neighbours.nearest(shaken, F.col("vec_id") % 5 == 0, 6)
     assert sorted(map(tuple, found.collect())) == plain(rows, 6, 5)
+
+
+def test_partitions_do_not_make_blocks(spark, monkeypatch):
+    """Blocks are as many as the rows fill, however many partitions the rows arrive in."""
+    monkeypatch.setattr(neighbours, "CANDIDATES", 50)
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(200)]
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for name, value in zip(kept, ("40", "false"), strict=True):
+            spark.conf.set(name, value)
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(40)
+        vectors = frame.withColumnRenamed("embedding", "vector")
+        blocks = neighbours._packed(vectors, 50, "near").collect()
+        found = neighbours.nearest(frame, F.col("vec_id") % 5 == 0, 6).collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert sorted(i for r in blocks for i in np.frombuffer(r.near_ids, np.int64)) == list(range(200))
+    assert len(blocks) <= 8
+    assert sorted(map(tuple, found)) == plain(rows, 6, 5)
