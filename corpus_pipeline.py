@@ -20,8 +20,8 @@ LEAST_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned; those without letters or without a likely language go."""
     model = langid.train(docs)
-    text, prediction, score = (unused(docs, name) for name in ("read_text", "lang_pred", "score"))
-    found = langid.predictions(docs.withColumn(text, F.col("text")), model, text, prediction=prediction, score=score)
+    prediction, score = (unused(docs, name) for name in ("lang_pred", "score"))
+    found = langid.predictions(docs, model, prediction=prediction, score=score, keep_text=True)
     kept = (F.col(prediction) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE)
     return found.where(kept).select(*docs.columns)
 

@@ -204,21 +204,23 @@ class Scorer:
 
 def predictions(
     documents: DataFrame, model: Model, text: str = "text", *, prediction: str = "lang_pred", score: str = "score",
+    keep_text: bool = False,
 ) -> DataFrame:
-    """``documents`` with ``lang_pred`` and ``score`` (or other names) instead of the text.
+    """``documents`` with ``lang_pred`` and ``score`` (or other names) instead of the text, or behind it (``keep_text``).
 
     ``lang_pred`` is a language of the model; ``und``, with score zero, if the text is null or has no
     letter, or if the model has learned nothing.  ``score`` is the probability of the language given that
     the text is of one of the model's; ties go to the first by name.  Columns of those names are replaced.
     """
     kept = without(documents, [text, prediction, score]).columns
-    schema = documents.select(*kept, F.lit("").alias(prediction), F.lit(0.0).alias(score)).schema
+    schema = documents.select(*kept, *[text] * keep_text, F.lit("").alias(prediction), F.lit(0.0).alias(score)).schema
     shared: Broadcast = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in sliced(batches):
             *others, texts = batch.columns
+            others = batch.columns if keep_text else others
             found = [scorer.predict(value) for value in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*others, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],

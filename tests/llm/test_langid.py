@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 
+import corpus_pipeline
 from conftest import DATA
 
 from sievebed.llm import langid
@@ -94,3 +95,15 @@ def test_kept_items_are_the_most_frequent(spark):
     counted = spark.createDataFrame(rows, "language string, item string, n long")
     best = sorted((r for r in rows if r[0] == "en"), key=lambda r: (-r[2], r[1]))[:30]
     assert sorted(langid._top(counted, 30)) == sorted(best + [("de", "x", 1)])
+
+
+def test_text_kept_is_sent_once(spark):
+    """The text stays beside the prediction without a copy of it on its way."""
+    frame = spark.createDataFrame([(1, "ein wort", "x"), (2, None, "y")], "doc_id long, text string, source string")
+    model = langid.train(spark.createDataFrame([(i, "ein wort", "de") for i in range(40)], "doc_id long, text string, lang string"))
+    found = langid.predictions(frame, model, keep_text=True)
+    assert found.columns == ["doc_id", "source", "text", "lang_pred", "score"]
+    assert sorted((r.doc_id, r.text, r.lang_pred) for r in found.collect()) == [(1, "ein wort", "de"), (2, None, "und")]
+    plan = corpus_pipeline.language(spark, spark.createDataFrame(
+        [(i, "ein wort", "de", "s", 8) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars int"), "")
+    assert plan.count() == 40 and "read_text" not in plan._jdf.queryExecution().toString()
