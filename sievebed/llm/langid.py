@@ -90,10 +90,11 @@ def _counted(labelled: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[str, Counter] = {}
-            for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = counts.setdefault(language, Counter())
-                for words in words_of(text):
-                    own.update(words)
+            for part in sliced([batch]):
+                for language, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    own = counts.setdefault(language, Counter())
+                    for words in words_of(text):
+                        own.update(words)
             for language, words in counts.items():
                 grams: Counter = Counter()
                 for word, n in words.items():

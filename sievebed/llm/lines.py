@@ -332,7 +332,7 @@ def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     named = written(named, "line_named")
     apart = named.where("own <> hubs")
     near_apart = written(named.join(apart.select("bucket").distinct(), "bucket", "left_semi"), "line_apart")
-    sizes = written(_described(_with_keys(texts, near_apart.select("line_key"))), "line_sizes")
+    sizes = written(_described(texts), "line_sizes")
     beside = near_apart.join(sizes, "line_key")
     others = apart.join(sizes, "line_key").toDF("b", "bucket", "own_b", "hubs_b", "size_b", "marks_b")
     unlike = (F.col("own") != F.col("own_b")) & ((F.col("own") == F.col("hubs")) | (F.col("line_key") < F.col("b")))
@@ -345,8 +345,11 @@ def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs of line keys whose lines are similar enough."""
-    return _compared(pairs, texts).where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    """Those of the pairs of line keys whose lines are similar enough.
+
+    They are written, as Python functions of one stage would each hold a worker for every task, and Spark keeps all of them.
+    """
+    return written(_compared(pairs, texts).where(F.col("similarity") >= SIMILARITY).select("a", "b"), "near_lines")
 
 
 def line_classes(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

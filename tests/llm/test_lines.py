@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import random
 
 from pyspark.sql import functions as F
 from test_simhash import roots
 
-from sievebed.llm import lines
+from sievebed.llm import components, lines
 
 WORDS = "the of river stone green house walks under bright morning table seven letters voice winter paper".split()
 
@@ -66,6 +68,39 @@ def test_drop_lines_keeps_rows_and_columns(spark):
     ]))
 
 
+def python_in_a_row(frame):
+    """The most Python functions that one stage of the plan runs in a row."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        frame.explain()
+    above, most = {}, 0
+    for line in text.getvalue().split("\n"):
+        name = line.lstrip(" :+-*()0123456789")
+        if name:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            own = max([(d, n) for d, n in above.items() if d < depth], default=(0, 0))[1]
+            own = 0 if name.startswith(("Exchange", "BroadcastExchange")) else own + name.startswith("MapInArrow")
+            above = {d: n for d, n in above.items() if d < depth} | {depth: own}
+            most = max(most, own)
+    return most
+
+
+def test_a_stage_holds_one_python_worker_a_task(spark, monkeypatch):
+    """Of Python functions in a row each has a worker of its own for every task, and keeps its memory."""
+    plans = []
+    for module in (lines, components):
+        kept = module.written
+        monkeypatch.setattr(module, "written", lambda frame, name, kept=kept: (plans.append((name, python_in_a_row(frame))), kept(frame, name))[1])
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines.line_classes(spark.createDataFrame(list(enumerate(near_and_far(5))), "doc_id long, text string")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert {name for name, n in plans if n} >= {"line_members", "line_texts", "stars"}
+    assert [name for name, n in plans if n > 1] == []
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert lines.drop_lines(frame).count() == 0 and lines.decisions(frame).count() == 0
