@@ -32,8 +32,8 @@ BANDS, ROWS = 14, 5
 MARKS = 512
 #: Code points signed at a time.
 STRETCH = 1 << 19
-#: Shingles of lines a task keeps while it compares.
-REMEMBERED = 250_000
+#: Bits of a character's number while lines are compared: five fit into a long.
+CHARACTER_BITS = 12
 _BLANK = " \t\n\x0b\x0c\r"
 _SEED = 42
 
@@ -204,6 +204,51 @@ def jaccard(a: set[str], b: set[str]) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def _coded(lines: list[str]) -> dict[str, np.ndarray] | None:
+    """The different shingles of each line as whole numbers, in order; None if there are too many characters for that.
+
+    The characters of these lines are numbered from 1, so that five numbers fit into one of 60 bits and no two shingles
+    share one; what a line lacks to a shingle counts as 0.
+    """
+    points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    known = np.zeros(int(points.max(initial=0)) + 1, np.int64)
+    known[points] = 1
+    number = np.cumsum(known)
+    if number[-1] >= 1 << CHARACTER_BITS:
+        return None
+    numbers = np.concatenate([number[points], np.zeros(SHINGLE - 1, np.int64)])
+    codes = np.zeros(len(points), np.int64)
+    for i in range(SHINGLE):
+        codes <<= CHARACTER_BITS
+        codes |= numbers[i : i + len(points)]
+    found, start = {}, 0
+    for line in lines:
+        end = start + len(line)
+        if len(line) >= SHINGLE:
+            own = np.sort(codes[start : end - SHINGLE + 1])
+            found[line] = own[np.concatenate([[True], own[1:] != own[:-1]])]
+        else:
+            found[line] = np.array([sum(int(n) << CHARACTER_BITS * (SHINGLE - 1 - i) for i, n in enumerate(numbers[start:end]))])
+        start = end
+    return found
+
+
+def similarities(pairs: list[tuple[str, str]]) -> list[float]:
+    """The exact Jaccard similarity of each pair's sets of shingles."""
+    different = list(dict.fromkeys(line for pair in pairs for line in pair))
+    coded = _coded(different)
+    if coded is None:
+        sets = {line: shingles(line) for line in different}
+        return [jaccard(sets[a], sets[b]) for a, b in pairs]
+    found = []
+    for a, b in pairs:
+        union = np.concatenate([coded[a], coded[b]])
+        union.sort()
+        both = int(np.count_nonzero(union[1:] == union[:-1]))
+        found.append(both / (len(union) - both))
+    return found
+
+
 def sizes_and_marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """How many different shingles each line has, and the bits they mark, as longs; shingles are told apart by 64-bit hashes."""
     sizes, marks = np.zeros(len(lines), np.int64), np.zeros((len(lines), MARKS // 64), np.int64)
@@ -213,17 +258,14 @@ def sizes_and_marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         while last < len(lines) and (last == first or size + len(lines[last]) <= STRETCH):
             size += len(lines[last])
             last += 1
-        some = lines[first:last]
-        hashed, starts, counts = _hashed(some)
-        owner = np.repeat(np.arange(len(some)), counts)
-        own = hashed[np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(len(owner))]
-        bits = np.zeros((len(some), MARKS), bool)
-        bits[owner, own >> np.uint64(32) & np.uint64(MARKS - 1)] = True
+        hashed, starts, counts = _hashed(lines[first:last])
+        places = (hashed >> np.uint64(32) & np.uint64(MARKS - 1)).astype(np.int64)
+        bits = np.zeros((last - first, MARKS), bool)
+        for i, (start, count) in enumerate(zip(starts.tolist(), counts.tolist(), strict=True)):
+            bits[i, places[start : start + count]] = True
+            own = np.sort(hashed[start : start + count])
+            sizes[first + i] = 1 + np.count_nonzero(own[1:] != own[:-1])
         marks[first:last] = np.packbits(bits, axis=1).view(np.int64)
-        order = np.lexsort((own, owner))
-        own, owner = own[order], owner[order]
-        new = np.concatenate([[True], (own[1:] != own[:-1]) | (owner[1:] != owner[:-1])])
-        sizes[first:last] = np.bincount(owner[new], minlength=len(some))
         first = last
     return sizes, marks
 
@@ -256,7 +298,11 @@ def _with_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _may_be_near(size_a: Column, marks_a: Column, size_b: Column, marks_b: Column) -> Column:
-    """Whether the similarity can reach the threshold: an exact bound, so no near pair fails it."""
+    """Whether the similarity can reach the threshold: an exact bound, so no near pair fails it.
+
+    Similar enough are sets that share ``SIMILARITY / (1 + SIMILARITY)`` of the sum of their sizes or more; what both can
+    share is bounded by each side's own.  A little less counts too, for rounding.
+    """
 
     def alone(one: Column, other: Column) -> Column:
         """At least so many shingles of one line are not the other's."""
@@ -264,8 +310,8 @@ def _may_be_near(size_a: Column, marks_a: Column, size_b: Column, marks_b: Colum
             F.bit_count(F.get(one, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(i))))) for i in range(MARKS // 64)
         ))
 
-    both = F.least(size_a - alone(marks_a, marks_b), size_b - alone(marks_b, marks_a))
-    return both / (size_a + size_b - both) >= SIMILARITY
+    least = (size_a + size_b) * (SIMILARITY / (1 + SIMILARITY)) - 1e-3
+    return (F.least(size_a, size_b) >= least) & (size_a - alone(marks_a, marks_b) >= least) & (size_b - alone(marks_b, marks_a) >= least)
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -274,18 +320,17 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     joined = pairs.join(few.toDF("b", "line_b"), "b").join(few.toDF("a", "line_a"), "a").select("a", "b", "line_a", "line_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, set[str]] = {}  # lines that come again within the task
-        size = 0
         for batch in sliced(batches):
-            found = []
-            for a, b, line_a, line_b in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                for key, line in ((a, line_a), (b, line_b)):
-                    if key not in known:
-                        if size > REMEMBERED:
-                            known, size = {}, 0
-                        known[key] = shingles(line)
-                        size += len(line)
-                found.append(jaccard(known.get(a) or shingles(line_a), known[b]))
+            found: list[float] = []
+            held: list[tuple[str, str]] = []
+            size = 0
+            for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                held.append(pair)
+                size += len(pair[0]) + len(pair[1])
+                if size >= STRETCH:
+                    found += similarities(held)
+                    held, size = [], 0
+            found += similarities(held)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["a", "b", "similarity"]
             )
@@ -319,20 +364,23 @@ def near_lines(documents: DataFrame, text: str = "text") -> DataFrame:
     # One pass brings the texts of all lines that share a bucket with another.
     ends = written(members.select("line_key").distinct(), "line_ends")
     texts = written(_texts(documents, text, ends), "line_texts")
+    sizes = written(_described(texts), "line_sizes")
     first = F.max(F.struct("n", (-F.col("line_key")).alias("order"), F.col("line_key").alias("hub")))
-    hubs = written(members.groupBy("bucket").agg(first.alias("first")).select("bucket", "first.hub"), "line_hubs")
-    beside = members.join(hubs, "bucket").where(F.col("line_key") != F.col("hub"))
-    pairs = written(beside.select(F.col("hub").alias("a"), F.col("line_key").alias("b")).distinct(), "line_pairs")
+    hubs = members.groupBy("bucket").agg(first.alias("first")).select("bucket", "first.hub")
+    beside = written(members.join(hubs, "bucket").select("bucket", "line_key", "hub"), "line_hubs")
+    pairs = beside.where("line_key <> hub").select(F.col("hub").alias("a"), F.col("line_key").alias("b")).distinct()
+    # Most lines that meet by chance are told apart here, before any text moves.
+    bound = _may_be_near(*map(F.col, ("size_a", "marks_a", "size_b", "marks_b")))
+    pairs = pairs.join(sizes.toDF("b", "size_b", "marks_b"), "b").join(sizes.toDF("a", "size_a", "marks_a"), "a")
+    pairs = written(pairs.where(bound).select("a", "b"), "line_pairs")
     found = written(components(_near(pairs, texts)), "line_components")
 
     # Lines outside the component of their bucket's hub, and others of the bucket they may be near.
-    named = members.join(hubs, "bucket").join(
-        found.toDF("line_key", "own"), "line_key", "left").join(found.toDF("hub", "hubs"), "hub", "left").select(
+    named = beside.join(found.toDF("line_key", "own"), "line_key", "left").join(found.toDF("hub", "hubs"), "hub", "left").select(
         "bucket", "line_key", F.coalesce("own", "line_key").alias("own"), F.coalesce("hubs", "hub").alias("hubs"))
     named = written(named, "line_named")
     apart = named.where("own <> hubs")
     near_apart = written(named.join(apart.select("bucket").distinct(), "bucket", "left_semi"), "line_apart")
-    sizes = written(_described(texts), "line_sizes")
     beside = near_apart.join(sizes, "line_key")
     others = apart.join(sizes, "line_key").toDF("b", "bucket", "own_b", "hubs_b", "size_b", "marks_b")
     unlike = (F.col("own") != F.col("own_b")) & ((F.col("own") == F.col("hubs")) | (F.col("line_key") < F.col("b")))
@@ -384,7 +432,8 @@ def decisions(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     ``dropped`` has the positions of the lines to drop, in order.  Rows that share doc_id and text are one.
     """
-    lines = line_classes(documents, doc_id=doc_id, text=text).distinct()
+    # Rows of a document lie together from here on, so neither step deals them again.
+    lines = line_classes(documents, doc_id=doc_id, text=text).repartition("doc_id", "text_key").distinct()
     dropped = F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("pos"))))
     return lines.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_lines"), dropped.alias("dropped"))
 

@@ -147,6 +147,30 @@ def test_no_near_pair_fails_the_bound(spark):
     assert near <= kept and len(near) > 50 and len(kept) < len(pairs) / 2
 
 
+def test_similarities_are_exact():
+    """Also of short lines, of those that hold what stands for a missing character, and of very many characters."""
+    rng = random.Random(31)
+    odd = ["".join(rng.choices("ab\0\u6f22\u00e9\U0001f600\ud800", k=rng.randrange(12))) for _ in range(400)] + ["abc", "abc\0", "abc\0\0"]
+    many = ["".join(map(chr, range(at, at + 6000))) for at in (0x4E00, 0x4E10, 0x5E00)]
+    for pool in (odd, many + odd, near_and_far(8)):
+        pairs = [(rng.choice(pool), rng.choice(pool)) for _ in range(600)]
+        assert lines.similarities(pairs) == [lines.jaccard(lines.shingles(a), lines.shingles(b)) for a, b in pairs]
+    assert lines.similarities([]) == []
+
+
+def test_texts_move_only_for_pairs_that_may_be_near(spark, monkeypatch):
+    """Lines that meet while some 0.6 alike, and two that are near."""
+    rng = random.Random(14)
+    common = "".join(rng.choices("abcdefghijklmnopqrst", k=150))
+    texts = [common + "".join(rng.choices("ABCDEFGHIJKLMNOPQRST", k=50)) for _ in range(60)]
+    texts.append(texts[0][:-4] + "wxyz")
+    compared, kept = [], lines._compared
+    monkeypatch.setattr(lines, "_compared", lambda pairs, texts: (compared.append(pairs.count()), kept(pairs, texts))[1])
+    found = lines.line_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found if not r.kept} == {60}
+    assert 1 <= sum(compared) <= 10
+
+
 def test_end_to_end_recall_at_the_threshold(spark):
     """Of pairs of similarity 0.80 to 0.83 hardly one is missed."""
     rng = random.Random(21)
